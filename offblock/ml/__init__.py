@@ -1,0 +1 @@
+"""Models on Spark ML: feature prep, search, fit, score, attributions."""
