@@ -455,3 +455,175 @@ def queries() -> dict[str, Query]:
             out[name] = fn
     return dict(sorted(out.items()))
 
+
+
+# --- R61-R78 models and stage chains (rows-only checks; properties in tests) ----
+
+_BUILT: dict[tuple[str, str], dict[str, str]] = {}
+
+# small search settings for the registered checks (the library defaults mirror
+# the reference: 30/15/2 trials, up to 1000 boosting rounds)
+QUICK_SPACES = {
+    "linear_regression": None,
+    "random_forest": {"numTrees": [20], "maxDepth": [5, 8], "minInstancesPerNode": [1]},
+    "xgboost": {"maxIter": [20], "maxDepth": [4], "stepSize": [0.1], "subsamplingRate": [1.0]},
+    "lightgbm": {"maxIter": [20], "numLeaves": [31], "maxDepth": [12], "stepSize": [0.1], "minInstancesPerNode": [5]},
+    "catboost": {"maxIter": [20], "maxDepth": [6], "stepSize": [0.1], "maxBins": [64]},
+}
+
+
+def built_gold(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Silver + gold for ``sf`` under the checkpoint folder, built once per session."""
+    from offblock.plans.gold import build_gold
+    from offblock.plans.silver import bronze_from_driver, build_silver
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BUILT:
+        out = _scratch(spark, "stages")
+        silver = build_silver(bronze_from_driver(spark, sf), out)
+        gold, _ = build_gold(spark, silver, out)
+        _BUILT[key] = {**{f"silver_{k}": v for k, v in silver.items()}, **gold, "root": out}
+    return _BUILT[key]
+
+
+_TRAINED: dict[tuple[str, str, str], object] = {}
+
+
+def _train(spark, sf, model_type, runs_path: str | None = None):
+    """Train one family with the quick settings (once per session unless a runs table is given)."""
+    from offblock.plans.train import train_model
+
+    g = built_gold(spark, sf)
+    key = (spark.sparkContext.applicationId, sf, model_type)
+    if runs_path is None and key in _TRAINED:
+        return _TRAINED[key]
+    res = train_model(spark, model_type, g, runs_path or g["root"] + "/runs", g["root"] + "/models",
+                      space=QUICK_SPACES[model_type], n_trials=2)
+    if runs_path is None:
+        _TRAINED[key] = res
+    return res
+
+
+def _scored(spark, sf, model_type):
+    from offblock.ml.models import batch_score
+    from offblock.plans.train import load_run_model, prepared_sets
+
+    res = _train(spark, sf, model_type)
+    model, spec = load_run_model(spark, res.model_path, model_type)
+    _, _, test = prepared_sets(spark, built_gold(spark, sf), model_type)
+    return batch_score(model, test).select("flight_id", "wx_row_id", "actual_taxi_out_sec", "prediction")
+
+
+def r61_fit_linear(spark, sf):
+    return _scored(spark, sf, "linear_regression")
+
+
+def r62_fit_forest(spark, sf):
+    return _scored(spark, sf, "random_forest")
+
+
+def r63_fit_boost_depthwise(spark, sf):
+    return _scored(spark, sf, "xgboost")
+
+
+def r64_fit_boost_leafwise(spark, sf):
+    return _scored(spark, sf, "lightgbm")
+
+
+def r65_fit_boost_symmetric(spark, sf):
+    return _scored(spark, sf, "catboost")
+
+
+def r66_missing_for_trees(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    from offblock.plans.train import prepared_sets
+
+    spec, train, _ = prepared_sets(spark, built_gold(spark, sf), "xgboost")
+    return train.select("flight_id", "wx_row_id", vector_to_array("features").alias("inputs"))
+
+
+def r68_search_holdout(spark, sf):
+    res = _train(spark, sf, "random_forest")
+    rows = [(str(sorted(m.items())), float(r)) for m, r in res.trials]
+    return spark.createDataFrame(rows, "params string, validation_rmse double")
+
+
+def r69_refit_and_score(spark, sf):
+    res = _train(spark, sf, "linear_regression")
+    return spark.createDataFrame([tuple(float(res.metrics[k]) for k in ("rmse", "mape", "mae", "std"))],
+                                 "rmse double, mape double, mae double, std double")
+
+
+def r70_train_all(spark, sf):
+    from offblock.plans.train import train_all
+
+    g = built_gold(spark, sf)
+    runs_path = _scratch(spark, "runs")
+    train_all(spark, ["linear_regression", "random_forest"], g, runs_path, g["root"] + "/models",
+              spaces=QUICK_SPACES, n_trials={"linear_regression": 2, "random_forest": 2})
+    return spark.read.parquet(runs_path).select("run_id", "model_type", "rmse", "mape", "mae", "std")
+
+
+def r71_record_run(spark, sf):
+    runs_path = _scratch(spark, "runs")
+    _train(spark, sf, "linear_regression", runs_path=runs_path)
+    return spark.read.parquet(runs_path)
+
+
+def r72_save_load_model(spark, sf):
+    from offblock.ml.models import batch_score
+    from offblock.plans.train import load_run_model, prepared_sets
+
+    res = _train(spark, sf, "random_forest")
+    model, spec = load_run_model(spark, res.model_path, "random_forest")
+    _, _, test = prepared_sets(spark, built_gold(spark, sf), "random_forest")
+    return batch_score(model, test).select("flight_id", "wx_row_id", "prediction")
+
+
+def r73_batch_score(spark, sf):
+    return _scored(spark, sf, "xgboost")
+
+
+def r74_explain_linear(spark, sf):
+    """One-feature least squares of taxi on temperature, attributions coef * (x - mean)."""
+    from pyspark.ml.regression import LinearRegression
+
+    from offblock.ml.explain import explain_linear
+    from offblock.ml.features import FeatureSpec, assemble
+
+    df = _fl_wx(spark, sf).where(F.col("taxi").isNotNull() & F.col("temperature").isNotNull())
+    spec = FeatureSpec(label="taxi", features=["temperature"], inputs=["temperature"], source=["temperature"])
+    data = assemble(df, spec, keep=["flight_id", "copy_no", "taxi"])
+    model = LinearRegression(featuresCol="features", labelCol="taxi", regParam=0.0, solver="normal").fit(data)
+    scored = model.transform(data)
+    ex = explain_linear(model, scored, spec, keep=["flight_id", "copy_no", "prediction"])
+    return ex.select("flight_id", "copy_no", F.round("prediction", 3).alias("prediction"),
+                     F.round("shap__temperature", 3).alias("attribution"), F.round("base_value", 3).alias("base_value"))
+
+
+def r75_explain_trees(spark, sf):
+    from offblock.ml.explain import explain
+    from offblock.ml.models import batch_score
+    from offblock.plans.train import load_run_model, prepared_sets
+
+    res = _train(spark, sf, "xgboost")
+    model, spec = load_run_model(spark, res.model_path, "xgboost")
+    _, _, test = prepared_sets(spark, built_gold(spark, sf), "xgboost")
+    return explain(spark, model, "xgboost", batch_score(model, test), spec, keep=["flight_id", "wx_row_id", "prediction"])
+
+
+def r76_score_and_explain(spark, sf):
+    from offblock.plans.predict import create_predictions
+
+    g = built_gold(spark, sf)
+    res = _train(spark, sf, "random_forest")
+    return create_predictions(spark, g, g["root"] + "/runs", "random_forest", run_id=res.run_id, n_samples=None)
+
+
+def r77_build_silver(spark, sf):
+    return spark.read.parquet(built_gold(spark, sf)["silver_airport_train"])
+
+
+def r78_build_gold(spark, sf):
+    return spark.read.parquet(built_gold(spark, sf)["train_default"])

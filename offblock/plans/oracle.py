@@ -259,6 +259,11 @@ SELECT flight_id, raw, """ + _bump("raw") + " AS bumped FROM r",
     "r58_format_time": F_ + "SELECT flight_id, strftime(aobt, '%H:%M') AS departure_hhmm FROM flights",
     "r59_impact_direction": FI + """SELECT flight_id, CASE WHEN Traffic > 0 THEN 'up' ELSE 'down' END AS direction,
   CASE WHEN Traffic < 0 THEN 'good' ELSE 'bad' END AS tone FROM impacts""",
+    "r74_explain_linear": FWJ + """, d AS (SELECT flight_id, copy_no, taxi, temperature FROM fl_wx
+  WHERE taxi IS NOT NULL AND temperature IS NOT NULL),
+m AS (SELECT regr_slope(taxi, temperature) AS b, regr_intercept(taxi, temperature) AS a, avg(temperature) AS mx FROM d)
+SELECT flight_id, copy_no, round(a + b * temperature, 3) AS prediction,
+  round(b * (temperature - mx), 3) AS attribution, round(a + b * mx, 3) AS base_value FROM d, m""",
 }
 
 
