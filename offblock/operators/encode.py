@@ -28,6 +28,25 @@ def learn_categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORI
     return sorted(r["v"] for r in rows)
 
 
+def learn_categories_many(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """R32 for several columns with ONE distinct job (bounded by ``max_categories`` per column)."""
+    cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), q(c).cast("string").alias("v"))
+                                 for i, c in enumerate(cols)]))
+    rows = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
+            .limit(len(cols) * (max_categories + 1)).collect())
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in rows:
+        out[cols[r["k"]]].append(r["v"])
+    for c, vals in out.items():
+        if len(vals) > max_categories:
+            raise ValueError(f"{c}: more than {max_categories} categories")
+        vals.sort()
+    return out
+
+
 def one_hot(df: DataFrame, col: str, categories: list[str], drop_source: bool = True) -> DataFrame:
     """``<col>_<value>`` 0/1 columns; NULL -> all 0; literal ``'nan'`` is its own value."""
     c = q(col)
@@ -39,16 +58,25 @@ def one_hot(df: DataFrame, col: str, categories: list[str], drop_source: bool =
 DATETIME_PARTS = (("hour", 24), ("day_of_week", 7), ("month", 12), ("day_of_month", 31))
 
 
-def datetime_features(df: DataFrame, col: str, drop_source: bool = True) -> DataFrame:
-    """hour/24, weekday(Mon=0)/7, month/12, day/31 each as sin/cos (R44); missing -> NULL."""
-    ts = parse_mdy_hm(q(col))
+def datetime_features(df: DataFrame, col: str, drop_source: bool = True, parsed: str | None = None) -> DataFrame:
+    """hour/24, weekday(Mon=0)/7, month/12, day/31 each as sin/cos (R44); missing -> NULL.
+
+    The text is parsed once into a column (``parsed`` names one already holding
+    the parsed time); the eight outputs read that column instead of each
+    repeating the parse.
+    """
+    tmp = parsed or "__parsed_ts"
+    out = df if parsed else df.withColumn(tmp, parse_mdy_hm(q(col)))
+    ts = F.col(tmp)
     parts = {"hour": F.hour(ts), "day_of_week": F.weekday(ts), "month": F.month(ts), "day_of_month": F.dayofmonth(ts)}
     new = {}
     for name, period in DATETIME_PARTS:
         s, c = cyclical_pair(parts[name], period)
         new[f"{col}_{name}_sin"] = s
         new[f"{col}_{name}_cos"] = c
-    out = df.withColumns(new)
+    out = out.withColumns(new)
+    if not parsed:
+        out = out.drop(tmp)
     return out.drop(col) if drop_source else out
 
 
@@ -61,23 +89,26 @@ class EncodingState:
 
 def encode_features(df: DataFrame, datetime_cols: list[str], categorical_cols: list[str],
                     state: EncodingState | None = None, keep: list[str] | None = None,
-                    strict_ids: bool = True) -> tuple[DataFrame, EncodingState]:
+                    strict_ids: bool = True, categories: dict[str, list[str]] | None = None,
+                    parsed: dict[str, str] | None = None) -> tuple[DataFrame, EncodingState]:
     """Cyclical datetimes, one-hot categories, integer stand/runway, frozen column order.
 
     With ``state=None`` categories and column order are learned (training);
     otherwise they are applied (test): absent dummies/columns become 0, extras
     are dropped and columns are put in the training order (R12). ``keep`` names
     non-feature columns carried in front (row keys) and never conformed away.
+    ``categories`` supplies training categories learned elsewhere (e.g. from a
+    checkpoint upstream of columns that do not affect them).
     """
     learn = state is None
     state = state or EncodingState()
+    if learn:
+        state.categories = categories if categories is not None else learn_categories_many(df, categorical_cols)
     for col in datetime_cols:
         if col in df.columns:
-            df = datetime_features(df, col)
+            df = datetime_features(df, col, parsed=(parsed or {}).get(col))
     for col in categorical_cols:
         if col in df.columns:
-            if learn:
-                state.categories[col] = learn_categories(df, col)
             df = one_hot(df, col, state.categories.get(col, []))
     df = drop_if_exists(df, [ATOT, AIRCRAFT_MODEL])
     ids = {c: digits_to_int(q(c), strict=strict_ids) for c in (STAND, RUNWAY) if c in df.columns}

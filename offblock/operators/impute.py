@@ -59,9 +59,17 @@ def handle_missing(df: DataFrame, medians: dict[str, float | None] | None = None
     cols = [c for c in numeric_columns(df) if c not in skip]
     if not cols:
         return df, medians
-    prof = missing_profile(df, cols).first()
-    missing = [c for c in cols if prof[c] > 0]
+    # one aggregate: missing count, valid count, min and max per column (the
+    # median search starts from these, so it needs no stats pass of its own)
+    # (NaN never occurs: missing is NULL throughout, see trap 9)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        x = q(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    prof = df.agg(*aggs).first()
+    missing = [c for i, c in enumerate(cols) if prof[f"n{i}"] < prof["__rows"]]
+    stats = {c: (prof[f"n{i}"], prof[f"lo{i}"], prof[f"hi{i}"]) for i, c in enumerate(cols)}
     new = [c for c in missing if c not in medians]
     if new and not (strict_train and medians):
-        medians.update(exact_median(df, new))
+        medians.update(exact_median(df, new, {c: stats[c] for c in new}))
     return fill_with_median(df, {c: medians.get(c) for c in missing}), medians

@@ -43,10 +43,21 @@ def _with_distance(df: DataFrame) -> DataFrame:
             .drop("_r_lat", "_r_lng", "_s_lat", "_s_lng"))
 
 
+def sized_broadcast_many(sides: list[DataFrame], max_rows: int = BROADCAST_ROW_LIMIT) -> list[DataFrame]:
+    """``sized_broadcast`` for several sides with ONE bounded counting job."""
+    tagged = None
+    for i, df in enumerate(sides):
+        t = df.limit(max_rows + 1).select(F.lit(i).alias("_side"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    counts = {r["_side"]: r["n"] for r in tagged.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(sides)]
+
+
 def _point_sides(geo: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame]:
     runways = distinct_points(geo, RUNWAY).withColumnsRenamed({"lat": "_r_lat", "lng": "_r_lng"})
     stands = distinct_points(geo, STAND).withColumnsRenamed({"lat": "_s_lat", "lng": "_s_lng"})
-    return sized_broadcast(runways, max_rows), sized_broadcast(stands, max_rows)
+    rw, st = sized_broadcast_many([runways, stands], max_rows)
+    return rw, st
 
 
 def runway_stand_distances(geo: DataFrame, pairs: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:

@@ -2,11 +2,13 @@
 
 ``kth_smallest`` finds the k-th smallest value of numeric columns by histogram
 refinement: each round is ONE aggregate over (target, bucket) -> (count, min,
-max) with at most ``buckets`` rows per target reaching the driver; the target
+max) with at most ``BUCKETS`` rows per target reaching the driver; the target
 bucket's data min/max become the next round's closed range (exact, as the
 bucketing is monotone). A bucket whose min equals its max is a single value
-(a hot value is found at once); a small bucket is fetched whole. Nothing
-unbounded goes to the driver or to one task, and no window or sort is used.
+(a hot value is found at once); buckets of at most ``FETCH_LIMIT`` rows are
+fetched whole, all targets in ONE job. Nothing unbounded goes to the driver
+or to one task, and no window or sort is used. Typical cost: one stats
+aggregate (often shared with the caller), one histogram, one fetch.
 """
 
 from __future__ import annotations
@@ -30,68 +32,25 @@ class _Target:
     hi: object = None
     value: object = None
     done: bool = False
+    fetch: bool = False
+
+
+def _valid(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x.cast("double"))
 
 
 def _in_range(t: _Target) -> Column:
-    x = t.expr
-    return x.isNotNull() & ~F.isnan(x.cast("double")) & (x >= F.lit(t.lo)) & (x <= F.lit(t.hi))
+    return _valid(t.expr) & (t.expr >= F.lit(t.lo)) & (t.expr <= F.lit(t.hi))
 
 
-def kth_smallest(df: DataFrame, targets: list[tuple[Column, int]]) -> list[object]:
-    """Exact k-th smallest (1-based, NULL/NaN skipped) for each (column, k); None when k is out of range."""
-    ts = [_Target(i, e, k) for i, (e, k) in enumerate(targets)]
-    # round 0: count, min, max per target (one job)
+def column_stats(df: DataFrame, exprs: list[Column]) -> list[tuple[int, object, object]]:
+    """(valid count, min, max) per expression, one aggregate."""
     aggs = []
-    for t in ts:
-        ok = t.expr.isNotNull() & ~F.isnan(t.expr.cast("double"))
-        aggs += [F.count_if(ok).alias(f"n{t.tid}"), F.min(F.when(ok, t.expr)).alias(f"lo{t.tid}"),
-                 F.max(F.when(ok, t.expr)).alias(f"hi{t.tid}")]
+    for i, e in enumerate(exprs):
+        ok = _valid(e)
+        aggs += [F.count_if(ok).alias(f"n{i}"), F.min(F.when(ok, e)).alias(f"lo{i}"), F.max(F.when(ok, e)).alias(f"hi{i}")]
     row = df.agg(*aggs).first()
-    for t in ts:
-        n = row[f"n{t.tid}"]
-        if t.k < 1 or t.k > n:
-            t.done = True
-            continue
-        t.lo, t.hi = row[f"lo{t.tid}"], row[f"hi{t.tid}"]
-        if t.lo == t.hi:
-            t.value, t.done = t.lo, True
-    for _ in range(MAX_ROUNDS):
-        active = [t for t in ts if not t.done]
-        if not active:
-            break
-        parts = []
-        for t in active:
-            lo_d, hi_d = float(t.lo), float(t.hi)
-            width = (hi_d - lo_d) / BUCKETS
-            x = t.expr.cast("double")
-            b = F.least(F.floor((x - F.lit(lo_d)) / F.lit(width)), F.lit(BUCKETS - 1)) if width > 0 else F.lit(0)
-            parts.append(F.when(_in_range(t), F.struct(F.lit(t.tid).alias("tid"), b.cast("long").alias("b"),
-                                                      t.expr.cast("double").alias("xd"))))
-        hist = (df.select(F.explode(F.array(*parts)).alias("p")).where(F.col("p").isNotNull())
-                .groupBy("p.tid", "p.b").agg(F.count(F.lit(1)).alias("n"), F.min("p.xd").alias("mn"),
-                                             F.max("p.xd").alias("mx"))
-                .collect())
-        by_tid: dict[int, list] = {}
-        for r in hist:
-            by_tid.setdefault(r["tid"], []).append(r)
-        for t in active:
-            rows = sorted(by_tid.get(t.tid, []), key=lambda r: r["b"])
-            below = 0
-            for r in rows:
-                if below + r["n"] >= t.k:
-                    t.k -= below
-                    lo, hi = _typed(t, r["mn"]), _typed(t, r["mx"])
-                    if lo == hi:
-                        t.value, t.done = lo, True
-                    elif r["n"] <= FETCH_LIMIT or lo == t.lo and hi == t.hi:
-                        t.lo, t.hi = lo, hi
-                        vals = sorted(v[0] for v in df.where(_in_range(t)).select(t.expr).collect())
-                        t.value, t.done = vals[t.k - 1], True
-                    else:
-                        t.lo, t.hi = lo, hi
-                    break
-                below += r["n"]
-    return [t.value for t in ts]
+    return [(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(exprs))]
 
 
 def _typed(t: _Target, v: float):
@@ -101,22 +60,91 @@ def _typed(t: _Target, v: float):
     return v
 
 
-def exact_median(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+def _histogram_round(df: DataFrame, active: list[_Target]) -> None:
+    parts = []
+    for t in active:
+        lo_d, hi_d = float(t.lo), float(t.hi)
+        width = (hi_d - lo_d) / BUCKETS
+        x = t.expr.cast("double")
+        b = F.least(F.floor((x - F.lit(lo_d)) / F.lit(width)), F.lit(BUCKETS - 1)) if width > 0 else F.lit(0)
+        parts.append(F.when(_in_range(t), F.struct(F.lit(t.tid).alias("tid"), b.cast("long").alias("b"), x.alias("xd"))))
+    hist = (df.select(F.explode(F.array(*parts)).alias("p")).where(F.col("p").isNotNull())
+            .groupBy("p.tid", "p.b").agg(F.count(F.lit(1)).alias("n"), F.min("p.xd").alias("mn"), F.max("p.xd").alias("mx"))
+            .collect())
+    by_tid: dict[int, list] = {}
+    for r in hist:
+        by_tid.setdefault(r["tid"], []).append(r)
+    for t in active:
+        below = 0
+        for r in sorted(by_tid.get(t.tid, []), key=lambda r: r["b"]):
+            if below + r["n"] >= t.k:
+                t.k -= below
+                lo, hi = _typed(t, r["mn"]), _typed(t, r["mx"])
+                progress = not (lo == t.lo and hi == t.hi)
+                t.lo, t.hi = lo, hi
+                if lo == hi:
+                    t.value, t.done = lo, True
+                elif r["n"] <= FETCH_LIMIT or not progress:
+                    t.fetch = True
+                break
+            below += r["n"]
+
+
+def _fetch_round(df: DataFrame, targets: list[_Target]) -> None:
+    parts = [F.when(_in_range(t), F.struct(F.lit(t.tid).alias("tid"), t.expr.alias("x"))) for t in targets]
+    rows = df.select(F.explode(F.array(*parts)).alias("p")).where(F.col("p").isNotNull()).select("p.tid", "p.x").collect()
+    vals: dict[int, list] = {}
+    for r in rows:
+        vals.setdefault(r["tid"], []).append(r["x"])
+    for t in targets:
+        v = sorted(vals.get(t.tid, []))
+        t.value, t.done, t.fetch = v[t.k - 1], True, False
+
+
+def kth_smallest(df: DataFrame, targets: list[tuple[Column, int]],
+                 stats: list[tuple[int, object, object]] | None = None) -> list[object]:
+    """Exact k-th smallest (1-based, NULL/NaN skipped) per (column, k); None when k is out of range.
+
+    ``stats`` (valid count, min, max) per target skips the first aggregate when the caller has it.
+    """
+    if not targets:
+        return []
+    stats = stats or column_stats(df, [e for e, _ in targets])
+    ts = []
+    for i, ((e, k), (n, lo, hi)) in enumerate(zip(targets, stats, strict=True)):
+        t = _Target(i, e, k, lo, hi)
+        if k < 1 or k > (n or 0):
+            t.done = True
+        elif lo == hi:
+            t.value, t.done = lo, True
+        ts.append(t)
+    for _ in range(MAX_ROUNDS):
+        fetch = [t for t in ts if t.fetch and not t.done]
+        if fetch:
+            _fetch_round(df, fetch)
+        active = [t for t in ts if not t.done]
+        if not active:
+            break
+        _histogram_round(df, active)
+    return [t.value for t in ts]
+
+
+def exact_median(df: DataFrame, cols: list[str],
+                 stats: dict[str, tuple[int, object, object]] | None = None) -> dict[str, float | None]:
     """Exact median per column (mean of the two middle values for an even count), NULL skipped."""
-    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double")))
-                      .alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    targets, slots = [], []
-    for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
-        if n == 0:
+    exprs = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    if stats is None:
+        got = column_stats(df, list(exprs.values()))
+        stats = dict(zip(cols, got, strict=True))
+    targets, tstats, slots = [], [], []
+    for c in cols:
+        n, lo, hi = stats[c]
+        if not n:
             slots.append(None)
             continue
-        lo_k, hi_k = (n + 1) // 2, n // 2 + 1
         slots.append((len(targets), len(targets) + 1))
-        e = F.col(f"`{c}`").cast("double")
-        targets += [(e, lo_k), (e, hi_k)]
-    vals = kth_smallest(df, targets) if targets else []
-    out = {}
-    for c, s in zip(cols, slots, strict=True):
-        out[c] = None if s is None else (float(vals[s[0]]) + float(vals[s[1]])) / 2.0
-    return out
+        lo_d, hi_d = float(lo), float(hi)
+        targets += [(exprs[c], (n + 1) // 2), (exprs[c], n // 2 + 1)]
+        tstats += [(n, lo_d, hi_d), (n, lo_d, hi_d)]
+    vals = kth_smallest(df, targets, tstats)
+    return {c: None if s is None else (float(vals[s[0]]) + float(vals[s[1]])) / 2.0 for c, s in zip(cols, slots, strict=True)}

@@ -5,6 +5,8 @@ Per set (train, then test with train's learned state):
   TRAINING weather, as the reference does) -> R18/R19 flags -> R16 filter ->
   R46/R48 delay -> R34 traffic (per set, after the filter) -> encode (R45,
   R41, R51, R12) -> write default -> R27/R52 medians (train) -> write clean.
+R37's off-block order is not imposed on the files (no global sort shuffle);
+every consumer orders or splits by the carried keys.
 
 Spark plan notes: the distance side is broadcast (size-checked); the weather
 join is a shuffle join on the four text keys; the filter is pushed below both
@@ -25,7 +27,7 @@ from offblock.constants import (
     AOBT, CATEGORICAL_COLUMNS, DELAY_SECONDS, FLIGHT_DATETIME, ORDER_TS, ROW_ID, TARGET, WEATHER_DROP_COLUMNS,
 )
 from offblock.functions.datetime import delay_seconds, parse_mdy_hm
-from offblock.operators.encode import EncodingState, encode_features
+from offblock.operators.encode import EncodingState, encode_features, learn_categories_many
 from offblock.operators.filters import add_helicopter_flag, add_private_flag, filter_taxi_range
 from offblock.operators.impute import handle_missing
 from offblock.operators.joins import join_distance, join_weather
@@ -44,8 +46,8 @@ class GoldState:
     medians: dict[str, float | None] = field(default_factory=dict)
 
 
-def features_before_encoding(airport: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
-    """Steps 2-8 of the reference's gold stage, lazily."""
+def joined_and_filtered(airport: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
+    """Steps 2-7: distance and weather joins, flags, taxi filter, delay (lazy)."""
     df = join_distance(airport, geography)
     wx = drop_if_exists(weather, WEATHER_DROP_COLUMNS)
     df = join_weather(df, wx, [k for k in WEATHER_KEYS if k in wx.columns])
@@ -53,12 +55,23 @@ def features_before_encoding(airport: DataFrame, geography: DataFrame, weather:
     df = filter_taxi_range(df, TARGET)
     aobt = parse_mdy_hm(q(AOBT))
     df = df.withColumns({DELAY_SECONDS: delay_seconds(aobt, parse_mdy_hm(q(FLIGHT_DATETIME))), ORDER_TS: aobt})
-    df = planes_in_window(df, ORDER_TS)
     return df.drop(FLIGHT_DATETIME)
 
 
-def encode(df: DataFrame, state: EncodingState | None) -> tuple[DataFrame, EncodingState]:
-    return encode_features(df, [AOBT], CATEGORICAL_COLUMNS, state, keep=ROW_KEYS)
+def add_traffic(df: DataFrame) -> DataFrame:
+    """Step 8: traffic counts over this set (after the filter, as the reference)."""
+    return planes_in_window(df, ORDER_TS)
+
+
+def features_before_encoding(airport: DataFrame, geography: DataFrame, weather: DataFrame) -> DataFrame:
+    """Steps 2-8 of the reference's gold stage, lazily."""
+    return add_traffic(joined_and_filtered(airport, geography, weather))
+
+
+def encode(df: DataFrame, state: EncodingState | None, categories: dict[str, list[str]] | None = None
+           ) -> tuple[DataFrame, EncodingState]:
+    parsed = {AOBT: ORDER_TS} if ORDER_TS in df.columns else None
+    return encode_features(df, [AOBT], CATEGORICAL_COLUMNS, state, keep=ROW_KEYS, categories=categories, parsed=parsed)
 
 
 def build_gold(spark: SparkSession, silver: dict[str, str], out_dir: str) -> tuple[dict[str, str], GoldState]:
@@ -69,12 +82,17 @@ def build_gold(spark: SparkSession, silver: dict[str, str], out_dir: str) -> tup
     paths: dict[str, str] = {}
     base = out_dir.rstrip("/") + "/gold"
     for part in ("train", "test"):
-        pre = cut_lineage(features_before_encoding(read(silver[f"airport_{part}"]), geo, wx))
-        enc, learned = encode(pre, None if part == "train" else state.encoding)
+        # one reliable checkpoint after the joins: the traffic count and the
+        # encoded write both read it instead of re-running the joins
+        joined = cut_lineage(joined_and_filtered(read(silver[f"airport_{part}"]), geo, wx))
+        cats = learn_categories_many(joined, CATEGORICAL_COLUMNS) if part == "train" else None
+        enc, learned = encode(add_traffic(joined), None if part == "train" else state.encoding, cats)
         if part == "train":
             state.encoding = learned
         paths[f"{part}_default"] = f"{base}/{part}_default"
-        sink_parquet(enc.orderBy(F.asc_nulls_last(ORDER_TS), ROW_ID, "wx_row_id"), paths[f"{part}_default"])
+        # no global sort: consumers use the carried keys, not file order; a sort
+        # within each task keeps row-group min/max on aobt_ts tight for pruning
+        sink_parquet(enc.sortWithinPartitions(F.asc_nulls_last(ORDER_TS), ROW_ID, "wx_row_id"), paths[f"{part}_default"])
     for part in ("train", "test"):
         written = read(paths[f"{part}_default"])
         clean, meds = handle_missing(written, state.medians if part == "test" else None, exclude=ROW_KEYS)

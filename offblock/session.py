@@ -55,10 +55,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage with a Parquet table written under the shared checkpoint folder.
+
+    One computation of the plan (an eager reliable ``checkpoint()`` computes it
+    twice unless cached), a columnar copy that later reads prune and filter,
+    and it survives executor loss like any written table.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
