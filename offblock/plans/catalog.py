@@ -626,4 +626,9 @@ def r77_build_silver(spark, sf):
 
 
 def r78_build_gold(spark, sf):
-    return spark.read.parquet(built_gold(spark, sf)["train_default"])
+    """Gold training table (default variant); the written row id is left out, floats rounded as the oracle."""
+    g = spark.read.parquet(built_gold(spark, sf)["train_default"]).drop("wx_row_id")
+    r3, r6 = {"distance"}, {"log_distance"} | {c for c in g.columns if c.startswith("AOBT_")}
+    cols = [F.round(F.col(f"`{c}`"), 3).alias(c) if c in r3 else _r6(F.col(f"`{c}`")).alias(c) if c in r6
+            else F.col(f"`{c}`") for c in g.columns]
+    return g.select(*cols)

@@ -267,5 +267,86 @@ SELECT flight_id, copy_no, round(a + b * temperature, 3) AS prediction,
 }
 
 
+def _gold_train_sql() -> str:
+    """The gold training table (default variant), written independently in SQL."""
+    hav = _hav("r.Lat_runway", "r.Lng_runway", "s.Lat_stand", "s.Lng_stand")
+
+    def cyc(x: str, period: float, name: str) -> str:
+        return (f"(round(sin(2 * pi() * {x} / {period}), 6) + 0.0) AS AOBT_{name}_sin, "
+                f"(round(cos(2 * pi() * {x} / {period}), 6) + 0.0) AS AOBT_{name}_cos")
+
+    def onehot(col: str, values: list[str]) -> str:
+        return ", ".join(f'CASE WHEN {col} = \'{v}\' THEN 1 ELSE 0 END AS "{col}_{v}"' for v in values)
+
+    def num(expr: str, mod: int) -> str:
+        return f"CASE WHEN flight_id % {mod} = 0 THEN NULL ELSE CAST({expr} AS DOUBLE) END"
+
+    return _with(FLIGHTS, GEO) + f""",
+keyed AS (
+  SELECT *, coalesce(strftime(aobt - to_seconds(lag_s), {MDY}), 'nan') AS fdt,
+         coalesce(strftime(aobt, {MDY}), 'nan') AS aobt_t,
+         coalesce(strftime(aobt + to_microseconds(CAST(round(taxi * 1000000) AS BIGINT)), {MDY}), 'nan') AS atot_t,
+         coalesce(model, 'nan') AS model_t
+  FROM flights),
+wx AS (
+  SELECT fdt, model_t, aobt_t, atot_t,
+         coalesce(CASE WHEN flight_id % 11 = 0 THEN NULL WHEN flight_id % 2 = 0 THEN 'Clear' ELSE 'Rain' END, 'nan') AS summary,
+         CASE flight_id % 3 WHEN 0 THEN 'clear-day' WHEN 1 THEN 'rain' ELSE 'cloudy' END AS icon,
+         coalesce(CASE WHEN flight_id % 4 = 0 THEN 'rain' WHEN flight_id % 4 = 1 THEN 'snow' END, 'nan') AS precipType,
+         {num("(flight_id * 17 % 41) / 2.0 - 5", 7)} AS temperature,
+         {num("(flight_id % 100) / 100.0", 17)} AS humidity,
+         {num("flight_id * 7 % 23", 19)} AS windSpeed,
+         {num("flight_id % 10", 23)} AS visibility,
+         {num("1000 + flight_id % 30", 2)} AS pressure,
+         {num("(flight_id % 9) / 10.0", 3)} AS cloudCover,
+         flight_id % 13 AS N_dep_dep
+  FROM keyed JOIN (SELECT 0 AS copy_no UNION ALL SELECT 1 AS copy_no) c ON c.copy_no = 0 OR keyed.flight_id % 50 = 0
+  WHERE flight_id % 10 <> 3),
+rw AS (SELECT DISTINCT runway, Lat_runway, Lng_runway FROM geo),
+st AS (SELECT DISTINCT stand, Lat_stand, Lng_stand FROM geo),
+j AS (
+  SELECT a.flight_id, a.aobt, a.lag_s, a.taxi, a.runway, a.stand, a.ac_length, a.engines, a.flight_no, a.model,
+         {hav} AS distance, w.summary, w.icon, w.precipType, w.temperature, w.humidity, w.windSpeed,
+         w.visibility, w.pressure, w.cloudCover, w.N_dep_dep
+  FROM keyed a
+  LEFT JOIN rw r ON a.runway = r.runway LEFT JOIN st s ON a.stand = s.stand
+  LEFT JOIN wx w ON a.fdt = w.fdt AND a.model_t = w.model_t AND a.aobt_t = w.aobt_t AND a.atot_t = w.atot_t
+  WHERE a.aobt < TIMESTAMP '2024-01-25 00:00:00' AND a.taxi > 0 AND a.taxi < 7200),
+t AS (
+  SELECT *, date_trunc('minute', aobt) AS aobt_ts,
+         CAST(epoch(date_trunc('minute', aobt)) - epoch(date_trunc('minute', aobt - to_seconds(lag_s))) AS DOUBLE) AS delay_seconds
+  FROM j)
+SELECT flight_id, aobt_ts,
+  CAST(regexp_extract(runway, '([0-9]+)', 1) AS INTEGER) AS runway,
+  CAST(regexp_extract(stand, '([0-9]+)', 1) AS INTEGER) AS stand,
+  ac_length AS "Aircraft Length", engines AS "No. Engines", taxi AS actual_taxi_out_sec,
+  round(distance, 3) AS distance, round({_logd("distance")}, 6) AS log_distance,
+  temperature, humidity, windSpeed, visibility, pressure, cloudCover, N_dep_dep,
+  CASE WHEN regexp_extract(flight_no, '^([A-Z]{{2,3}})', 1) IN ('NJE', 'VJT', 'PVT', 'SIG') THEN 1 ELSE 0 END AS private_flight,
+  CASE WHEN model IN ('A109', 'AW139', 'S-76', '407', '214 ST', 'EC 120', 'EC 135T', 'EC 155B', 'SA 365 DAUPHIN 2',
+                      'AEROSPATIALE AS355 ECUREUIL 2 (TWIN SQ.)', 'AS 350 ECUREUIL (SQUIRREL)', 'Helicopter')
+       THEN 1 ELSE 0 END AS helicopter,
+  delay_seconds,
+  CAST(count(*) OVER (ORDER BY epoch(aobt_ts) RANGE BETWEEN 1800 PRECEDING AND 1800 FOLLOWING) - 1 AS DOUBLE) AS planes_30min,
+  CAST(count(*) OVER (ORDER BY epoch(aobt_ts) RANGE BETWEEN 600 PRECEDING AND 600 FOLLOWING) - 1 AS DOUBLE) AS planes_10min,
+  {cyc("hour(aobt_ts)", 24.0, "hour")}, {cyc("(isodow(aobt_ts) - 1)", 7.0, "day_of_week")},
+  {cyc("month(aobt_ts)", 12.0, "month")}, {cyc("day(aobt_ts)", 31.0, "day_of_month")},
+  {onehot("summary", ["Clear", "Rain", "nan"])}, {onehot("icon", ["clear-day", "cloudy", "rain"])},
+  {onehot("precipType", ["nan", "rain", "snow"])}
+FROM t"""
+
+
+SQL["r78_build_gold"] = _gold_train_sql()
+
+SQL["r77_build_silver"] = F_ + f"""SELECT flight_id,
+  coalesce(strftime(aobt - to_seconds(lag_s), {MDY}), 'nan') AS "Flight Datetime",
+  coalesce(strftime(aobt, {MDY}), 'nan') AS "AOBT",
+  coalesce(strftime(aobt + to_microseconds(CAST(round(taxi * 1000000) AS BIGINT)), {MDY}), 'nan') AS "ATOT",
+  coalesce(flight_no, 'nan') AS "Flight Number", coalesce(model, 'nan') AS "Aircraft Model",
+  coalesce(runway, 'nan') AS runway, coalesce(stand, 'nan') AS stand,
+  ac_length AS "Aircraft Length", engines AS "No. Engines", taxi AS actual_taxi_out_sec
+FROM flights WHERE aobt < TIMESTAMP '2024-01-25 00:00:00'"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
