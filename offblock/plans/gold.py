@@ -18,6 +18,7 @@ the medians.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,28 +76,44 @@ def encode(df: DataFrame, state: EncodingState | None, categories: dict[str, lis
 
 
 def build_gold(spark: SparkSession, silver: dict[str, str], out_dir: str) -> tuple[dict[str, str], GoldState]:
-    """Write gold default/clean for train and test; return paths and the learned state."""
+    """Write gold default/clean for train and test; return paths and the learned state.
+
+    Independent jobs run concurrently (train and test joins; the test encoding
+    and the training medians); everything the test set uses is learned on the
+    training set first.
+    """
     read = spark.read.parquet
     geo, wx = read(silver["geography"]), read(silver["weather"])
     state = GoldState()
-    paths: dict[str, str] = {}
     base = out_dir.rstrip("/") + "/gold"
-    for part in ("train", "test"):
-        # one reliable checkpoint after the joins: the traffic count and the
+    paths = {f"{p}_{v}": f"{base}/{p}_{v}" for p in ("train", "test") for v in ("default", "clean")}
+
+    def joined(part: str) -> DataFrame:
+        # one written checkpoint after the joins: the traffic count and the
         # encoded write both read it instead of re-running the joins
-        joined = cut_lineage(joined_and_filtered(read(silver[f"airport_{part}"]), geo, wx))
-        cats = learn_categories_many(joined, CATEGORICAL_COLUMNS) if part == "train" else None
-        enc, learned = encode(add_traffic(joined), None if part == "train" else state.encoding, cats)
-        if part == "train":
-            state.encoding = learned
-        paths[f"{part}_default"] = f"{base}/{part}_default"
+        return cut_lineage(joined_and_filtered(read(silver[f"airport_{part}"]), geo, wx), f"gold-{part}")
+
+    def write_default(part: str, df: DataFrame) -> None:
         # no global sort: consumers use the carried keys, not file order; a sort
         # within each task keeps row-group min/max on aobt_ts tight for pruning
-        sink_parquet(enc.sortWithinPartitions(F.asc_nulls_last(ORDER_TS), ROW_ID, "wx_row_id"), paths[f"{part}_default"])
-    for part in ("train", "test"):
-        written = read(paths[f"{part}_default"])
-        clean, meds = handle_missing(written, state.medians if part == "test" else None, exclude=ROW_KEYS)
-        state.medians = meds  # test-only columns keep the test median, as the reference stores it
-        paths[f"{part}_clean"] = f"{base}/{part}_clean"
-        sink_parquet(clean, paths[f"{part}_clean"])
+        sink_parquet(df.sortWithinPartitions(F.asc_nulls_last(ORDER_TS), ROW_ID, "wx_row_id"), paths[f"{part}_default"])
+
+    def clean(part: str) -> dict[str, float | None]:
+        df, meds = handle_missing(read(paths[f"{part}_default"]), state.medians if part == "test" else None,
+                                  exclude=ROW_KEYS)
+        sink_parquet(df, paths[f"{part}_clean"])
+        return meds
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        j_train, j_test = pool.submit(joined, "train"), pool.submit(joined, "test")
+        train_j, test_j = j_train.result(), j_test.result()
+        cats = learn_categories_many(train_j, CATEGORICAL_COLUMNS)
+        enc_train, state.encoding = encode(add_traffic(train_j), None, cats)
+        write_default("train", enc_train)
+        enc_test, _ = encode(add_traffic(test_j), state.encoding)
+        test_write = pool.submit(write_default, "test", enc_test)
+        state.medians = clean("train")
+        test_write.result()
+    # test-only missing columns keep the test median, as the reference stores it
+    state.medians = clean("test")
     return paths, state

@@ -8,6 +8,8 @@ weather:   R07, plus a written row id (``wx_row_id``) that makes fan-out rows
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,10 +61,11 @@ def build_silver(bronze: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
         "geography": silver_geography,
         "weather": silver_weather,
     }
-    paths = {}
-    for name, df in bronze.items():
-        fn = steps.get(name, stringify_text)
-        path = f"{out_dir.rstrip('/')}/silver/{name}"
-        sink_parquet(fn(df), path)
-        paths[name] = path
+    paths = {name: f"{out_dir.rstrip('/')}/silver/{name}" for name in bronze}
+    # the tables are independent: submit their writes as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=max(1, len(bronze))) as pool:
+        futures = [pool.submit(sink_parquet, steps.get(name, stringify_text)(df), paths[name])
+                   for name, df in bronze.items()]
+        for f in futures:
+            f.result()
     return paths

@@ -145,3 +145,29 @@ def test_cyclical_identity(spark):
     for r in out:
         for p in ("hour", "day_of_week", "month", "day_of_month"):
             assert math.isclose(r[f"AOBT_{p}_sin"] ** 2 + r[f"AOBT_{p}_cos"] ** 2, 1.0)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scan_pruning(spark, sf):
+    from offblock.plans.catalog import r16_filter_taxi_range
+
+    plan = _plan(r16_filter_taxi_range(spark, sf))
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
+
+
+def test_distance_join_broadcasts_points(spark, sf):
+    from offblock.plans.catalog import r21_join_distance
+
+    plan = r21_join_distance(spark, sf)._jdf.queryExecution().sparkPlan().toString()
+    left_bhj = [ln for ln in plan.splitlines() if "BroadcastHashJoin" in ln and "LeftOuter" in ln]
+    assert len(left_bhj) == 2 and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_split_and_sample_are_not_single_partition(spark, sf):
+    from offblock.plans.catalog import r35_time_ordered_split, r39_sample_n_seeded
+
+    assert "SinglePartition" not in _plan(r35_time_ordered_split(spark, sf))
+    assert "TakeOrderedAndProject" in _plan(r39_sample_n_seeded(spark, sf))

@@ -33,6 +33,20 @@ def test_gold_contract(spark, stages):
     assert all(v == 0 for v in nulls.values())
 
 
+def test_taxi_filter_pushed_below_joins_to_the_scan(spark, stages):
+    from offblock.plans.gold import joined_and_filtered
+
+    _, silver, _, _ = stages
+    read = spark.read.parquet
+    df = joined_and_filtered(read(silver["airport_train"]), read(silver["geography"]), read(silver["weather"]))
+    lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "FileScan" in ln and "actual_taxi_out_sec" in ln)
+    assert "DataFilters: [isnotnull(actual_taxi_out_sec" in lines[scan]
+    assert "Filter" in lines[scan - 1] and "actual_taxi_out_sec" in lines[scan - 1] and "7200.0" in lines[scan - 1]
+    wx_scan = next(ln for ln in lines if "FileScan" in ln and "summary" in ln)
+    assert "Hour" not in wx_scan and "dewPoint" not in wx_scan
+
+
 def test_learned_state_comes_from_train_only(spark, stages):
     _, silver, gold, state = stages
     tr = spark.read.parquet(gold["train_default"])
