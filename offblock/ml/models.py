@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -157,12 +158,18 @@ def rmse(model, df: DataFrame, label: str) -> float:
 
 
 def search_holdout(model_type: str, label: str, fit_part: DataFrame, val_part: DataFrame,
-                   maps: list[dict]) -> tuple[dict, list[tuple[dict, float]]]:
-    """Fit each candidate on the early part, RMSE on the late part, keep the lowest."""
-    results = []
-    for m in maps:
+                   maps: list[dict], parallelism: int = 4) -> tuple[dict, list[tuple[dict, float]]]:
+    """Fit each candidate on the early part, RMSE on the late part, keep the lowest.
+
+    Candidates are submitted as concurrent Spark jobs (``parallelism`` at a
+    time, as ``CrossValidator(parallelism=...)`` does); ties keep the earlier one.
+    """
+    def trial(m: dict) -> tuple[dict, float]:
         model = make_estimator(model_type, label, m).fit(fit_part)
-        results.append((m, rmse(model, val_part, label)))
+        return m, rmse(model, val_part, label)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(maps)))) as pool:
+        results = list(pool.map(trial, maps))
     best = min(results, key=lambda r: (math.isnan(r[1]), r[1]))[0]
     return best, results
 

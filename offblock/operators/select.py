@@ -148,3 +148,34 @@ def exact_median(df: DataFrame, cols: list[str],
         tstats += [(n, lo_d, hi_d), (n, lo_d, hi_d)]
     vals = kth_smallest(df, targets, tstats)
     return {c: None if s is None else (float(vals[s[0]]) + float(vals[s[1]])) / 2.0 for c, s in zip(cols, slots, strict=True)}
+
+
+def kth_key(df: DataFrame, keys: list[Column], k: int) -> list[object] | None:
+    """Exact k-th smallest key tuple (1-based, lexicographic over ``keys``, which hold no NULLs).
+
+    Histogram refinement on the first key; once the target range holds at most
+    ``FETCH_LIMIT`` rows the full tuples of that range are fetched and sorted
+    (one job resolves every key). Only a hot first-key value (min == max over
+    more rows) descends to the next key, restricted to that value.
+    """
+    prefix: list[object] = []
+    cond = F.lit(True)
+    for level, key in enumerate(keys):
+        (n, lo, hi), = column_stats(df.where(cond), [key])
+        if k < 1 or k > (n or 0):
+            return None
+        t = _Target(0, key, k, lo, hi)
+        sub = df.where(cond)
+        while not t.done and not t.fetch and t.lo != t.hi:
+            _histogram_round(sub, [t])
+        if t.fetch:
+            rest = keys[level:]
+            rows = (sub.where(_in_range(t)).select(*[e.alias(f"k{i}") for i, e in enumerate(rest)])
+                    .collect())
+            rows.sort(key=lambda r: tuple(r))
+            return prefix + list(rows[t.k - 1])
+        value = t.value if t.done else t.lo
+        prefix.append(value)
+        k = t.k
+        cond = cond & (key == F.lit(value))
+    return prefix

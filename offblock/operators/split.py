@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from offblock.constants import VALIDATION_SHARE
 from offblock.operators.schema import q
-from offblock.operators.select import kth_smallest
+from offblock.operators.select import kth_key
 
 _LONG_MAX = (1 << 63) - 1
 
@@ -38,17 +38,7 @@ def split_point(df: DataFrame, order_cols: list[str], share: float = VALIDATION_
     if k <= 0:
         return n, k, []
     keys = [order_key(df, c) for c in order_cols]
-    values: list[int] = []
-    rest = df
-    kk = k
-    for i, key in enumerate(keys):
-        (v,) = kth_smallest(rest, [(key, kk)])
-        values.append(v)
-        if i + 1 < len(keys):
-            below = rest.where(key < F.lit(v)).count()
-            kk -= below
-            rest = rest.where(key == F.lit(v))
-    return n, k, values
+    return n, k, kth_key(df, keys, k)
 
 
 def _le(keys: list[Column], values: list[int]) -> Column:

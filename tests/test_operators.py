@@ -171,3 +171,14 @@ def test_split_and_sample_are_not_single_partition(spark, sf):
 
     assert "SinglePartition" not in _plan(r35_time_ordered_split(spark, sf))
     assert "TakeOrderedAndProject" in _plan(r39_sample_n_seeded(spark, sf))
+
+
+def test_kth_key_hot_first_key(spark, monkeypatch):
+    monkeypatch.setattr(select, "FETCH_LIMIT", 5)
+    monkeypatch.setattr(select, "BUCKETS", 4)
+    rows = [(7, i) for i in range(40)] + [(i % 5, 100 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    srt = sorted(rows)
+    for k in (1, 12, 30, 31, 55, 70):
+        assert select.kth_key(df, [F.col("a"), F.col("b")], k) == list(srt[k - 1])
+    assert select.kth_key(df, [F.col("a"), F.col("b")], 71) is None
