@@ -316,6 +316,11 @@ def r39_sample_n_seeded(spark, sf):
     return sampling.sample_n_seeded(_fl(spark, sf).select("flight_id", "taxi"), 10, 42, "flight_id")
 
 
+def r40_sample_n(spark, sf):
+    """Random sample (fresh seed): rows-only by nature."""
+    return sampling.sample_n(_fl(spark, sf).select("flight_id", "taxi"), 10, "flight_id")
+
+
 # --- R41-R59 scalar functions ---------------------------------------------------
 
 def r41_one_hot(spark, sf):
@@ -543,6 +548,19 @@ def r66_missing_for_trees(spark, sf):
     return train.select("flight_id", "wx_row_id", vector_to_array("features").alias("inputs"))
 
 
+def r66b_missing_inputs_long(spark, sf):
+    """R66 on the departures x weather view: tree inputs with 0/1 missing indicators and sentinel fill."""
+    from pyspark.ml.functions import vector_to_array
+
+    from offblock.ml.features import assemble, feature_spec
+
+    df = _fl_wx(spark, sf).select("flight_id", "copy_no", "taxi", "temperature", F.lit(0.0).alias("y"))
+    spec = feature_spec(df, "y", ["flight_id", "copy_no"], for_trees=True)
+    arr = assemble(df, spec, keep=["flight_id", "copy_no"]).select("flight_id", "copy_no",
+                                                                   vector_to_array("features").alias("v"))
+    return groups.pair_names_values(arr, "v", spec.inputs, ["flight_id", "copy_no"]).withColumnRenamed("feature", "input")
+
+
 def r68_search_holdout(spark, sf):
     res = _train(spark, sf, "random_forest")
     rows = [(str(sorted(m.items())), float(r)) for m, r in res.trials]

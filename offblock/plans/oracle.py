@@ -338,6 +338,11 @@ FROM t"""
 
 SQL["r78_build_gold"] = _gold_train_sql()
 
+SQL["r66b_missing_inputs_long"] = FWJ + """SELECT flight_id, copy_no, 'taxi' AS input, coalesce(taxi, -1.0e15) AS value FROM fl_wx
+UNION ALL SELECT flight_id, copy_no, 'taxi__missing', CASE WHEN taxi IS NULL THEN 1.0 ELSE 0.0 END FROM fl_wx
+UNION ALL SELECT flight_id, copy_no, 'temperature', coalesce(temperature, -1.0e15) FROM fl_wx
+UNION ALL SELECT flight_id, copy_no, 'temperature__missing', CASE WHEN temperature IS NULL THEN 1.0 ELSE 0.0 END FROM fl_wx"""
+
 SQL["r77_build_silver"] = F_ + f"""SELECT flight_id,
   coalesce(strftime(aobt - to_seconds(lag_s), {MDY}), 'nan') AS "Flight Datetime",
   coalesce(strftime(aobt, {MDY}), 'nan') AS "AOBT",
