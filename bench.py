@@ -27,10 +27,15 @@ def main() -> None:
     from offblock.plans import catalog as C
 
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
 
     def timed(name, fn):
         t0 = time.perf_counter()
-        fn()
+        try:
+            fn()
+        except Exception as e:  # noqa: BLE001 - a failed step is reported, the rest still runs
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            return
         times[name] = round(time.perf_counter() - t0, 3)
 
     # warm-up: JVM, parquet footers (not counted)
@@ -46,8 +51,11 @@ def main() -> None:
     timed("score_and_explain_trees", lambda: _noop(C.r75_explain_trees(spark, sf)))
     timed("score_and_explain_dashboard", lambda: _noop(C.r76_score_and_explain(spark, sf)))
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times,
-                      "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""), "cpus": cpus}))
+    out = {"metric": "total_query_time", "value": total, "unit": "sec", "queries": times,
+           "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""), "cpus": cpus}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
