@@ -36,10 +36,25 @@ def learn_medians(df: DataFrame, cols: list[str] | None = None, only_missing: bo
     return exact_median(df, cols) if cols else {}
 
 
+_INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
+
+
 def fill_with_median(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
-    """Fill numeric missing values from learned medians (a NULL median leaves the column as is)."""
-    fills = {c: F.coalesce(q(c), F.lit(v).cast(df.schema[c].dataType))
-             for c, v in medians.items() if v is not None and c in df.columns}
+    """Fill numeric missing values from learned medians (a NULL median leaves the column as is).
+
+    An integral column with missing values is a float column in the reference
+    (missing forces float), so a non-integral median widens it to double
+    instead of being truncated.
+    """
+    fills = {}
+    for c, v in medians.items():
+        if v is None or c not in df.columns:
+            continue
+        dt = df.schema[c].dataType
+        if isinstance(dt, _INTEGRAL) and float(v) != int(v):
+            fills[c] = F.coalesce(q(c).cast("double"), F.lit(float(v)))
+        else:
+            fills[c] = F.coalesce(q(c), F.lit(v).cast(dt))
     return df.withColumns(fills) if fills else df
 
 

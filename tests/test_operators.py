@@ -77,6 +77,16 @@ def test_fill_with_median(spark):
     assert [r["x"] for r in filled.collect()] == [1.0, 2.0, 3.0]
 
 
+def test_fill_integral_column_with_fractional_median(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "n long")
+    filled, med = impute.handle_missing(df)
+    assert med == {"n": 1.5}
+    assert sorted(r["n"] for r in filled.collect()) == [1.0, 1.5, 2.0]
+    df2 = spark.createDataFrame([(1,), (None,), (3,)], "n long")
+    out = impute.handle_missing(df2)[0]
+    assert dict(out.dtypes)["n"] == "bigint" and sorted(r["n"] for r in out.collect()) == [1, 2, 3]
+
+
 def test_time_ordered_split_sizes_and_order(spark):
     rng = np.random.default_rng(11)
     rows = [(i, ts(int(s))) for i, s in enumerate(rng.integers(0, 500, 1003))]
