@@ -87,3 +87,25 @@ def test_search_space_grid_and_sampling():
     assert maps == sample_param_maps("xgboost", n_trials=5)
     with pytest.raises(ValueError):
         sample_param_maps("svm")
+
+
+def test_linear_fit_matches_numpy_least_squares(spark, stages):
+    from offblock.ml.features import FeatureSpec, assemble
+    from offblock.ml.models import make_estimator
+
+    _, _, gold, _ = stages
+    cols = ["distance", "delay_seconds", "planes_30min", "temperature", "No. Engines"]
+    df = spark.read.parquet(gold["train_clean"])
+    spec = FeatureSpec(label="actual_taxi_out_sec", features=cols, inputs=cols, source=cols)
+    data = assemble(df, spec, keep=["flight_id", "actual_taxi_out_sec"])
+    for intercept in (True, False):
+        model = make_estimator("linear_regression", "actual_taxi_out_sec", {"fitIntercept": intercept}).fit(data)
+        pdf = df.select(*[F.col(f"`{c}`") for c in cols], "actual_taxi_out_sec").toPandas()
+        X = pdf[cols].to_numpy(dtype=float)
+        if intercept:
+            X = np.column_stack([X, np.ones(len(X))])
+        beta, *_ = np.linalg.lstsq(X, pdf["actual_taxi_out_sec"].to_numpy(dtype=float), rcond=None)
+        got = list(model.coefficients.toArray()) + ([model.intercept] if intercept else [])
+        assert np.allclose(got, beta, rtol=1e-6, atol=1e-6)
+        pred = model.transform(data).select("prediction").toPandas()["prediction"].to_numpy()
+        assert np.allclose(np.sort(pred), np.sort(X @ beta), rtol=1e-8, atol=1e-6)
