@@ -109,3 +109,20 @@ def test_linear_fit_matches_numpy_least_squares(spark, stages):
         assert np.allclose(got, beta, rtol=1e-6, atol=1e-6)
         pred = model.transform(data).select("prediction").toPandas()["prediction"].to_numpy()
         assert np.allclose(np.sort(pred), np.sort(X @ beta), rtol=1e-8, atol=1e-6)
+
+
+def test_linear_fit_on_collinear_gold_equals_least_squares(spark, stages):
+    from offblock.ml.models import make_estimator
+    from offblock.plans.train import prepared_sets
+
+    _, _, gold, _ = stages
+    _, train, _ = prepared_sets(spark, gold, "linear_regression")
+    for intercept in (True, False):
+        m = make_estimator("linear_regression", "actual_taxi_out_sec", {"fitIntercept": intercept}).fit(train)
+        pdf = m.transform(train).select("features", "actual_taxi_out_sec", "prediction").toPandas()
+        X = np.stack([v.toArray() for v in pdf["features"]])
+        if intercept:
+            X = np.column_stack([X, np.ones(len(X))])
+        assert np.linalg.matrix_rank(X) < X.shape[1]  # the dummies make it singular
+        beta, *_ = np.linalg.lstsq(X, pdf["actual_taxi_out_sec"].to_numpy(), rcond=None)
+        assert np.max(np.abs(pdf["prediction"].to_numpy() - X @ beta)) < 1e-3
