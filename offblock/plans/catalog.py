@@ -312,6 +312,26 @@ def r38_head_n(spark, sf):
     return sampling.head_n(_fl(spark, sf).select("flight_id", "aobt"), 10, ["aobt", "flight_id"])
 
 
+def r38b_dashboard_cards(spark, sf):
+    """Dashboard data steps (R53, R54, R55, R24, R38, R58) over departures with formula impacts."""
+    from offblock.plans.dashboard import dashboard_cards
+
+    fl = _fl(spark, sf)
+    fid = F.col("flight_id")
+    df = fl.select(
+        F.date_format("aobt", "yyyy-MM-dd HH:mm").alias("Departure Time"),
+        F.concat(F.when(fid % 7 == 0, F.lit(" ")).otherwise(F.lit("")), F.col("flight_no")).alias("Flight Number"),
+        F.col("stand").alias("Stand"), F.col("runway").alias("Runway"),
+        (F.lit(600.5) + F.col("lag_s").cast("double")).alias("Predicted Taxi Time (s)"),
+        ((fid % 17).cast("double") * F.lit(1.5) - F.lit(12.0)).alias("Weather"),
+        (F.col("lag_s").cast("double") / F.lit(10.0) - F.lit(90.0)).alias("Traffic"),
+        (F.col("engines").cast("double") * F.lit(2.5) - F.lit(5.0)).alias("Distance"),
+        (F.col("ac_length") - F.lit(40.0)).alias("Aircraft"),
+    )
+    cards, _ = dashboard_cards(df, 10)
+    return cards
+
+
 def r39_sample_n_seeded(spark, sf):
     return sampling.sample_n_seeded(_fl(spark, sf).select("flight_id", "taxi"), 10, 42, "flight_id")
 

@@ -343,6 +343,18 @@ UNION ALL SELECT flight_id, copy_no, 'taxi__missing', CASE WHEN taxi IS NULL THE
 UNION ALL SELECT flight_id, copy_no, 'temperature', coalesce(temperature, -1.0e15) FROM fl_wx
 UNION ALL SELECT flight_id, copy_no, 'temperature__missing', CASE WHEN temperature IS NULL THEN 1.0 ELSE 0.0 END FROM fl_wx"""
 
+SQL["r38b_dashboard_cards"] = F_ + """, d AS (
+  SELECT trim(concat(CASE WHEN flight_id % 7 = 0 THEN ' ' ELSE '' END, flight_no)) AS Flight,
+         stand AS Stand, runway AS Runway, date_trunc('minute', aobt) AS dep, 600.5 + CAST(lag_s AS DOUBLE) AS pred,
+         CAST(flight_id % 17 AS DOUBLE) * 1.5 - 12.0 AS Weather, CAST(lag_s AS DOUBLE) / 10.0 - 90.0 AS Traffic,
+         CAST(engines AS DOUBLE) * 2.5 - 5.0 AS Distance, ac_length - 40.0 AS Aircraft
+  FROM flights)
+SELECT Flight, Stand, Runway, strftime(dep, '%H:%M') AS Departure,
+  round_even(pred / 60.0, 1) AS "Predicted taxi time (min)",
+  CASE Runway WHEN 'RUNWAY_1' THEN 14 WHEN 'RUNWAY_2' THEN 17 WHEN 'RUNWAY_3' THEN 19 WHEN 'RUNWAY_4' THEN 21 ELSE 18 END
+    AS "Runway base (min)", Weather, Traffic, Distance, Aircraft
+FROM d ORDER BY dep NULLS LAST, Flight NULLS LAST LIMIT 10"""
+
 SQL["r77_build_silver"] = F_ + f"""SELECT flight_id,
   coalesce(strftime(aobt - to_seconds(lag_s), {MDY}), 'nan') AS "Flight Datetime",
   coalesce(strftime(aobt, {MDY}), 'nan') AS "AOBT",

@@ -33,3 +33,16 @@ def test_sink_csv_roundtrip(spark):
 def test_demo_literal(spark):
     df = demo_flights(spark)
     assert df.count() == 10 and df.where("`Flight Number` = ' W63032'").count() == 1
+
+
+def test_dashboard_cards_from_demo(spark):
+    from offblock.plans.dashboard import dashboard_cards
+
+    cards, drivers = dashboard_cards(demo_flights(spark), 10)
+    rows = {r["Flight"]: r for r in cards.collect()}
+    assert len(rows) == 10 and "W63032" in rows  # the leading space is trimmed
+    assert rows["DY1319"]["Departure"] == "20:50" and rows["DY1319"]["Predicted taxi time (min)"] == 22.0
+    assert rows["EJU8071"]["Runway base (min)"] == 17
+    first = {r["Flight"]: r["category"] for r in drivers.where("rank = 1").collect()}
+    assert first["DY1337"] == "Traffic" and first["TP1335"] == "Aircraft"
+    assert drivers.count() == 40
