@@ -126,3 +126,35 @@ def test_linear_fit_on_collinear_gold_equals_least_squares(spark, stages):
         assert np.linalg.matrix_rank(X) < X.shape[1]  # the dummies make it singular
         beta, *_ = np.linalg.lstsq(X, pdf["actual_taxi_out_sec"].to_numpy(), rcond=None)
         assert np.max(np.abs(pdf["prediction"].to_numpy() - X @ beta)) < 1e-3
+
+
+def test_command_line_all_stages(spark, sf):
+    from offblock.__main__ import run
+    from offblock.session import scratch_path
+
+    out = scratch_path(spark, "cli")
+    done = run(["all", "--out", out, "--from-driver", sf, "--models", "linear_regression", "--trials", "1",
+                "--n-samples", "5"], spark=spark)
+    assert set(done) == {"silver", "gold", "train", "predict"} and done["predict"] == 5
+    assert spark.read.option("header", True).csv(out + "/predictions/dashboard_csv").count() == 5
+
+
+def test_command_line_from_csv_bronze(spark, sf):
+    from offblock.__main__ import run
+    from offblock.plans.silver import bronze_from_driver
+    from offblock.session import scratch_path
+
+    src = scratch_path(spark, "cli-bronze")
+    paths = {}
+    for name, df in bronze_from_driver(spark, sf).items():
+        paths[name] = f"{src}/{name}.csv"
+        df.write.mode("overwrite").option("header", True).csv(paths[name])
+    out = scratch_path(spark, "cli-csv")
+    done = run(["silver", "--out", out, "--airport-train", paths["airport_train"], "--airport-test",
+                paths["airport_test"], "--geography", paths["geography"], "--weather", paths["weather"],
+                "--table", f"glossary={paths['geography']}"], spark=spark)
+    assert set(done["silver"]) == {"airport_train", "airport_test", "geography", "weather"}
+    run(["gold", "--out", out], spark=spark)
+    tr = spark.read.parquet(out + "/gold/train_default")
+    assert tr.count() > 0 and "planes_30min" in tr.columns
+    assert spark.read.parquet(out + "/silver/glossary").count() == 25
