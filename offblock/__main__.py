@@ -57,6 +57,8 @@ def run(argv: list[str] | None = None, spark=None) -> dict:
     ap.add_argument("--run-id")
     ap.add_argument("--n-samples", type=int, default=10)
     ap.add_argument("--seed", type=int, default=42)
+    ap.add_argument("--best-over-all-types", action="store_true",
+                    help="choose the best run ignoring the model type (the reference's rule)")
     a = ap.parse_args(argv)
     spark = spark or _session(a.local)
     p = _paths(a.out)
@@ -97,7 +99,8 @@ def run(argv: list[str] | None = None, spark=None) -> dict:
         from offblock.plans.predict import create_predictions
 
         mt = a.model_type if a.stage == "predict" else (a.models.split(",")[0] or a.model_type)
-        dash = create_predictions(spark, p["gold"], p["runs"], mt, a.run_id, a.n_samples, a.seed, p["predictions"])
+        dash = create_predictions(spark, p["gold"], p["runs"], mt, a.run_id, a.n_samples, a.seed, p["predictions"],
+                                  best_of_type=not a.best_over_all_types)
         done["predict"] = dash.count()
     return done
 

@@ -158,3 +158,15 @@ def test_command_line_from_csv_bronze(spark, sf):
     tr = spark.read.parquet(out + "/gold/train_default")
     assert tr.count() > 0 and "planes_30min" in tr.columns
     assert spark.read.parquet(out + "/silver/glossary").count() == 25
+
+
+def test_best_run_of_type_for_prediction(spark, stages):
+    out, _, gold, _ = stages
+    from offblock.plans.predict import choose_run, create_predictions
+
+    runs_path = out + "/runs"
+    assert spark.read.parquet(runs_path).select("model_type").distinct().count() >= 2
+    best_rf = choose_run(spark, runs_path, "random_forest")
+    assert best_rf["model_type"] == "random_forest"
+    dash = create_predictions(spark, gold, runs_path, "random_forest", n_samples=3, best_of_type=True)
+    assert dash.count() == 3
