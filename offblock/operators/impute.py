@@ -27,7 +27,9 @@ def learn_medians(df: DataFrame, cols: list[str] | None = None, only_missing: bo
     """Exact medians of numeric columns (those having missing values by default).
 
     Uses ``exact_median`` (histogram refinement), not ``percentile``/``median``,
-    whose buffers hold every distinct value of a column in one task.
+    whose buffers hold every distinct value of a column in one task. The search
+    reads its input a few times: pass a written table (or ``cut_lineage``), not
+    a long lazy plan.
     """
     cols = cols if cols is not None else numeric_columns(df)
     if only_missing and cols:

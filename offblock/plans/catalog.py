@@ -20,7 +20,7 @@ from offblock.functions import (
 )
 from offblock.operators import encode, filters, groups, impute, joins, metrics, report, runs, sampling, schema, split
 from offblock.operators.traffic import band_counts, planes_in_window
-from offblock.session import scratch_path
+from offblock.session import cut_lineage, scratch_path
 from offblock.sources import driver_tables as dt
 from offblock.sources.files import scan_by_suffix, scan_csv, scan_parquet, sink_csv, sink_parquet
 
@@ -214,7 +214,9 @@ def r26_distinct_points(spark, sf):
 # --- R27-R33 aggregates --------------------------------------------------------
 
 def r27_learn_medians(spark, sf):
-    med = impute.learn_medians(_fl_wx(spark, sf), ["temperature", "taxi"], only_missing=False)
+    # the exact search makes a few passes: give it a written input, not a lazy join
+    joined = cut_lineage(_fl_wx(spark, sf).select("temperature", "taxi"), "r27")
+    med = impute.learn_medians(joined, ["temperature", "taxi"], only_missing=False)
     return spark.createDataFrame([(med["temperature"], med["taxi"])], "temperature double, taxi double")
 
 
