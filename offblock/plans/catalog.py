@@ -433,7 +433,7 @@ def r51_digits_to_int(spark, sf):
 
 
 def r52_fill_with_median(spark, sf):
-    df = _fl_wx(spark, sf)
+    df = cut_lineage(_fl_wx(spark, sf).select("flight_id", "copy_no", "temperature"), "r52")
     med = impute.learn_medians(df, ["temperature"])
     return impute.fill_with_median(df, med).select("flight_id", "copy_no", "temperature")
 
