@@ -10,6 +10,7 @@ from offblock.functions.datetime import (  # noqa: F401
     parse_iso_datetime,
     parse_mdy_hm,
     standardize_datetime_text,
+    truncate_to_second,
 )
 from offblock.functions.geo import haversine_m, log_distance  # noqa: F401
 from offblock.functions.numeric import impact_direction, impact_tone, round_half_even, seconds_to_minutes  # noqa: F401

@@ -39,9 +39,20 @@ def parse_iso_datetime(c: Column | str) -> Column:
     return _col(c).try_cast("timestamp_ntz")
 
 
+def _year4(t: Column) -> Column:
+    y = F.year(t).cast("string")
+    return F.when(F.length(y) < 4, F.lpad(y, 4, "0")).otherwise(y)
+
+
 def format_mdy_hm(ts: Column | str) -> Column:
-    """``M/D/YYYY H:MM`` text (no leading zeros on month, day, hour)."""
-    return F.date_format(_col(ts), "M/d/yyyy H:mm")
+    """``M/D/YYYY H:MM`` text (no leading zeros on month, day, hour).
+
+    Built from the TIMESTAMP_NTZ fields: ``date_format`` goes through the
+    session zone and would print a DST-gap time an hour later.
+    """
+    t = _col(ts)
+    return F.concat(F.month(t).cast("string"), F.lit("/"), F.dayofmonth(t).cast("string"), F.lit("/"), _year4(t),
+                    F.lit(" "), F.hour(t).cast("string"), F.lit(":"), F.lpad(F.minute(t).cast("string"), 2, "0"))
 
 
 def standardize_datetime_text(c: Column | str) -> Column:
@@ -51,9 +62,18 @@ def standardize_datetime_text(c: Column | str) -> Column:
     return format_mdy_hm(ts)
 
 
+def truncate_to_second(ts: Column | str) -> Column:
+    """Drop fractional seconds of a TIMESTAMP_NTZ without passing through the session zone
+    (``date_trunc`` returns a zoned TIMESTAMP, which moves times inside a DST gap)."""
+    t = _col(ts)
+    frac_us = F.pmod(F.timestamp_diff("MICROSECOND", _epoch(), t), F.lit(1_000_000))
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (frac_us / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
 def format_hh_mm(ts: Column | str) -> Column:
-    """Departure time as ``HH:MM``."""
-    return F.date_format(_col(ts), "HH:mm")
+    """Departure time as ``HH:MM`` (from the NTZ fields, zone-free)."""
+    t = _col(ts)
+    return F.concat(F.lpad(F.hour(t).cast("string"), 2, "0"), F.lit(":"), F.lpad(F.minute(t).cast("string"), 2, "0"))
 
 
 def delay_seconds(aobt: Column | str, scheduled: Column | str) -> Column:

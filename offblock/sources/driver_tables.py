@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offblock.functions.datetime import format_mdy_hm
+from offblock.functions.datetime import format_mdy_hm, truncate_to_second
 
 TRAIN_CUTOFF = "2024-01-25 00:00:00"
 
@@ -37,7 +37,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(fid % 5 == 2, F.lit(None).cast("string")).otherwise(F.lit("A320")))
     return ev.select(
         fid.alias("flight_id"),
-        F.date_trunc("second", F.col("ts")).cast("timestamp_ntz").alias("aobt"),
+        truncate_to_second(F.col("ts").cast("timestamp_ntz")).alias("aobt"),
         (fid * 37 % 1800).alias("lag_s"),
         F.when(fid % 101 == 0, F.lit(None).cast("double")).otherwise((F.col("value") * 100).cast("double")).alias("taxi"),
         F.concat(F.lit("STAND_"), (F.col("user_id") % 26).cast("string")).alias("stand"),
@@ -87,7 +87,7 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _airport_columns(fl: DataFrame, iso_text: bool) -> DataFrame:
     sched = F.col("aobt") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("lag_s").cast("decimal(18,6)"))
     atot = F.col("aobt") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("taxi").cast("decimal(18,6)"))
-    fmt = (lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")) if iso_text else format_mdy_hm
+    fmt = (lambda c: truncate_to_second(c).cast("string")) if iso_text else format_mdy_hm
     return fl.select(
         "flight_id",
         fmt(sched).alias("Flight Datetime"),

@@ -38,6 +38,21 @@ def test_parse_is_zone_independent(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_ntz_helpers_are_zone_independent(spark):
+    from offblock.functions import format_hh_mm, format_mdy_hm, truncate_to_second
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2024-03-10 02:30:15.5",), ("1969-12-31 23:59:59.25",)], "s string")
+        out = df.select(truncate_to_second(F.col("s").cast("timestamp_ntz")).alias("t")).select(
+            F.col("t").cast("string").alias("t"), format_mdy_hm("t").alias("f"), format_hh_mm("t").alias("h")).collect()
+        assert [(r["t"], r["f"], r["h"]) for r in out] == [("2024-03-10 02:30:15", "3/10/2024 2:30", "02:30"),
+                                                          ("1969-12-31 23:59:59", "12/31/1969 23:59", "23:59")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_standardize_datetime_text(spark):
     out = run(spark, ["2019-12-31 20:30:59", "bad", "1/2/2019 3:04"], standardize_datetime_text)
     assert out == ["12/31/2019 20:30", None, "1/2/2019 3:04"]
