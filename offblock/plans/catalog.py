@@ -321,7 +321,7 @@ def r38b_dashboard_cards(spark, sf):
     fl = _fl(spark, sf)
     fid = F.col("flight_id")
     df = fl.select(
-        F.date_format("aobt", "yyyy-MM-dd HH:mm").alias("Departure Time"),
+        F.substring(F.col("aobt").cast("string"), 1, 16).alias("Departure Time"),
         F.concat(F.when(fid % 7 == 0, F.lit(" ")).otherwise(F.lit("")), F.col("flight_no")).alias("Flight Number"),
         F.col("stand").alias("Stand"), F.col("runway").alias("Runway"),
         (F.lit(600.5) + F.col("lag_s").cast("double")).alias("Predicted Taxi Time (s)"),
@@ -400,7 +400,7 @@ def r47_format_datetime(spark, sf):
     return fl.select(
         "flight_id",
         format_mdy_hm("aobt").alias("aobt_text"),
-        standardize_datetime_text(F.date_format("aobt", "yyyy-MM-dd HH:mm:ss")).alias("from_iso"),
+        standardize_datetime_text(F.col("aobt").cast("string")).alias("from_iso"),
     )
 
 
@@ -445,7 +445,7 @@ def r53_trim_text(spark, sf):
 
 def r54_parse_iso_datetime(spark, sf):
     fl = _fl(spark, sf)
-    return fl.select("flight_id", parse_iso_datetime(F.date_format("aobt", "yyyy-MM-dd HH:mm:ss")).alias("departure"))
+    return fl.select("flight_id", parse_iso_datetime(F.col("aobt").cast("string")).alias("departure"))
 
 
 def r55_seconds_to_minutes(spark, sf):
