@@ -170,3 +170,14 @@ def test_best_run_of_type_for_prediction(spark, stages):
     assert best_rf["model_type"] == "random_forest"
     dash = create_predictions(spark, gold, runs_path, "random_forest", n_samples=3, best_of_type=True)
     assert dash.count() == 3
+
+
+def test_gold_traffic_counts_are_per_set_brute_force(spark, stages):
+    _, _, gold, _ = stages
+    for part in ("train", "test"):
+        pdf = spark.read.parquet(gold[f"{part}_default"]).select("aobt_ts", "planes_30min", "planes_10min").toPandas()
+        t = pdf["aobt_ts"].astype("int64").to_numpy() // 10**9 if str(pdf["aobt_ts"].dtype).startswith("datetime64[ns") \
+            else pdf["aobt_ts"].astype("datetime64[s]").astype("int64").to_numpy()
+        for col, w in (("planes_30min", 1800), ("planes_10min", 600)):
+            want = np.array([np.sum(np.abs(t - x) <= w) - 1 for x in t], dtype=float)
+            assert np.array_equal(pdf[col].to_numpy(), want), (part, col)
