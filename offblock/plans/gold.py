@@ -11,9 +11,11 @@ every consumer orders or splits by the carried keys.
 Spark plan notes: the distance side is broadcast (size-checked); the weather
 join is a shuffle join on the four text keys; the filter is pushed below both
 joins by Catalyst; the traffic count is the bucketed window of ``traffic``.
-The pre-encoding frame is checkpointed once so category learning, encoding and
-the write do not recompute the joins; the written default table then feeds
-the medians.
+The joined, filtered frame is written once per set (a Parquet checkpoint, before
+the traffic count), so the traffic count, category learning and the encoded
+write read it instead of re-running the joins; the written default table then
+feeds the medians. Train and test joins, and the test write alongside the
+training medians, run as concurrent jobs.
 """
 
 from __future__ import annotations
