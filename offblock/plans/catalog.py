@@ -2,7 +2,9 @@
 
 Every query reads the driver tables through the adapter views (whole tables,
 no id subsets or row caps; a limit appears only where it is the feature:
-R38 head, R39 sample, R30 best run). Column names match ``oracle.py``.
+R38/R38b first n, R39/R40 samples, R30 best run). Column names match
+``oracle.py``. Model queries (R61-R76) train with small search settings
+(``QUICK_SPACES``) on the gold tables built once per session.
 """
 
 from __future__ import annotations
