@@ -192,3 +192,21 @@ def test_kth_key_hot_first_key(spark, monkeypatch):
     for k in (1, 12, 30, 31, 55, 70):
         assert select.kth_key(df, [F.col("a"), F.col("b")], k) == list(srt[k - 1])
     assert select.kth_key(df, [F.col("a"), F.col("b")], 71) is None
+
+
+def test_distance_join_falls_back_beyond_the_size_limit(spark, sf):
+    from offblock.plans.catalog import _fl, _silver_geo
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fl = _fl(spark, sf).select("flight_id", "runway", "stand")
+        small = joins.join_distance(fl, _silver_geo(spark, sf), max_rows=1000)
+        big = joins.join_distance(fl, _silver_geo(spark, sf), max_rows=1)
+        p_small = small._jdf.queryExecution().sparkPlan().toString()
+        p_big = big._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in p_small
+        assert "SortMergeJoin" in p_big and not any(
+            "BroadcastHashJoin" in ln and "LeftOuter" in ln for ln in p_big.splitlines())
+        assert sorted(small.collect()) == sorted(big.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
