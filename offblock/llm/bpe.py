@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offblock.llm.common import small_batches
+
 #: Matches of up to so many bytes are encoded many at a time.
 VECTOR_BYTES = 64
 #: Encoded pieces that a task keeps.
@@ -217,6 +219,7 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str
     vocabulary file, whose size does not depend on the data. Rows, repeated ones
     included, are encoded one by one; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):

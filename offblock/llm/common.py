@@ -55,3 +55,10 @@ def semi(big: DataFrame, small: DataFrame, column: str) -> DataFrame:
     if small.count() <= BROADCAST_ROWS:
         small = F.broadcast(small)
     return big.join(small, big[column].eqNullSafe(small["_k"]), "left_semi")
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand documents to Python in batches of at most so many rows, so that a task's memory stays small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)

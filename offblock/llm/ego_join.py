@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import partitions, written
+from offblock.llm.common import partitions, small_batches, written
 from offblock.llm.linking import connected_components
 
 COSINE = 0.9
@@ -263,6 +263,7 @@ def cosine_components(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
     """
     eps = math.sqrt(2 - 2 * cosine) + 1e-9
     d = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"))
+    small_batches(vectors.sparkSession)
     rows = written(d.mapInArrow(vector_rows, "vec_id long, node long, dim int, data binary"), "vectors")
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.first("dim").alias("dim"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("vec_id"), F.first("data").alias("data"))

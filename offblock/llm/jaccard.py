@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import partitions, semi, written
+from offblock.llm.common import partitions, semi, small_batches, written
 from offblock.llm.linking import link
 
 WORDS = 5
@@ -34,7 +34,7 @@ COUNTERS_PER_ROW = 4096
 #: Hash ranges of the suffix filter.
 RANGES = 16
 #: Word hashes that a task keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                         0xC4CEB9FE1A85EC53], np.uint64)
 
@@ -201,6 +201,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     compared by 64-bit hashes of their shingles. Other columns are not read.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     both = written(d.mapInArrow(set_rows, SETS), "sets")
     rows = both.where("part is null").select("doc_id", "n", "node", "ranges")
     counts = summed(both)

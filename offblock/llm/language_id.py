@@ -18,11 +18,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import held_out
+from offblock.llm.common import held_out, small_batches
 
 FOLDS = 4
 FEATURE_BITS = 18
@@ -33,23 +32,60 @@ RUN_WORDS = 25
 EPOCHS = 4
 #: Words of which a task keeps features' sums, and words that are labelled together.
 CACHE_WORDS = 300_000
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 400_000
+#: Letters of a word that features are taken from.
+WIDTH = 24
 NO_LANGUAGE = "und"
 
 
 def letters(token: str) -> str:
     """Lower-cased letters of a token."""
-    return "".join(filter(str.isalpha, token)).lower()
+    return (token if token.isalpha() else "".join(filter(str.isalpha, token))).lower()
 
 
-def features(word: str) -> list[int]:
-    """Hashed features of a word (its letters)."""
-    w = word[:40]  # features of a longer run of letters come from both its ends
-    if len(word) > 40:
-        w = word[:20] + word[-20:]
-    keys = ["w" + word] + ["<" + w[:k] for k in (1, 2, 3)] + [">" + w[-k:] for k in (1, 2, 3)]
-    keys += [w[i : i + k] for k in (2, 3) for i in range(len(w) - k + 1)]
-    return [xxhash.xxh32_intdigest(k.encode("utf-8", "surrogatepass")) >> (32 - FEATURE_BITS) for k in keys]
+def _hashed(h: np.ndarray, salt: int) -> np.ndarray:
+    h = (h ^ np.uint32(salt * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return (h >> np.uint32(32 - FEATURE_BITS)).astype(np.int64)
+
+
+def features(words: list[str]):
+    """Columns (rows, hashed features) of words of letters: the word, affixes, bigrams and trigrams.
+
+    Of a word longer than WIDTH the two ends count.
+    """
+    half = WIDTH // 2
+    cut = [w if len(w) <= WIDTH else w[:half] + w[-half:] for w in words]
+    size = np.fromiter(map(len, cut), np.int64, len(cut))
+    c = np.array(cut, dtype=f"U{WIDTH}").view(np.uint32).reshape(len(cut), WIDTH)
+    order = np.argsort(-size, kind="stable")  # the words that reach a place are a leading part
+    c, size = c[order], size[order]
+    reach = [int(np.searchsorted(-size, -k, side="right")) for k in range(WIDTH + 1)]  # words of at least k letters
+    prime = np.uint32(16777619)
+    whole = np.zeros(len(cut), np.uint32)
+    for k in range(WIDTH):
+        n = reach[k + 1]
+        whole[:n] = whole[:n] * prime + c[:n, k]
+    yield order, _hashed(whole, 1)
+    for k in (1, 2, 3):
+        n = reach[k]
+        head, tail = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
+        for j in range(k):
+            head = head * prime + c[:n, j]
+            tail = tail * prime + c[np.arange(n), size[:n] - k + j]
+        yield order[:n], _hashed(head, 1 + k)
+        yield order[:n], _hashed(tail, 4 + k)
+    for k in (2, 3):
+        for i in range(WIDTH - k + 1):
+            n = reach[i + k]
+            if not n:
+                break
+            gram = np.zeros(n, np.uint32)
+            for j in range(k):
+                gram = gram * prime + c[:n, i + j]
+            yield order[:n], _hashed(gram, 6 + k)
 
 
 class Field:
@@ -60,16 +96,23 @@ class Field:
         n = len(languages)
         self.w, self.t = np.zeros((1 << FEATURE_BITS, n), np.float32), np.eye(n)
 
-    def emission(self, word: str) -> np.ndarray:
-        return self.w[features(word)].sum(0)
+    def emission(self, words: list[str]) -> np.ndarray:
+        """(words, L): the sums of the words' feature weights."""
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        for rows, f in features(words) if words else ():
+            out[rows] += self.w[f]
+        return out
 
     def fit(self, runs: list[tuple[str, list[str]]], epochs: int = EPOCHS, seed: int = 7) -> Field:
         """Maximise the likelihood of the labels of runs (language, words)."""
         rng, n = np.random.default_rng(seed), len(self.languages)
         index = {x: i for i, x in enumerate(self.languages)}
         runs = [(index[x], words) for x, words in runs if words]
-        known: dict[str, np.ndarray] = {}
-        runs = [(y, [known.setdefault(w, np.array(features(w))) if w not in known else known[w] for w in words]) for y, words in runs]
+        vocabulary = sorted({w for _, words in runs for w in words})
+        rows, feats = map(np.concatenate, zip(*features(vocabulary), strict=True)) if vocabulary else (np.empty(0, int), np.empty(0, int))
+        by_word = np.argsort(rows, kind="stable")
+        of = dict(zip(vocabulary, np.split(feats[by_word], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))[:-1]), strict=True))
+        runs = [(y, [of[w] for w in words]) for y, words in runs]
         g_w, g_t, rate = np.full(self.w.shape, 1e-6, np.float32), np.full(self.t.shape, 1e-6), 0.2
         for _ in range(epochs if n > 1 else 0):
             order = rng.permutation(len(runs))
@@ -171,6 +214,7 @@ def predict(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     `und` and 0 for null texts, texts without a letter, and a field without
     languages. Ties go to the first language in order.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     kept = docs.drop("lang_pred", "score")
     names = kept.columns
@@ -180,50 +224,44 @@ def predict(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
         n = max(1, len(f.languages))
         index: dict[str, int] = {}
         table = np.zeros((CACHE_WORDS + 1, n), np.float32)  # row 0: no letters
-
-        def row(token):
-            word = letters(token)
-            if not word or not f.languages:
-                index[token] = 0
-                return 0
-            i = row.used = row.used + 1
-            table[i] = f.emission(word)
-            index[token] = i
-            return i
-
-        row.used = 0
+        used = 0
+
+        def learn(tokens):
+            """Give the tokens rows of the table."""
+            nonlocal table, used
+            new = [t for t in tokens if t not in index]
+            if used + len(new) > CACHE_WORDS:
+                index.clear()
+                new, used = list(tokens), 0
+            if len(new) > len(table) - 1:  # more than the table holds: one very long text
+                table = np.zeros((len(new) + 1, n), np.float32)
+            words = list(map(letters, new))
+            some = [i for i, w in enumerate(words) if w and f.languages]
+            index.update(dict.fromkeys(new, 0))
+            index.update((new[i], used + k) for k, i in enumerate(some, 1))
+            table[used + 1 : used + 1 + len(some)] = f.emission([words[i] for i in some])
+            used += len(some)
 
         def label(texts):
             """Sums of label probabilities of each text."""
-            rows, size = [], []
-            for t in texts:
-                got = [i if (i := index.get(x)) is not None else row(x) for x in t]
-                a = np.array(got, np.int64)
-                a = a[a > 0]
-                rows.append(a)
-                size.append(len(a))
-            size = np.array(size)
+            learn(set().union(*texts))
+            rows = [np.fromiter(map(index.__getitem__, t), np.int64, len(t)) for t in texts]
+            rows = [a[a > 0] for a in rows]
+            size = np.array([len(a) for a in rows])
             live = size > 0
             sums = np.zeros((len(texts), n))
             if live.any():
                 gamma = posteriors(table[np.concatenate(rows)].astype(np.float64), size[live], f.t)
-                ends = np.cumsum(size[live])
-                sums[live] = np.add.reduceat(gamma, ends - size[live], axis=0)
+                sums[live] = np.add.reduceat(gamma, np.cumsum(size[live]) - size[live], axis=0)
             return sums
 
         for batch in batches:
             sums, held, words = [], [], 0
             for t in batch.column(text).to_pylist():
                 tokens = (t or "").split()
-                # the table has room for all tokens of a block, unless one text alone has more than it holds
-                if held and (words + len(tokens) > BLOCK_WORDS or row.used + words + len(tokens) > CACHE_WORDS):
+                if held and words + len(tokens) > BLOCK_WORDS:
                     sums.append(label(held))
                     held, words = [], 0
-                if row.used + len(tokens) > CACHE_WORDS:
-                    index.clear()
-                    row.used = 0
-                    if len(tokens) > CACHE_WORDS:
-                        table = np.zeros((len(tokens) + 1, n), np.float32)
                 held.append(tokens)
                 words += len(tokens)
             sums.append(label(held))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import held_out, partitions, row_ids, written
+from offblock.llm.common import held_out, partitions, row_ids, small_batches, written
 
 FOLDS = 7
 #: Words that are broadcast.
@@ -246,6 +246,7 @@ def score_documents(docs: DataFrame, model_path: str, doc_id: str = "doc_id", te
     """
     spark = docs.sparkSession
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), held_out(doc_id, folds).alias("held_out"))
+    small_batches(docs.sparkSession)
     plain = written(word_counts(d.where("not held_out")), "words")
     total = plain.agg(F.sum("c"), F.count(F.lit(1))).first()
     tokens, distinct = total[0] or 0, total[1]

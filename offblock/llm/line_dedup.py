@@ -23,13 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import semi, written
+from offblock.llm.common import semi, small_batches, written
 from offblock.llm.linking import link
 
 EDITS = 2
 MIN_CHARS = 40
 #: Digests of lines seen that a task keeps.
-SEEN_LINES = 400_000
+SEEN_LINES = 200_000
 
 
 def line_node(line: str) -> int:
@@ -198,6 +198,7 @@ LAST_ID = 2**63 - 1
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, lines): the (line_no, node) of each document that are not the first of their class."""
+    small_batches(docs.sparkSession)
     at = written(docs.mapInArrow(occurrences, "doc_id long, line_no int, node long"), "line-places")
     place = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("d"), "line_no")
     nodes = written(at.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-nodes")
