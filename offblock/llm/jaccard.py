@@ -210,7 +210,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     need = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100.0 + PERCENT) - 1e-9)
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    keep = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (rest >= need)
+    length = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
 
     def verify(pairs: DataFrame) -> DataFrame:
         info = nodes.select("node", "ranges")
@@ -225,7 +225,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         both = F.size(F.array_intersect("sa", "sb"))
         return q.where(100 * both >= PERCENT * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
-    labels = link(prefix_entries(d, counts), verify, keep)
+    labels = link(prefix_entries(d, counts), verify, length & (rest >= need), length)
     ids = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("c"))
     low = ids.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     of = ids.join(low, "c").select("node", "component_id")

@@ -131,13 +131,13 @@ def occurrences(batches):
 
 
 def segment_entries(batches):
-    """(key, node, n, pos) of every line that is new to this task."""
+    """(key, node, n, pos) of every line that is new to this task; pos is the place of the key in probes(n)."""
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
     seen, plans = set(), {}
     digest = xxhash.xxh3_64_intdigest
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
-            keys, nodes, sizes = [], [], []
+            keys, nodes, sizes, places = [], [], [], []
             for text in batch.slice(start, 512).column("text").to_pylist():
                 for line in (text or "").split("\n"):
                     if len(line) < MIN_CHARS:
@@ -157,8 +157,9 @@ def segment_entries(batches):
                     keys += [digest(line[s:t].encode("utf-8", "surrogatepass"), p) - (1 << 63) for p, s, t in plan]
                     nodes += [node] * len(plan)
                     sizes += [n] * len(plan)
+                    places += range(len(plan))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
-                                              pa.array([0] * len(keys), pa.int32())], schema=schema)
+                                              pa.array(places, pa.int32())], schema=schema)
 
 
 def candidate_lines(batches):
@@ -176,21 +177,47 @@ def true_pairs(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
 
+def refined_entries(batches):
+    """Entries (key, node, n, pos, line) under finer keys.
+
+    Two lines that meet at a segment, left of it within some edits and right of it
+    within the rest of EDITS, are within EDITS also without the segment. So what is
+    left of each line is cut and probed as a line is, under the key it has.
+    """
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+    for batch in batches:
+        keys, nodes, sizes = [], [], []
+        for key, node, n, pos, line in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "pos", "line")), strict=True):
+            _, _, start, size = probes(n)[pos]
+            left = line[:start] + line[start + size :]
+            plan = probes(len(left))
+            keys += [xxhash.xxh3_64_intdigest(f"{key} {l} {i} {left[s : s + z]}".encode("utf-8", "surrogatepass")) - (1 << 63) for l, i, s, z in plan]
+            nodes += [node] * len(plan)
+            sizes += [n] * len(plan)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(len(keys), pa.int32())], schema=schema)
+
+
 def line_classes(docs: DataFrame, where: DataFrame) -> DataFrame:
     """(node, component) of the lines alike to another line.
 
     docs: doc_id, text; where: (node, doc_id), a document of each line.
     """
-    def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        of = written(where.join(ids, "node"), "asked")
+    def lines_of(nodes: DataFrame) -> DataFrame:
+        of = written(where.join(nodes.distinct(), "node"), "asked")
         lines = semi(docs, of.select("doc_id"), "doc_id").select("text").mapInArrow(candidate_lines, "node long, line string")
-        lines = written(lines.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]), "lines")
+        return written(lines.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]), "lines")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        lines = lines_of(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).toDF("node"))
         both = pairs.select("a", "b").join(lines.toDF("a", "la"), "a").join(lines.toDF("b", "lb"), "b")
         return both.mapInArrow(true_pairs, "a long, b long")
 
+    def refine(entries: DataFrame) -> DataFrame:
+        return entries.join(lines_of(entries.select("node")), "node").mapInArrow(refined_entries, "key long, node long, n int, pos int")
+
     entries = docs.select("text").mapInArrow(segment_entries, "key long, node long, n int, pos int")
-    return link(entries, verify, F.abs(F.col("na") - F.col("nb")) <= EDITS)
+    near = F.abs(F.col("na") - F.col("nb")) <= EDITS
+    return link(entries, verify, near, near, refine)
 
 
 LAST_ID = 2**63 - 1

@@ -6,11 +6,14 @@ of true links, exactly, and verifies each pair at most once:
 
 1. each node meets the first node and the node before it under each key; keys
    with very many nodes are salted into groups of at most HOT_NODES;
-2. under each key, one node of each component found so far (another one for
-   each key) meets one of the largest component;
+2. in up to PROBE_ROUNDS rounds, under a share of the keys, one node of each
+   component found so far (another one for each key and round) meets one of the
+   largest component;
 3. the pairs that are left, those under one key and in different components,
-   are all verified. A group of copies is one component by then, so what is
-   left does not grow with the square of its size.
+   are all verified. A group of copies is mostly one component by then, so what
+   is left does not grow with the square of its size. Keys that hold many nodes
+   of different components can be refined first (`refine`), by further keys that
+   every true pair under the key shares.
 
 Pairs in one component need no check, since the components are the result.
 """
@@ -27,6 +30,10 @@ from offblock.llm.common import partitions, written
 
 #: Nodes under one key that are paired in one group; more are salted.
 HOT_NODES = 20_000
+#: Rounds of step 2, and the share of the keys (one in so many) that each looks at.
+PROBE_ROUNDS, PROBE_SHARE = 3, 4
+#: Keys with more nodes are refined in step 3.
+REFINED_NODES = 16
 
 Verify = Callable[[DataFrame], DataFrame]
 
@@ -100,14 +107,17 @@ def _pairs(df: DataFrame, x: str, y: str, keep: Column) -> DataFrame:
     return d.where(keep).select("a", "b", "na", "nb").distinct()
 
 
-def link(entries: DataFrame, verify: Verify, keep: Column | None = None) -> DataFrame:
+def link(entries: DataFrame, verify: Verify, keep: Column | None = None, length: Column | None = None, refine: Verify | None = None) -> DataFrame:
     """(node, component) of the nodes with a true link.
 
     entries: key, node (long), n and pos (int; size of the node, place of the key
     in it). keep: a filter on na, pa, nb, pb that every true pair passes under one
-    of its keys at least. verify: (a, b, na, nb) -> (a, b) of true links.
+    of its keys at least; length: one on na and nb that it always passes. verify:
+    (a, b, na, nb) -> (a, b) of true links. refine: entries -> entries, so that
+    every true pair under a key shares one of the new keys.
     """
-    keep = F.lit(True) if keep is None else keep
+    true = F.lit(True)
+    keep, length = true if keep is None else keep, true if length is None else length
     e = written(shared_entries(entries), "entries")
     hot = e.groupBy("key").count().where(F.col("count") > HOT_NODES)
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("count", F.lit(1)) / HOT_NODES))
@@ -117,25 +127,41 @@ def link(entries: DataFrame, verify: Verify, keep: Column | None = None) -> Data
     met = met.select("x", F.array(F.first("x").over(w), F.lag("x").over(w)).alias("ys"))
     met = met.select("x", F.explode("ys").alias("y")).where("y is not null")
     done = written(_pairs(met, "x", "y", keep), "pairs")
-    links = written(verify(done), "links")
-    labels = written(connected_components(links), "labels")
-    for last in (False, True):
+    labels = written(connected_components(written(verify(done), "links")), "labels")
+
+    def mixed(e: DataFrame) -> DataFrame:
+        """Entries with their component c, under keys with several."""
         c = e.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        mixed = c.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-        c = written(c.join(mixed, "key"), "mixed")
-        if c.isEmpty():
-            break
-        if not last:
-            one = c.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"), F.min_by(me, F.xxhash64("node", "key")).alias("x"))
-            w = Window.partitionBy("key").orderBy(F.desc("size"), "c")
-            pairs = _pairs(one.select("x", F.first("x").over(w).alias("y")), "x", "y", keep)
-        else:
-            l, r = c.select("key", F.col("c").alias("cl"), me.alias("x")), c.select("key", F.col("c").alias("cr"), me.alias("y"))
-            pairs = _pairs(l.join(r, "key").where("x.node < y.node and cl <> cr"), "x", "y", keep)
+        several = c.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+        return written(c.join(several, "key"), "mixed")
+
+    def joined(pairs: DataFrame) -> bool:
+        """Verify the pairs that are new; whether a link was among them."""
+        nonlocal done, labels
         pairs = written(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        found = written(verify(pairs), "links")
         done = done.unionByName(pairs)
-        if not found.isEmpty():
-            stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            labels = written(connected_components(found.select("a", "b").unionByName(stars)), "labels")
+        found = written(verify(pairs), "links")
+        if found.isEmpty():
+            return False
+        stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = written(connected_components(found.select("a", "b").unionByName(stars)), "labels")
+        return True
+
+    c = mixed(e)
+    for k in range(PROBE_ROUNDS):
+        if c.isEmpty():
+            return labels
+        share = c.where(F.pmod(F.xxhash64("key", F.lit(k)), F.lit(PROBE_SHARE)) == 0)
+        one = share.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"), F.min_by(me, F.xxhash64("node", "key", F.lit(k))).alias("x"))
+        w = Window.partitionBy("key").orderBy(F.desc("size"), "c")
+        if not joined(_pairs(one.select("x", F.first("x").over(w).alias("y")), "x", "y", length)):
+            break
+        c = mixed(c.select(*e.columns))
+    if refine is not None and not c.isEmpty():
+        many = c.groupBy("key").count().where(F.col("count") > REFINED_NODES).select("key")
+        many = written(many, "many")
+        finer = shared_entries(refine(c.join(many, "key").select(*e.columns)))
+        c = mixed(c.join(many, "key", "left_anti").select(*e.columns).unionByName(finer))
+    l, r = c.select("key", F.col("c").alias("cl"), me.alias("x")), c.select("key", F.col("c").alias("cr"), me.alias("y"))
+    joined(_pairs(l.join(r, "key").where("x.node < y.node and cl <> cr"), "x", "y", keep))
     return labels
