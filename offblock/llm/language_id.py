@@ -108,8 +108,10 @@ class Field:
         rng, n = np.random.default_rng(seed), len(self.languages)
         index = {x: i for i, x in enumerate(self.languages)}
         runs = [(index[x], words) for x, words in runs if words]
+        if not runs:
+            return self
         vocabulary = sorted({w for _, words in runs for w in words})
-        rows, feats = map(np.concatenate, zip(*features(vocabulary), strict=True)) if vocabulary else (np.empty(0, int), np.empty(0, int))
+        rows, feats = map(np.concatenate, zip(*features(vocabulary), strict=True))
         by_word = np.argsort(rows, kind="stable")
         of = dict(zip(vocabulary, np.split(feats[by_word], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))[:-1]), strict=True))
         runs = [(y, [of[w] for w in words]) for y, words in runs]

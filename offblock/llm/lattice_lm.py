@@ -34,8 +34,10 @@ FOLDS = 7
 #: Words that are broadcast.
 HEAD_WORDS = 1 << 17
 #: Rounds of fitting the pieces' scores, on words of up to FIT_CHARS characters; added to each expected count.
-ROUNDS = 2
+ROUNDS = 1
 FIT_CHARS = 40
+#: Words of one length that are fitted on at a time.
+FIT_WORDS = 2048
 DELTA = 0.01
 #: Distinct words that a task counts before it gives them out, and scores that it keeps.
 TASK_WORDS = 500_000
@@ -146,17 +148,19 @@ class Lattice:
         total = alpha[n] * self.end
         ok = total > 1e-290  # less is beyond doubles: such words are spelt by bytes, and tell nothing about pieces
         inverse = np.where(ok, 1 / np.where(ok, total, 1), 0)
-        for k, (i, j) in enumerate(spans):
-            used = alpha[i] * p[:, k] * beta[j] * inverse
-            hit = used > 0
-            np.add.at(counts.first if i == 0 else counts.rest, ids[hit, k], used[hit])
-        by = alpha[:n] * spelt.T * beta[1:] * inverse
-        for i in range(n):
-            for c, x in zip((w[i] for w in raw), by[i].tolist(), strict=True):
-                if x:
-                    (counts.rest_bytes if i else counts.first_bytes)[c[0]] += x
-                    for b in c[1:]:
-                        counts.rest_bytes[b] += x
+        used = np.stack([alpha[i] * beta[j] for i, j in spans], 1) * p * inverse[:, None]
+        begins = sum(i == 0 for i, _ in spans)
+        for kind, at in ((counts.first, slice(0, begins)), (counts.rest, slice(begins, None))):
+            kind += np.bincount(ids[:, at].ravel() + 1, used[:, at].ravel(), len(kind))[np.r_[1 : len(kind), 0]]
+        by = (alpha[:n] * spelt.T * beta[1:] * inverse).T
+        chars, which = np.unique(np.array([list(w) for w in words]), return_inverse=True)
+        which = which.reshape(by.shape)
+        for kind, at in ((counts.first_bytes, slice(0, 1)), (counts.rest_bytes, slice(1, None))):
+            for c, x in zip(chars.tolist(), np.bincount(which[:, at].ravel(), by[:, at].ravel(), len(chars)).tolist(), strict=True):
+                c = c.encode("utf-8", "surrogatepass")
+                kind[c[0]] += x
+                for b in c[1:]:
+                    counts.rest_bytes[b] += x
         counts.words += int(ok.sum())
 
     def refitted(self, words: DataFrame) -> Lattice:
@@ -165,14 +169,16 @@ class Lattice:
         size = len(self.vocab)
 
         def run(batches):
-            lattice, counts = shared.value, Counts(size)
+            lattice, counts, by_length = shared.value, Counts(size), {}
             for batch in batches:
-                by_length: dict[int, list[str]] = {}
                 for w in batch.column("word").to_pylist():
                     if len(w) <= FIT_CHARS:
-                        by_length.setdefault(len(w), []).append(w)
-                for group in by_length.values():
-                    lattice.expected(group, counts)
+                        group = by_length.setdefault(len(w), [])
+                        group.append(w)
+                        if len(group) >= FIT_WORDS:
+                            lattice.expected(by_length.pop(len(w)), counts)
+            for group in by_length.values():
+                lattice.expected(group, counts)
             flat = counts.flat()
             at = np.flatnonzero(flat)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(flat[at], pa.float64())], names=["at", "x"])
