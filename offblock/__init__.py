@@ -6,7 +6,6 @@ Sub-packages:
   operators  DataFrame -> DataFrame operators (joins, traffic, encode, impute, split, ...)
   ml         model fitting, search, scoring and attribution on Spark ML
   plans      the stage chains: silver, gold, train, predict
-  streaming  (the reference has no streaming; see its module docstring)
 """
 
 __version__ = "0.1.0"

@@ -114,10 +114,14 @@ def sample_param_maps(model_type: str, space: dict | None = None, n_trials: int
     return maps
 
 
+#: Search names without a Spark setting: kept in the run record, not given to the learner.
+RECORDED_ONLY = {"reg_alpha", "reg_lambda", "l2_leaf_reg", "min_samples_split", "bagging_temperature", "random_strength"}
+
+
 def _spark_params(model_type: str, params: dict) -> dict:
     out = {}
     for k, v in params.items():
-        if k == "numLeaves":
+        if k == "numLeaves" or k in RECORDED_ONLY:
             continue
         if k == "featureSubsetStrategy" and isinstance(v, float):
             v = "all" if v >= 1.0 else f"{v:.4f}"
@@ -140,8 +144,9 @@ def make_estimator(model_type: str, label: str, params: dict | None = None):
         # Normal equations in one distributed Gramian pass + Cholesky. One-hot
         # groups make the Gramian singular; a vanishing ridge on standardized
         # inputs (1e-8) keeps Cholesky exact to least squares (predictions
-        # within ~1e-6 of numpy lstsq) instead of falling back to L-BFGS.
-        return LinearRegression(regParam=LINEAR_RIDGE, elasticNetParam=0.0, standardization=True, solver="normal",
+        # within ~1e-6 of numpy lstsq) instead of falling back to L-BFGS;
+        # beyond Spark's width limit for them, solver="auto" takes L-BFGS.
+        return LinearRegression(regParam=LINEAR_RIDGE, elasticNetParam=0.0, standardization=True, solver="auto",
                                 **common, **p)
     if model_type == "random_forest":
         return RandomForestRegressor(seed=SEED, **common, **p)

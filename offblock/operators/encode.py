@@ -12,37 +12,29 @@ from offblock.functions.datetime import cyclical_pair, parse_mdy_hm
 from offblock.functions.text import digits_to_int
 from offblock.operators.schema import conform_to_columns, drop_if_exists, q
 
-MAX_CATEGORIES = 10_000
 
-
-def learn_categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
+def learn_categories(df: DataFrame, col: str) -> list[str]:
     """Sorted distinct non-missing values (binary order), distinct computed on the cluster.
 
-    The list becomes column names, so it is bounded: more than ``max_categories``
-    values raise instead of silently growing the schema.
+    The list becomes column names, so the driver holds what the schema will hold;
+    there is no limit on it.
     """
-    rows = (df.select(q(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
-            .limit(max_categories + 1).collect())
-    if len(rows) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories")
+    rows = df.select(q(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct().collect()
     return sorted(r["v"] for r in rows)
 
 
-def learn_categories_many(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """R32 for several columns with ONE distinct job (bounded by ``max_categories`` per column)."""
+def learn_categories_many(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
+    """R32 for several columns with ONE distinct job."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return {}
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), q(c).cast("string").alias("v"))
                                  for i, c in enumerate(cols)]))
-    rows = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
-            .limit(len(cols) * (max_categories + 1)).collect())
+    rows = df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct().collect()
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[cols[r["k"]]].append(r["v"])
-    for c, vals in out.items():
-        if len(vals) > max_categories:
-            raise ValueError(f"{c}: more than {max_categories} categories")
+    for vals in out.values():
         vals.sort()
     return out
 

@@ -13,14 +13,16 @@ aggregate (often shared with the caller), one histogram, one fetch.
 
 from __future__ import annotations
 
+import math
+import sys
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
 FETCH_LIMIT = 20_000
-MAX_ROUNDS = 64
 
 
 @dataclass
@@ -53,21 +55,25 @@ def column_stats(df: DataFrame, exprs: list[Column]) -> list[tuple[int, object,
     return [(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(exprs))]
 
 
-def _typed(t: _Target, v: float):
-    """Bucket min/max come back as double; map them to the column's own values when integral."""
-    if isinstance(t.lo, int) and not isinstance(t.lo, bool):
-        return int(v)
-    return v
+def _bucket(t: _Target) -> Column:
+    """Bucket 0 to BUCKETS - 1, rising with the value; the least and the greatest value never share one.
+
+    Integers are dealt by exact decimal arithmetic; infinite doubles lie at either end.
+    """
+    x, lo, hi = t.expr, t.lo, t.hi
+    if isinstance(lo, int):
+        place = (x.cast("decimal(20,0)") - F.lit(Decimal(lo))) / F.lit(Decimal((hi - lo) // BUCKETS + 1))
+    else:
+        top = sys.float_info.max
+        low, high = max(lo, -top), min(hi, top)
+        width = high / BUCKETS - low / BUCKETS
+        place = x / F.lit(width) - F.lit(low / width) if width > 0 and math.isfinite(low / width) else F.lit(0.0)
+    inner = F.least(F.greatest(F.floor(place), F.lit(0)), F.lit(BUCKETS - 1))
+    return F.when(x <= F.lit(lo), 0).when(x >= F.lit(hi), BUCKETS - 1).otherwise(inner).cast("long")
 
 
 def _histogram_round(df: DataFrame, active: list[_Target]) -> None:
-    parts = []
-    for t in active:
-        lo_d, hi_d = float(t.lo), float(t.hi)
-        width = (hi_d - lo_d) / BUCKETS
-        x = t.expr.cast("double")
-        b = F.least(F.floor((x - F.lit(lo_d)) / F.lit(width)), F.lit(BUCKETS - 1)) if width > 0 else F.lit(0)
-        parts.append(F.when(_in_range(t), F.struct(F.lit(t.tid).alias("tid"), b.cast("long").alias("b"), x.alias("xd"))))
+    parts = [F.when(_in_range(t), F.struct(F.lit(t.tid).alias("tid"), _bucket(t).alias("b"), t.expr.alias("xd"))) for t in active]
     hist = (df.select(F.explode(F.array(*parts)).alias("p")).where(F.col("p").isNotNull())
             .groupBy("p.tid", "p.b").agg(F.count(F.lit(1)).alias("n"), F.min("p.xd").alias("mn"), F.max("p.xd").alias("mx"))
             .collect())
@@ -79,12 +85,11 @@ def _histogram_round(df: DataFrame, active: list[_Target]) -> None:
         for r in sorted(by_tid.get(t.tid, []), key=lambda r: r["b"]):
             if below + r["n"] >= t.k:
                 t.k -= below
-                lo, hi = _typed(t, r["mn"]), _typed(t, r["mx"])
-                progress = not (lo == t.lo and hi == t.hi)
+                lo, hi = r["mn"], r["mx"]
                 t.lo, t.hi = lo, hi
                 if lo == hi:
                     t.value, t.done = lo, True
-                elif r["n"] <= FETCH_LIMIT or not progress:
+                elif r["n"] <= FETCH_LIMIT:
                     t.fetch = True
                 break
             below += r["n"]
@@ -118,7 +123,7 @@ def kth_smallest(df: DataFrame, targets: list[tuple[Column, int]],
         elif lo == hi:
             t.value, t.done = lo, True
         ts.append(t)
-    for _ in range(MAX_ROUNDS):
+    while True:  # each round parts the least from the greatest value that is left
         fetch = [t for t in ts if t.fetch and not t.done]
         if fetch:
             _fetch_round(df, fetch)

@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(f"{CHECKPOINT_KEY} is not set; a shared folder is required on a cluster")
     path = tempfile.mkdtemp(prefix="offblock-ckpt-")
     sc.setCheckpointDir(path)

@@ -27,7 +27,7 @@ def _null_tokens(c: str):
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Headered CSV; NA tokens -> NULL; types inferred (or taken from ``schema``)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True).csv(path)
     cleaned = raw.select(*[_null_tokens(c) for c in raw.columns])
     if schema is not None:
         return cleaned.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -39,13 +39,16 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
             F.count(col).alias(f"n{i}"),
             F.count(col.try_cast("bigint")).alias(f"l{i}"),
             F.count(col.try_cast("double")).alias(f"d{i}"),
+            F.count_if(col.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"b{i}"),
         ]
     stats = cleaned.agg(*probes).first()
     out = []
     for i, c in enumerate(raw.columns):
         n, nl, nd = stats[f"n{i}"], stats[f"l{i}"], stats[f"d{i}"]
         col = F.col(f"`{c}`")
-        if n > 0 and nl == n:
+        if n > 0 and stats[f"b{i}"] == n:
+            out.append(col.cast("boolean").alias(c))
+        elif n > 0 and nl == n:
             out.append(col.cast("bigint").alias(c))
         elif n > 0 and nd == n:
             out.append(col.cast("double").alias(c))
@@ -83,4 +86,4 @@ def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 def sink_csv(df: DataFrame, path: str) -> None:
     """Overwrite a headered CSV directory."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="").csv(path)
