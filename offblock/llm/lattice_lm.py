@@ -70,6 +70,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def larger(batches, rows: int = 16_384):
+    """The rows of batches in batches of about so many; words are short, documents are not."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class Lattice:
     """Probabilities of pieces that begin a word and of others, of bytes in either place, and of a word's end."""
 
@@ -81,6 +94,8 @@ class Lattice:
         self.first, self.rest = np.append(first / one, 0), np.append(rest / more, 0)
         self.first_bytes, self.rest_bytes, self.end = first_bytes / one, rest_bytes / more, end / more
         self.log_first, self.log_rest = ({p: math.log(v[i]) for i, p in enumerate(vocab)} for v in (self.first, self.rest))
+        with np.errstate(divide="ignore"):
+            self.log_first_at, self.log_rest_at = np.log(self.first), np.log(self.rest)  # "no piece" is -inf
         self.log_first_bytes, self.log_rest_bytes, self.log_end = np.log(self.first_bytes).tolist(), np.log(self.rest_bytes).tolist(), math.log(self.end)
 
     @classmethod
@@ -124,6 +139,41 @@ class Lattice:
         top = max(into[n])
         return top + log(sum([exp(x - top) for x in into[n]])) + self.log_end
 
+    def log_words(self, words: list[str]) -> list[float]:
+        """log_word of each word. Words of one length go through the recursion together, up to FIT_WORDS at a time."""
+        out, by_length = [0.0] * len(words), {}
+        for at, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(at)
+        for n, places in by_length.items():
+            if n > FIT_CHARS:  # long words one by one, so that a block of them stays small
+                for at in places:
+                    out[at] = self.log_word(words[at])
+                continue
+            for start in range(0, len(places), FIT_WORDS):
+                part = places[start : start + FIT_WORDS]
+                for at, x in zip(part, self._log_block([words[at] for at in part]).tolist(), strict=True):
+                    out[at] = x
+        return out
+
+    def _log_block(self, words: list[str]) -> np.ndarray:
+        """log_word of words of one length."""
+        n, m, get = len(words[0]), min(len(words[0]), self.longest), self.id.get
+        first, rest = self.log_first_at, self.log_rest_at
+        first_bytes, rest_bytes = self.log_first_bytes, self.log_rest_bytes
+        raw = {c: c.encode("utf-8", "surrogatepass") for c in set().union(*words)}
+        tail = {c: sum([rest_bytes[b] for b in raw[c][1:]]) for c in raw}
+        alpha = np.full((n + 1, len(words)), -np.inf)
+        alpha[0] = 0
+        for i in range(n):
+            score, by_byte = (rest, rest_bytes) if i else (first, first_bytes)
+            spelt = {c: by_byte[raw[c][0]] + tail[c] for c in raw}
+            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + np.array([spelt[w[i]] for w in words]))
+            for j in range(i + 1, min(n, i + m) + 1):
+                ids = np.array([get(w[i:j], -1) for w in words])
+                if (ids >= 0).any():
+                    alpha[j] = np.logaddexp(alpha[j], alpha[i] + score[ids])
+        return alpha[n] + self.log_end
+
     def expected(self, words: list[str], counts: Counts) -> None:
         """Add to counts the expected uses of pieces in words of one length, over all their segmentations."""
         n, m = len(words[0]), min(len(words[0]), self.longest)
@@ -262,9 +312,11 @@ def score_documents(docs: DataFrame, model_path: str, doc_id: str = "doc_id", te
     shared = spark.sparkContext.broadcast(lattice)
 
     def by_lattice(batches):
-        for b in batches:
-            p = [shared.value.log_word(w) if w else None for w in b.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(p, pa.float64())], names=["word", "c", "log_p"])
+        for b in larger(batches):
+            words = b.column("word").to_pylist()
+            p = shared.value.log_words(words)
+            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array([x if w else None for w, x in zip(words, p, strict=True)], pa.float64())],
+                                             names=["word", "c", "log_p"])
 
     counts = written(plain.mapInArrow(by_lattice, "word string, c long, log_p double"), "words")
     scorer = spark.sparkContext.broadcast(Scorer(lattice, tokens, distinct, best_strength(counts, tokens, distinct)))
@@ -321,16 +373,14 @@ def score_documents(docs: DataFrame, model_path: str, doc_id: str = "doc_id", te
 
     def tail_pass(batches):
         s, kept = scorer.value, {}
-        for b in batches:
+        for b in larger(batches):
             tf, c = b.column("tf").to_pylist(), b.column("c").to_pylist()
-            model = []
-            for w, k, p in zip(b.column("word").to_pylist(), c, b.column("log_p").to_pylist(), strict=True):
-                v = kept.get(w)
-                if v is None:
-                    if len(kept) > TASK_WORDS:
-                        kept.clear()
-                    v = kept[w] = s.model(w, k, p)
-                model.append(v)
+            words, log_p = b.column("word").to_pylist(), b.column("log_p").to_pylist()
+            if len(kept) > TASK_WORDS:
+                kept.clear()
+            new = list({w for w, p in zip(words, log_p, strict=True) if p is None and w and w not in kept})
+            kept.update(zip(new, s.lattice.log_words(new), strict=True))
+            model = [s.model(w, k, kept.get(w) if p is None else p) for w, k, p in zip(words, c, log_p, strict=True)]
             yield pa.RecordBatch.from_arrays([
                 b.column("row"), pa.array([t if k else 0 for t, k in zip(tf, c, strict=True)], pa.int64()),
                 pa.array([t * s.base(k) for t, k in zip(tf, c, strict=True)], pa.float64()),

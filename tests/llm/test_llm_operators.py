@@ -271,6 +271,8 @@ def test_lattice_sums_all_segmentations_and_scores(docs, empty):
 
     for w in ("a", "thnter,", "é🙂x"):
         assert np.isclose(lattice.log_word(w), np.log(brute(w)))
+    several = ["a", "thnter,", "é🙂x", "", "other", "x" * 100, "there", "日本"]
+    assert np.allclose(lattice.log_words(several), [lattice.log_word(w) if w else lattice.log_end for w in several])
     counts = lattice_lm.Counts(len(lattice.vocab))
     lattice.expected(["other", "there"], counts)
     assert counts.words == 2 and counts.first.sum() + counts.first_bytes.sum() == pytest.approx(2)
