@@ -2,8 +2,8 @@
 
 airport:   (test only: R47 datetime text) -> R07 text 'nan' -> R08 header case
 geography: R07 -> R50 id bump
-weather:   R07, plus a written row id (``wx_row_id``) that makes fan-out rows
-           distinguishable downstream (Spark has no row position)
+weather:   R07, plus a row id (``wx_row_id``, a hash of the row and its number
+           among equal rows) that makes fan-out rows distinguishable downstream
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from offblock.constants import AOBT, ATOT, FLIGHT_DATETIME
 from offblock.functions.datetime import standardize_datetime_text
 from offblock.functions.text import bump_id
+from offblock.operators.identity import content_ids
 from offblock.operators.schema import q, rename_ci, stringify_text
 from offblock.sources import driver_tables as dt
 from offblock.sources.files import sink_parquet
@@ -40,7 +40,7 @@ def silver_geography(df: DataFrame) -> DataFrame:
 
 
 def silver_weather(df: DataFrame) -> DataFrame:
-    return stringify_text(df).withColumn("wx_row_id", F.monotonically_increasing_id())
+    return content_ids(stringify_text(df), "wx_row_id")
 
 
 def bronze_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
