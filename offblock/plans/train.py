@@ -2,8 +2,8 @@
 time-ordered holdout, refit on all training rows, score the test set, record
 the run and save the model.
 
-Training reads the written gold table; the holdout parts are key filters over
-it and each learner persists its own input while it iterates.
+The training vectors are written once under the checkpoint folder; the holdout
+parts are key filters over them, and trials and refit read them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from offblock.ml.models import (
 from offblock.operators.metrics import metrics_dict
 from offblock.operators.runs import new_run_id, record_run
 from offblock.operators.split import time_ordered_split
+from offblock.session import cut_lineage
 
 ROW_KEYS = [ROW_ID, ORDER_TS, "wx_row_id"]
 TREE_FAMILIES = ("random_forest", "xgboost", "lightgbm", "catboost")
@@ -70,9 +71,8 @@ def train_model(spark: SparkSession, model_type: str, gold: dict[str, str], runs
     make_estimator(model_type, TARGET)  # unknown family raises before any work
     started = _dt.datetime.now().replace(microsecond=0)
     spec, train, test = prepared_sets(spark, gold, model_type)
-    # lineage is already short (a written gold table + one projection), the
-    # split parts are pushed-down filters over it, and the Spark ML learners
-    # persist their own input while iterating: no extra copies are written
+    # every trial and the refit read the vectors as they were written once
+    train = cut_lineage(train, "train-vectors")
     fit_part, val_part = time_ordered_split(train, [ORDER_TS, ROW_ID, "wx_row_id"])
     maps = sample_param_maps(model_type, space, n_trials, seed)
     best, trials = search_holdout(model_type, TARGET, fit_part, val_part, maps)
