@@ -482,7 +482,9 @@ def queries() -> dict[str, Query]:
     for name, fn in globals().items():
         if name[:1] == "r" and name[1:3].isdigit() and callable(fn):
             out[name] = fn
-    return dict(sorted(out.items()))
+    from offblock.plans import model_values
+
+    return dict(sorted((out | model_values.queries()).items()))
 
 
 
@@ -644,6 +646,10 @@ def r74_explain_linear(spark, sf):
                      F.round("shap__temperature", 3).alias("attribution"), F.round("base_value", 3).alias("base_value"))
 
 
+def _tasks(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def r75_explain_trees(spark, sf):
     from offblock.ml.explain import explain
     from offblock.ml.models import batch_score
@@ -652,7 +658,8 @@ def r75_explain_trees(spark, sf):
     res = _train(spark, sf, "xgboost")
     model, spec = load_run_model(spark, res.model_path, "xgboost")
     _, _, test = prepared_sets(spark, built_gold(spark, sf), "xgboost")
-    return explain(spark, model, "xgboost", batch_score(model, test), spec, keep=["flight_id", "wx_row_id", "prediction"])
+    return explain(spark, model, "xgboost", batch_score(model, test), spec, keep=["flight_id", "wx_row_id", "prediction"],
+                   partitions=_tasks(spark))
 
 
 def r76_score_and_explain(spark, sf):
@@ -660,7 +667,8 @@ def r76_score_and_explain(spark, sf):
 
     g = built_gold(spark, sf)
     res = _train(spark, sf, "random_forest")
-    return create_predictions(spark, g, g["root"] + "/runs", "random_forest", run_id=res.run_id, n_samples=None)
+    return create_predictions(spark, g, g["root"] + "/runs", "random_forest", run_id=res.run_id, n_samples=None,
+                              partitions=_tasks(spark))
 
 
 def r77_build_silver(spark, sf):

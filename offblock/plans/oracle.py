@@ -364,6 +364,77 @@ SQL["r77_build_silver"] = F_ + f"""SELECT flight_id,
   ac_length AS "Aircraft Length", engines AS "No. Engines", taxi AS actual_taxi_out_sec
 FROM flights WHERE aobt < TIMESTAMP '2024-01-25 00:00:00'"""
 
+# --- model queries (plans/model_values.py): group means and closed forms of least squares ---
+
+FAMILIES = ("random_forest", "xgboost", "lightgbm", "catboost")
+PRIVATE = "CASE WHEN regexp_extract(flight_no, '^([A-Z]{2,3})', 1) IN ('NJE', 'VJT', 'PVT', 'SIG') THEN 1.0 ELSE 0.0 END"
+VALUES = F_ + f""", v AS (SELECT flight_id, aobt, taxi AS y, CAST({PRIVATE} AS DOUBLE) AS a,
+    CAST(CASE WHEN engines = 4 THEN 1 ELSE 0 END AS DOUBLE) AS b, model, aobt < TIMESTAMP '2024-01-25 00:00:00' AS early FROM flights),
+train AS (SELECT *, row_number() OVER (ORDER BY aobt, flight_id) <= floor(CAST(count(*) OVER () AS DOUBLE) * 0.8) AS fit
+  FROM v WHERE early AND y IS NOT NULL),
+test AS (SELECT * FROM v WHERE NOT early AND y IS NOT NULL)"""
+
+
+def _lsq(name: str, rows: str) -> str:
+    """Least squares of y on a and b with an intercept: w0, wa, wb."""
+    return f""", {name}_m AS (SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb,
+    covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM {rows}),
+{name}_w AS (SELECT (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb, * FROM {name}_m),
+{name} AS (SELECT my - wa * ma - wb * mb AS w0, wa, wb FROM {name}_w)"""
+
+
+def _lsq_origin(name: str, rows: str) -> str:
+    """The same without an intercept."""
+    return f""", {name}_m AS (SELECT avg(a * a) AS aa, avg(b * b) AS bb, avg(a * b) AS ab, avg(a * y) AS ay, avg(b * y) AS yb FROM {rows}),
+{name} AS (SELECT 0.0 AS w0, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM {name}_m)"""
+
+
+def _scores(name: str, fitted: str, scored: str) -> str:
+    """Predictions p of the four candidates (kind, candidate), fitted on some rows, for others."""
+    return (_lsq(f"{name}_l", fitted) + _lsq_origin(f"{name}_o", fitted) + f""", {name} AS (
+  SELECT 'tree' AS kind, 'full' AS candidate, s.flight_id, s.y, g.m AS p
+    FROM {scored} s JOIN (SELECT a, b, avg(y) AS m FROM {fitted} GROUP BY a, b) g ON s.a = g.a AND s.b = g.b
+  UNION ALL SELECT 'tree', 'plain', s.flight_id, s.y, g.m FROM {scored} s, (SELECT avg(y) AS m FROM {fitted}) g
+  UNION ALL SELECT 'linear', 'full', s.flight_id, s.y, w0 + wa * a + wb * b FROM {scored} s, {name}_l
+  UNION ALL SELECT 'linear', 'plain', s.flight_id, s.y, w0 + wa * a + wb * b FROM {scored} s, {name}_o)""")
+
+
+ALL_FAMILIES = ", families AS (SELECT 'linear_regression' AS model_type, 'linear' AS kind" + "".join(
+    f" UNION ALL SELECT '{f}', 'tree'" for f in FAMILIES) + ")"
+TRIALS = (VALUES + ", early_rows AS (SELECT * FROM train WHERE fit), late_rows AS (SELECT * FROM train WHERE NOT fit)"
+          + _scores("held", "early_rows", "late_rows")
+          + ", trials AS (SELECT kind, candidate, sqrt(avg((y - p) * (y - p))) AS e FROM held GROUP BY kind, candidate)" + ALL_FAMILIES)
+#: The candidate that won (the plain one is first, so it wins ties), its predictions and their metrics.
+RUNS = (TRIALS + """, won AS (SELECT kind, candidate FROM trials QUALIFY row_number() OVER (PARTITION BY kind ORDER BY e, candidate DESC) = 1)"""
+        + _scores("final", "train", "test") + """, runs AS (
+  SELECT kind, candidate, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse,
+    round(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)), 3) AS mape, round(avg(abs(y - p)), 3) AS mae,
+    round(stddev_pop(y - p), 3) AS std FROM final JOIN won USING (kind, candidate) GROUP BY kind, candidate)""")
+_FULL = VALUES + _scores("final", "train", "test")
+_TREE = "SELECT flight_id, round(p, 3) AS prediction FROM final WHERE kind = 'tree' AND candidate = 'full'"
+_ONE = """, g AS (SELECT a, avg(y) AS m FROM train GROUP BY a), m AS (SELECT avg(y) AS base FROM train)"""
+
+SQL["r40b_sample_n"] = "SELECT least(10, count(*)) AS n_rows, least(10, count(DISTINCT event_id)) AS n_distinct FROM events"
+SQL["r61b_fit_linear"] = _FULL + "SELECT flight_id, round(p, 3) AS prediction FROM final WHERE kind = 'linear' AND candidate = 'full'"
+for _name in ("r62b_fit_forest", "r63b_fit_boost_depthwise", "r64b_fit_boost_leafwise", "r65b_fit_boost_symmetric"):
+    SQL[_name] = _FULL + _TREE
+SQL["r68b_search_holdout"] = TRIALS + "SELECT model_type, candidate, round(e, 3) AS validation_rmse FROM families JOIN trials USING (kind)"
+SQL["r69b_refit_and_score"] = RUNS + "SELECT rmse, mape, mae, std FROM runs WHERE kind = 'tree'"
+SQL["r70b_train_all"] = RUNS + "SELECT model_type, rmse, mape, mae, std FROM families JOIN runs USING (kind)"
+SQL["r71b_record_run"] = RUNS + """SELECT model_type, candidate, 'private,four' AS features, mae
+FROM families JOIN runs USING (kind) WHERE model_type IN ('linear_regression', 'catboost')"""
+SQL["r72b_save_load_model"] = _FULL + ALL_FAMILIES + """SELECT model_type, flight_id, round(p, 3) AS fitted, round(p, 3) AS loaded
+FROM families JOIN final USING (kind) WHERE kind = 'tree' AND candidate = 'full'"""
+SQL["r73b_batch_score"] = VALUES + _lsq("w", "train") + """SELECT flight_id,
+  CASE WHEN model IS NOT NULL THEN round(w0 + wa * a + wb * b, 3) END AS prediction FROM v, w"""
+SQL["r75b_explain_trees"] = VALUES + _ONE + ALL_FAMILIES + """SELECT model_type, flight_id, round(g.m - m.base, 3) AS attribution,
+  round(m.base, 3) AS base_value FROM families, m, test JOIN g USING (a) WHERE kind = 'tree'"""
+SQL["r76b_score_and_explain"] = VALUES + _ONE + ALL_FAMILIES + """SELECT model_type, flight_id, 'STAND_1' AS "Stand",
+  concat('RUNWAY_', CAST(CAST(a AS INTEGER) + 1 AS VARCHAR)) AS "Runway", 40.0::DOUBLE AS "Aircraft Length (m)", 2 AS "No. Engines",
+  CAST(trunc(y) AS INTEGER) AS "Actual Taxi Time (s)", round_even(g.m, 1) AS "Predicted Taxi Time (s)",
+  0.0::DOUBLE AS "Weather", 0.0::DOUBLE AS "Traffic", round_even(g.m - m.base, 1) AS "Distance", 0.0::DOUBLE AS "Aircraft"
+FROM families, m, test JOIN g USING (a) WHERE kind = 'tree'"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 
 FAST = ["r07", "r16", "r17", "r18", "r19", "r21", "r22", "r23", "r27", "r29", "r30", "r31", "r34", "r35", "r36",
-        "r39", "r41", "r45", "r46", "r47", "r50", "r52", "r74"]
+        "r39", "r41", "r45", "r46", "r47", "r50", "r52", "r74", "r40b", "r61b", "r64b", "r73b", "r75b"]
 TABLES = ["region", "nation", "orders", "events"]
 
 
