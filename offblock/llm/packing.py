@@ -7,7 +7,8 @@ At the end each bin is cut down to the shortest permitted length that holds it.
 
 Documents longer than the longest bin are cut into full bins and a rest, so no
 token is lost. Pieces are dealt to shards of about SHARD_PIECES at random, each
-packed by itself; only ids and lengths are shuffled.
+packed by itself; only ids and lengths are shuffled. Equal rows are numbered, so
+shards and bins do not depend on how docs is partitioned.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import row_ids, written
+from offblock.llm.common import written
+from offblock.operators.identity import numbered_copies
 
 LENGTHS = (512, 1024, 2048, 4096)
 SHARD_PIECES = 4096
@@ -60,9 +62,12 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> tuple[list
 
 
 def pieces(docs: DataFrame, doc_id: str, text: str, longest: int) -> DataFrame:
-    """(row, doc_id, piece, start, n_tokens): whole documents, or cuts of at most `longest` tokens."""
+    """(row, doc_id, piece, start, n_tokens): whole documents, or cuts of at most `longest` tokens.
+
+    row: the number of a row among those of equal id and length.
+    """
     words = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    d = row_ids(docs.select(F.col(doc_id).cast("long").alias("doc_id"), (words + 1).cast("long").alias("_n")), "row")
+    d = numbered_copies(docs.select(F.col(doc_id).cast("long").alias("doc_id"), (words + 1).cast("long").alias("_n")), "row")
     cuts = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / longest).cast("int"))
     p = d.select("row", "doc_id", "_n", F.explode(cuts).alias("piece"))
     start = F.col("piece").cast("long") * longest
@@ -76,15 +81,15 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row for each piece of each row of docs, with its bin, its place in it, and the bin's length and contents.
 
     Null, empty and blank texts are one end mark. Repeated rows and ids are packed
-    each for itself. Ties in size go by doc_id (missing first) and piece. Other
-    columns are not read.
+    each for itself. Ties in size go by doc_id (missing first) and piece. The rows
+    are the same on any partitioning of docs. Other columns are not read.
     """
     p = written(pieces(docs, doc_id, text, max(lengths)), "pieces")
     shards = max(1, -(-p.count() // SHARD_PIECES))
-    p = p.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)))
+    p = p.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens", "row"), F.lit(shards)))
 
     def pack(key, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc_id", "piece", "row"], na_position="first", ignore_index=True)
+        part = part.sort_values(["doc_id", "piece", "n_tokens", "row"], na_position="first", ignore_index=True)
         where, offset, final = best_fit(part["n_tokens"].tolist(), lengths)
         b = pd.Series(where, dtype="int64")
         used = part["n_tokens"].groupby(b.to_numpy()).sum()

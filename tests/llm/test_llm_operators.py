@@ -327,6 +327,7 @@ def test_packing(docs, empty):
             at += r.n_tokens
         assert {r.bin_used for r in rows} == {at} and {r.bin_length for r in rows} == {min(c for c in packing.LENGTHS if c >= at)}
     assert packing.pack_documents(empty).count() == 0
+    assert sorted(map(str, packing.pack_documents(docs.repartition(3)).collect())) == sorted(map(str, got))
 
 
 def test_pipeline(spark, sf):
