@@ -1,17 +1,19 @@
 """Operator 7, line dedup: segment-partition edit join on lines.
 
-Lines (split at newlines) of at least MIN_CHARS code points are compared; shorter
-ones are left alone. Two lines are alike within EDITS edits (insert, delete,
-replace a code point); classes are the components of that relation. The first
-line of a class, by (doc_id, line number), stays; all others are dropped.
-
-Equal lines are one node. A line of length l is cut into EDITS + 1 segments; if
-two lines are within EDITS edits, the longer holds one of the shorter's segments
+All lines (split at newlines) but blank ones are compared. Two lines are alike
+within the edits (insert, delete, replace a code point) that the shorter one
+allows: one for every EDIT_CHARS code points, at most EDITS; so lines of under
+EDIT_CHARS are alike only if they are equal. Classes are the components of that
+relation. The first line of a class, by (doc_id, line number), stays; all others
+are dropped.
+
+Equal lines are one node. A line of length l that allows e edits is cut into e + 1
+segments; if a longer one is within e edits of it, that holds one of its segments
 at a place that is off by little. So each line is filed under its segments, and
-probes, for each shorter length l within EDITS, the substrings that such a
-segment could be (the multi-match-aware window). Lines that meet under a key
-(length, segment number, substring) are verified with a banded bit-parallel
-edit distance, which stops as soon as the band holds no distance within EDITS.
+probes, for each shorter length l within the edits that l allows, the substrings
+that such a segment could be (the multi-match-aware window). Lines that meet under
+a key (length, segment number, substring) are verified with a banded bit-parallel
+edit distance, which stops as soon as the band holds no distance within e.
 """
 
 from __future__ import annotations
@@ -23,15 +25,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import semi, small_batches, written
+from offblock.llm.common import BLANKS, semi, small_batches, written
 from offblock.llm.linking import link
 
 EDITS = 2
-MIN_CHARS = 40
+#: Code points of a line for each edit that it allows.
+EDIT_CHARS = 20
+#: Code points of the shortest line that is compared: all lines but blank ones are.
+MIN_CHARS = 1
 #: Digests of lines seen that a task keeps.
 SEEN_LINES = 200_000
 
 
+def compared(line: str) -> bool:
+    return len(line) >= MIN_CHARS and bool(line.strip(BLANKS))
+
+
+def edits_of(length: int) -> int:
+    """The edits that a line allows, if it is the shorter one."""
+    return min(EDITS, length // EDIT_CHARS)
+
+
 def line_node(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -64,6 +78,11 @@ def probes(length: int, edits: int = EDITS) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def line_probes(length: int) -> list[tuple[int, int, int, int]]:
+    """The probes of a line: each shorter length has the segments of the edits that it allows."""
+    return [x for e in range(1, EDITS + 1) for x in probes(length, e) if edits_of(x[0]) == e]
+
+
 def within(a: str, b: str, edits: int = EDITS) -> bool:
     """Whether the edit distance of a and b is at most `edits`, by a banded bit-parallel recurrence.
 
@@ -123,7 +142,7 @@ def occurrences(batches):
         ids, no, node = [], [], []
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             for i, line in enumerate((text or "").split("\n")):
-                if len(line) >= MIN_CHARS:
+                if compared(line):
                     ids.append(doc)
                     no.append(i)
                     node.append(line_node(line))
@@ -131,7 +150,7 @@ def occurrences(batches):
 
 
 def segment_entries(batches):
-    """(key, node, n, pos) of every line that is new to this task; pos is the place of the key in probes(n)."""
+    """(key, node, n, pos) of every line that allows edits and is new to this task; pos is the place of the key in line_probes(n)."""
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
     seen, plans = set(), {}
     digest = xxhash.xxh3_64_intdigest
@@ -140,7 +159,7 @@ def segment_entries(batches):
             keys, nodes, sizes, places = [], [], [], []
             for text in batch.slice(start, 512).column("text").to_pylist():
                 for line in (text or "").split("\n"):
-                    if len(line) < MIN_CHARS:
+                    if not (edits_of(len(line)) and compared(line)):
                         continue
                     node = line_node(line)
                     if node in seen:
@@ -153,7 +172,7 @@ def segment_entries(batches):
                     if plan is None:
                         if len(plans) > 20_000:
                             plans.clear()
-                        plan = plans[n] = [(l * (EDITS + 1) + i, s, s + size) for l, i, s, size in probes(n)]
+                        plan = plans[n] = [(l * (EDITS + 1) + i, s, s + size) for l, i, s, size in line_probes(n)]
                     keys += [digest(line[s:t].encode("utf-8", "surrogatepass"), p) - (1 << 63) for p, s, t in plan]
                     nodes += [node] * len(plan)
                     sizes += [n] * len(plan)
@@ -166,13 +185,13 @@ def candidate_lines(batches):
     """(node, line) of every compared line."""
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
-            lines = [x for t in batch.slice(start, 512).column("text").to_pylist() for x in (t or "").split("\n") if len(x) >= MIN_CHARS]
+            lines = [x for t in batch.slice(start, 512).column("text").to_pylist() for x in (t or "").split("\n") if compared(x)]
             yield pa.RecordBatch.from_arrays([pa.array(map(line_node, lines), pa.int64()), pa.array(lines, pa.string())], names=["node", "line"])
 
 
 def true_pairs(batches):
     for batch in batches:
-        ok = [within(x, y) for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True)]
+        ok = [within(x, y, edits_of(min(len(x), len(y)))) for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True)]
         mask = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
@@ -181,16 +200,16 @@ def refined_entries(batches):
     """Entries (key, node, n, pos, line) under finer keys.
 
     Two lines that meet at a segment, left of it within some edits and right of it
-    within the rest of EDITS, are within EDITS also without the segment. So what is
-    left of each line is cut and probed as a line is, under the key it has.
+    within the rest of those allowed, are within these also without the segment. So
+    what is left of each line is cut and probed as a line is, under the key it has.
     """
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
     for batch in batches:
         keys, nodes, sizes = [], [], []
         for key, node, n, pos, line in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "pos", "line")), strict=True):
-            _, _, start, size = probes(n)[pos]
+            shorter, _, start, size = line_probes(n)[pos]
             left = line[:start] + line[start + size :]
-            plan = probes(len(left))
+            plan = probes(len(left), edits_of(shorter))
             keys += [xxhash.xxh3_64_intdigest(f"{key} {l} {i} {left[s : s + z]}".encode("utf-8", "surrogatepass")) - (1 << 63) for l, i, s, z in plan]
             nodes += [node] * len(plan)
             sizes += [n] * len(plan)
@@ -252,14 +271,14 @@ def left_lines(text: str | None, drops) -> list[str]:
     if not drops:
         return lines
     gone = {(x["line_no"], x["node"]) for x in drops}
-    return [x for i, x in enumerate(lines) if len(x) < MIN_CHARS or (i, line_node(x)) not in gone]
+    return [x for i, x in enumerate(lines) if not compared(x) or (i, line_node(x)) not in gone]
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines, n_dropped (long) and kept_sha256 (of the kept lines joined by newlines), one row per row.
 
-    A null text counts as empty; an empty text has one empty line, which is never
-    dropped. Rows that repeat an id are one document: a line at the first place of
+    A null text counts as empty; an empty text has one empty line. Empty and blank
+    lines are never dropped. Rows that repeat an id are one document: a line at the first place of
     its class stays in each of them. Documents without an id come last. Other
     columns are not read.
     """
