@@ -97,22 +97,24 @@ def depths(calls: DataFrame) -> DataFrame:
     return state.select("key", F.when(F.col("to").isNull(), F.col("depth")).alias("depth"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row for each call and each result without a call.
+def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], messages: DataFrame | None = None) -> DataFrame:
+    """One row for each call, each result without a call and each message.
 
     calls: conv_id, turn, call_id, name, arguments (JSON), after (call_id or null);
-    results: conv_id, turn, call_id, content. Identifiers hold within a
-    conversation; a null identifier links with nothing. Of calls that repeat an
+    results: conv_id, turn, call_id, content; messages, which are neither: conv_id,
+    turn, role, content. Identifiers hold within a conversation; a null identifier, or
+    one of no conversation, links with nothing. Of calls that repeat an
     identifier the first (by turn, then arguments) is linked, the others are
     `repeated`; results likewise (by turn, then content). Returned: conv_id, turn,
-    call_id, status (linked, unanswered, repeated, orphan), depth, valid, errors,
-    json.
+    call_id, status (linked, unanswered, repeated, orphan, message), depth, valid,
+    errors, json. A message has no call_id and depth, and is not valid; its json holds
+    its role, status and content.
     """
     key = F.xxhash64("conv_id", "call_id")
     first = Window.partitionBy("conv_id", "call_id").orderBy("turn", "body")
 
     def ranked(df, body):
-        return df.withColumn("body", F.col(body)).withColumn("rank", F.when(F.col("call_id").isNull(), F.lit(0)).otherwise(F.row_number().over(first))).drop("body")
+        return df.withColumn("body", F.col(body)).withColumn("rank", F.when(F.col("call_id").isNull() | F.col("conv_id").isNull(), F.lit(0)).otherwise(F.row_number().over(first))).drop("body")
 
     c, r = ranked(calls, "arguments"), ranked(results, "content")
     c = c.withColumn("key", F.when(F.col("rank") == 1, key)).withColumn("wait", F.when(F.col("after").isNotNull(), F.xxhash64("conv_id", F.col("after"))))
@@ -126,6 +128,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     none = F.lit(None).cast("string")
     orphan = orphan.select("conv_id", "turn", "call_id", F.when(F.col("rank") > 1, "repeated").otherwise("orphan").alias("status"),
                            F.lit(None).cast("long").alias("depth"), none.alias("name"), none.alias("arguments"), none.alias("after"), "content")
+    every = linked.unionByName(orphan).withColumn("role", none)
+    if messages is not None:
+        every = every.unionByName(messages.select("conv_id", "turn", "role", "content", F.lit("message").alias("status")), allowMissingColumns=True)
 
     def write(batches):
         for batch in batches:
@@ -140,13 +145,15 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                         errors = [f"not JSON: {e}"]
                 record = {"call_id": x["call_id"], "name": x["name"], "arguments": value if not errors else x["arguments"], "after": x["after"],
                           "depth": x["depth"], "status": x["status"], "result": x["content"]}
+                if x["status"] == "message":
+                    record = {"role": x["role"], "status": x["status"], "content": x["content"]}
                 out.append((not errors and x["status"] == "linked", "; ".join(errors), canonical(record)))
             valid, errors, text = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("conv_id", "turn", "call_id", "status", "depth")), pa.array(valid, pa.bool_()),
                                               pa.array(errors, pa.string()), pa.array(text, pa.string())],
                                              names=["conv_id", "turn", "call_id", "status", "depth", "valid", "errors", "json"])
 
-    return linked.unionByName(orphan).mapInArrow(write, "conv_id long, turn long, call_id string, status string, depth long, valid boolean, errors string, json string")
+    return every.mapInArrow(write, "conv_id long, turn long, call_id string, status string, depth long, valid boolean, errors string, json string")
 
 
 #: The tool that conversations are read as calls of, with its schema.
@@ -154,20 +161,24 @@ REPLY = {"reply": {"type": "object", "required": ["prompt", "turn"], "additional
                    "properties": {"prompt": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}}}}
 
 
-def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Conversations as calls and results of the tool `reply`: the table holds no tool calls of its own.
+def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Conversations as calls and results of the tool `reply`, and messages: the table holds no tool calls of its own.
 
     A user's turn t is a call `t` with the text as its prompt, which waits for call
     `t - 2`; the assistant's turn t is the result of call `t - 1`. Null texts are null
-    prompts, which the schema refuses.
+    prompts, which the schema refuses. Rows of any other role (system), or of none, are
+    messages, so every row is a call, a result or a message.
     """
     d = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
     arguments = F.to_json(F.struct(F.col("text").alias("prompt"), "turn"), {"ignoreNullFields": "false"})
     calls = d.where("role = 'user'").select("conv_id", "turn", F.col("turn").cast("string").alias("call_id"), F.lit("reply").alias("name"),
                                             arguments.alias("arguments"), (F.col("turn") - 2).cast("string").alias("after"))
     results = d.where("role = 'assistant'").select("conv_id", "turn", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    messages = d.where("role is null or role not in ('user', 'assistant')").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return calls, results, messages
 
 
 def op4_tool_calls(conversations: DataFrame) -> DataFrame:
-    return link_calls(*calls_of(conversations), REPLY)
+    """Every row of conversations, a linked result in the row of its call."""
+    calls, results, messages = calls_of(conversations)
+    return link_calls(calls, results, REPLY, messages)
