@@ -1,6 +1,7 @@
 """Operator 3, language ID: a linear-chain conditional random field over words.
 
-Each word has a language label. Its features are affixes (1 to 3 characters at
+Each word has a language label; a word of more than WIDTH letters (text without
+blanks) is cut into pieces, each of which has one as words do. Its features are affixes (1 to 3 characters at
 either end), inner bigrams and trigrams, and the word itself (lexicon), hashed
 into 2**FEATURE_BITS weights a language; learned transition weights join
 neighbours. Forward-backward gives each word's label probabilities, so text that
@@ -33,8 +34,9 @@ EPOCHS = 4
 #: Words of which a task keeps features' sums, and words that are labelled together.
 CACHE_WORDS = 300_000
 BLOCK_WORDS = 400_000
-#: Letters of a word that features are taken from.
+#: Letters of a piece that a longer word is cut into, and those that it shares with the next one.
 WIDTH = 24
+OVERLAP = 2
 NO_LANGUAGE = "und"
 
 
@@ -43,6 +45,25 @@ def letters(token: str) -> str:
     return (token if token.isalpha() else "".join(filter(str.isalpha, token))).lower()
 
 
+def tokens_of(text: str | None) -> list[str]:
+    """The tokens of a text, those of more than WIDTH letters as their pieces.
+
+    Pieces cover all letters. They overlap, so each bigram and trigram lies in one.
+    """
+    tokens = (text or "").split()
+    if max(map(len, tokens), default=0) <= WIDTH:
+        return tokens
+    out = []
+    for token in tokens:
+        word = token if len(token) <= WIDTH else "".join(filter(str.isalpha, token))
+        if len(word) <= WIDTH:
+            out.append(token)
+        else:
+            starts = range(0, len(word) - OVERLAP, WIDTH - OVERLAP)
+            out += [word[i : i + WIDTH] for i in starts]
+    return out
+
+
 def _hashed(h: np.ndarray, salt: int) -> np.ndarray:
     h = (h ^ np.uint32(salt * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
     h ^= h >> np.uint32(13)
@@ -52,24 +73,20 @@ def _hashed(h: np.ndarray, salt: int) -> np.ndarray:
 
 
 def features(words: list[str]):
-    """Columns (rows, hashed features) of words of letters: the word, affixes, bigrams and trigrams.
-
-    Of a word longer than WIDTH the two ends count.
-    """
-    half = WIDTH // 2
-    cut = [w if len(w) <= WIDTH else w[:half] + w[-half:] for w in words]
-    size = np.fromiter(map(len, cut), np.int64, len(cut))
-    c = np.array(cut, dtype=f"U{WIDTH}").view(np.uint32).reshape(len(cut), WIDTH)
+    """Columns (rows, hashed features) of words of letters: the word, affixes, bigrams and trigrams."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    width = int(size.max())
+    c = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
     order = np.argsort(-size, kind="stable")  # the words that reach a place are a leading part
     c, size = c[order], size[order]
-    reach = [int(np.searchsorted(-size, -k, side="right")) for k in range(WIDTH + 1)]  # words of at least k letters
+    reach = [int(np.searchsorted(-size, -k, side="right")) for k in range(width + 1)]  # words of at least k letters
     prime = np.uint32(16777619)
-    whole = np.zeros(len(cut), np.uint32)
-    for k in range(WIDTH):
+    whole = np.zeros(len(words), np.uint32)
+    for k in range(width):
         n = reach[k + 1]
         whole[:n] = whole[:n] * prime + c[:n, k]
     yield order, _hashed(whole, 1)
-    for k in (1, 2, 3):
+    for k in range(1, min(3, width) + 1):
         n = reach[k]
         head, tail = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
         for j in range(k):
@@ -78,7 +95,7 @@ def features(words: list[str]):
         yield order[:n], _hashed(head, 1 + k)
         yield order[:n], _hashed(tail, 4 + k)
     for k in (2, 3):
-        for i in range(WIDTH - k + 1):
+        for i in range(width - k + 1):
             n = reach[i + k]
             if not n:
                 break
@@ -189,7 +206,7 @@ def sample_runs(docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[tuple[str, l
         for batch in batches:
             lang, out = [], []
             for x, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = [w for w in map(letters, (text or "").split()) if w]
+                words = [w for w in map(letters, tokens_of(text)) if w]
                 for k in range(RUNS if len(words) > RUN_WORDS else 1):
                     at = k * max(0, len(words) - RUN_WORDS) // max(1, RUNS - 1)
                     if words:
@@ -260,7 +277,7 @@ def predict(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
         for batch in batches:
             sums, held, words = [], [], 0
             for t in batch.column(text).to_pylist():
-                tokens = (t or "").split()
+                tokens = tokens_of(t)
                 if held and words + len(tokens) > BLOCK_WORDS:
                     sums.append(label(held))
                     held, words = [], 0
