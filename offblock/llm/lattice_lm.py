@@ -33,10 +33,10 @@ from offblock.llm.common import held_out, partitions, row_ids, small_batches, wr
 FOLDS = 7
 #: Words that are broadcast.
 HEAD_WORDS = 1 << 17
-#: Rounds of fitting the pieces' scores, on words of up to FIT_CHARS characters; added to each expected count.
-ROUNDS = 1
+#: Rounds of fitting the pieces' scores; DELTA is added to each expected count.
+ROUNDS = 2
 FIT_CHARS = 40
-#: Words of one length that are fitted on at a time.
+#: Words of one length, up to FIT_CHARS characters, that are fitted on at a time; longer ones go one by one.
 FIT_WORDS = 2048
 DELTA = 0.01
 #: Distinct words that a task counts before it gives them out, and scores that it keeps.
