@@ -21,6 +21,7 @@ other words go through a join.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -196,7 +197,9 @@ class Lattice:
             if j == i + 1:
                 beta[i] += spelt[:, i] * beta[j]
         total = alpha[n] * self.end
-        ok = total > 1e-290  # less is beyond doubles: such words are spelt by bytes, and tell nothing about pieces
+        ok = total > 1e-290  # less is beyond doubles
+        for k in np.flatnonzero(~ok):
+            self.expected_long(words[k], counts)
         inverse = np.where(ok, 1 / np.where(ok, total, 1), 0)
         used = np.stack([alpha[i] * beta[j] for i, j in spans], 1) * p * inverse[:, None]
         begins = sum(i == 0 for i, _ in spans)
@@ -213,6 +216,44 @@ class Lattice:
                     counts.rest_bytes[b] += x
         counts.words += int(ok.sum())
 
+    def expected_long(self, word: str, counts: Counts) -> None:
+        """`expected` of one word of any length, in log space; two numbers a character are held."""
+        n, longest, exp, log = len(word), self.longest, math.exp, math.log
+
+        def total(terms):
+            top = max(terms)
+            return top + log(sum([exp(x - top) for x in terms]))
+
+        def steps(i):
+            """(end, piece, log score) of the pieces at i; the character's bytes and their log score."""
+            at, get = (self.log_rest_at if i else self.log_first_at), self.id.get
+            found = [(j, k, float(at[k])) for j in range(i + 1, min(n, i + longest) + 1) if (k := get(word[i:j])) is not None]
+            raw = word[i].encode("utf-8", "surrogatepass")
+            return found, raw, (self.log_rest_bytes if i else self.log_first_bytes)[raw[0]] + sum([self.log_rest_bytes[b] for b in raw[1:]])
+
+        alpha, beta = array("d", bytes(8 * (n + 1))), array("d", bytes(8 * (n + 1)))
+        into: dict[int, list[float]] = {}
+        for i in range(n):
+            if i:
+                alpha[i] = total(into.pop(i))
+            found, _, spelt = steps(i)
+            for j, _, p in found:
+                into.setdefault(j, []).append(alpha[i] + p)
+            into.setdefault(i + 1, []).append(alpha[i] + spelt)
+        beta[n] = self.log_end
+        every = total(into[n]) + self.log_end
+        for i in range(n - 1, -1, -1):
+            found, raw, spelt = steps(i)
+            beta[i] = total([p + beta[j] for j, _, p in found] + [spelt + beta[i + 1]])
+            pieces, spelling = (counts.rest, counts.rest_bytes) if i else (counts.first, counts.first_bytes)
+            for j, k, p in found:
+                pieces[k] += exp(alpha[i] + p + beta[j] - every)
+            x = exp(alpha[i] + spelt + beta[i + 1] - every)
+            spelling[raw[0]] += x
+            for b in raw[1:]:
+                counts.rest_bytes[b] += x
+        counts.words += 1
+
     def refitted(self, words: DataFrame) -> Lattice:
         """The next round's lattice. As many sums as there are pieces, twice, reach the driver."""
         shared = words.sparkSession.sparkContext.broadcast(self)
@@ -227,6 +268,8 @@ class Lattice:
                         group.append(w)
                         if len(group) >= FIT_WORDS:
                             lattice.expected(by_length.pop(len(w)), counts)
+                    else:
+                        lattice.expected_long(w, counts)
             for group in by_length.values():
                 lattice.expected(group, counts)
             flat = counts.flat()
@@ -295,7 +338,6 @@ ROWS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, ba
 def score_documents(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
     """The contract's columns for every row of docs; learns from the rows that are not held out.
 
-    Words of more than FIT_CHARS characters are scored like others but not fitted on.
     Null texts count as empty: one token, the end. Repeated rows are scored, and
     learned from, one by one; rows without an id are learned from. With nothing to
     learn from all counts are 0. Other columns are not read.

@@ -17,3 +17,22 @@ def test_shipped_rounds_fit_better_than_one(spark):
     for _ in range(max(lattice_lm.ROUNDS, 1)):
         fits.append(fits[-1].refitted(df))
     assert sum(fits[-1].log_words(words)) > sum(fits[1].log_words(words)) + 0.1
+
+
+@pytest.mark.parametrize("word", ["there", "é🙂x", "otherthing"])
+def test_long_path_equals_the_block_path(word):
+    lattice = lattice_lm.Lattice.existing(P.path("piece_bpe_32k.model"))
+    one, two = lattice_lm.Counts(len(lattice.vocab)), lattice_lm.Counts(len(lattice.vocab))
+    lattice.expected([word], one)
+    lattice.expected_long(word, two)
+    assert np.allclose(one.flat(), two.flat())
+
+
+def test_long_and_improbable_words_are_fitted_on(spark):
+    start = lattice_lm.Lattice.existing(P.path("piece_bpe_32k.model"))
+    counts = lattice_lm.Counts(len(start.vocab))
+    start.expected(["\U0001f9ff" * 40, "\U0001f9fe" * 40], counts)  # their probabilities are beyond doubles
+    assert counts.words == 2 and counts.first.sum() + counts.first_bytes.sum() == pytest.approx(2)
+    words = ["there" * 30, "onother" * 900]
+    fit = start.refitted(spark.createDataFrame([(w,) for w in words], "word string"))
+    assert all(math.isfinite(x) for x in fit.log_words(words)) and sum(fit.log_words(words)) > sum(start.log_words(words)) + 1000
