@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offblock.llm import bpe, ego_join, jaccard, language_id, lattice_lm, line_dedup, packing, simhash, tool_calls, url_filter
+from offblock.llm import bpe, ego_join, jaccard, language_id, lattice_lm, line_dedup, packing, quality_rules, simhash, tool_calls, url_filter
 from offblock.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,8 @@ def queries() -> dict[str, Query]:
         "op8_lattice_lm": _on("documents", lattice_lm.op8_lattice_lm),
         "op9_bpe": _on("documents", bpe.op9_bpe),
         "op10_packing": _on("documents", packing.pack_documents),
+        "op13_quality_rules": lambda spark, sf_dir: quality_rules.op13_quality_rules(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "pipeline": corpus_pipeline.run,
     }
 
