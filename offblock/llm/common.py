@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +64,15 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, rows)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most so many rows for the Python jobs that are run inside; the caller's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offblock.llm import bpe, ego_join, jaccard, language_id, lattice_lm, line_dedup, packing, prefix_trie, quality_rules, simhash, tool_calls, url_filter
+from offblock.llm import bpe, ego_join, jaccard, k2_treap, language_id, lattice_lm, line_dedup, packing, prefix_trie, quality_rules, simhash, tool_calls, url_filter
 from offblock.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
         "op8_lattice_lm": _on("documents", lattice_lm.op8_lattice_lm),
         "op9_bpe": _on("documents", bpe.op9_bpe),
         "op10_packing": _on("documents", packing.pack_documents),
+        "op11_k2_treap": lambda spark, sf_dir: k2_treap.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op12_prefix_trie": _on("conversations", prefix_trie.prefix_trie),
         "op13_quality_rules": lambda spark, sf_dir: quality_rules.op13_quality_rules(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
@@ -38,4 +39,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.OP2_SQL, "op12_prefix_trie": prefix_trie.OP12_SQL}
+    return {"op2_url_filter": url_filter.OP2_SQL, "op11_k2_treap": k2_treap.OP11_SQL,
+            "op12_prefix_trie": prefix_trie.OP12_SQL}
