@@ -126,3 +126,47 @@ CATEGORICAL_COLUMNS = ["summary", "icon", "precipType"]
 # non-feature columns gold carries so row order survives (Spark has no row position)
 ROW_ID = "flight_id"
 ORDER_TS = "aobt_ts"
+
+# --- fixed values: search spaces --------------------------------------------
+# list: choice; low and high: range, whole numbers for "int", log: drawn on the logarithm
+SEARCH_SPACES = {
+    "linear_regression": {"fit_intercept": [True, False]},
+    "random_forest": {
+        "n_estimators": {"type": "int", "low": 100, "high": 500},
+        "max_depth": {"type": "int", "low": 5, "high": 30},
+        "min_samples_split": {"type": "int", "low": 2, "high": 20},
+        "min_samples_leaf": {"type": "int", "low": 1, "high": 10},
+        "max_features": ["sqrt", "log2", None],
+    },
+    "xgboost": {
+        "n_estimators": {"type": "int", "low": 100, "high": 1000},
+        "max_depth": {"type": "int", "low": 3, "high": 10},
+        "learning_rate": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
+        "subsample": {"type": "float", "low": 0.6, "high": 1.0},
+        "colsample_bytree": {"type": "float", "low": 0.6, "high": 1.0},
+        "min_child_weight": {"type": "int", "low": 1, "high": 10},
+        "gamma": {"type": "float", "low": 0.0, "high": 5.0},
+        "reg_alpha": {"type": "float", "low": 1e-8, "high": 10.0, "log": True},
+        "reg_lambda": {"type": "float", "low": 1e-8, "high": 10.0, "log": True},
+    },
+    "lightgbm": {
+        "n_estimators": {"type": "int", "low": 100, "high": 1000},
+        "max_depth": {"type": "int", "low": 3, "high": 12},
+        "learning_rate": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
+        "num_leaves": {"type": "int", "low": 20, "high": 150},
+        "subsample": {"type": "float", "low": 0.6, "high": 1.0},
+        "colsample_bytree": {"type": "float", "low": 0.6, "high": 1.0},
+        "min_child_samples": {"type": "int", "low": 5, "high": 100},
+        "reg_alpha": {"type": "float", "low": 1e-8, "high": 10.0, "log": True},
+        "reg_lambda": {"type": "float", "low": 1e-8, "high": 10.0, "log": True},
+    },
+    "catboost": {
+        "iterations": {"type": "int", "low": 100, "high": 1000},
+        "depth": {"type": "int", "low": 4, "high": 10},
+        "learning_rate": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
+        "l2_leaf_reg": {"type": "float", "low": 1e-8, "high": 10.0, "log": True},
+        "bagging_temperature": {"type": "float", "low": 0.0, "high": 1.0},
+        "random_strength": {"type": "float", "low": 0.0, "high": 10.0},
+        "border_count": {"type": "int", "low": 32, "high": 255},
+    },
+}

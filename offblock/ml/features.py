@@ -1,10 +1,10 @@
 """Feature assembly.
 
-Tree learners in Spark ML reject missing values, while the reference's boosters
-take them as they are. For the ``default`` gold variant each feature with
-missing values in training gets a 0/1 indicator input and a sentinel fill
-(below any real value), so a split can still separate the missing rows. The
-indicator's attribution is folded back into its feature.
+The tree families of ``ml.histogram`` take missing values as they are
+(``native``: NaN in the vector) and learn a side for them at each split. For
+learners that reject them, each feature with missing values in training gets a
+0/1 indicator input and a sentinel fill (below any real value); the indicator's
+attribution is folded back into its feature.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ class FeatureSpec:
     source: list[str] = field(default_factory=list)
     indicators: dict[str, str] = field(default_factory=dict)
     for_trees: bool = False
+    native: bool = False
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -39,12 +40,12 @@ class FeatureSpec:
         return FeatureSpec(**json.loads(text))
 
 
-def feature_spec(train: DataFrame, label: str, non_features: list[str], for_trees: bool) -> FeatureSpec:
+def feature_spec(train: DataFrame, label: str, non_features: list[str], for_trees: bool, native: bool = False) -> FeatureSpec:
     """Learn the input list from the training set in one aggregate."""
     feats = split_features_label(train, label, non_features)
     prof = train.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(q(c).isNull()).alias(c) for c in feats]).first()
     n = prof["__n"]
-    spec = FeatureSpec(label=label, features=[], for_trees=for_trees)
+    spec = FeatureSpec(label=label, features=[], for_trees=for_trees, native=native)
     for c in feats:
         missing = prof[c]
         if missing == n and n > 0:
@@ -52,7 +53,7 @@ def feature_spec(train: DataFrame, label: str, non_features: list[str], for_tree
         spec.features.append(c)
         spec.inputs.append(c)
         spec.source.append(c)
-        if for_trees and missing > 0:
+        if for_trees and not native and missing > 0:
             ind = f"{c}__missing"
             spec.indicators[c] = ind
             spec.inputs.append(ind)
@@ -69,7 +70,7 @@ def assemble(df: DataFrame, spec: FeatureSpec, keep: list[str] | None = None) ->
     values: dict[str, object] = {}
     for c in spec.features:
         x = q(c).cast("double") if c in df.columns else F.lit(0.0)
-        if spec.for_trees:
+        if spec.for_trees and not spec.native:
             if c in spec.indicators:
                 values[spec.indicators[c]] = x.isNull().cast("double")
             x = F.coalesce(x, F.lit(SENTINEL))

@@ -1,12 +1,13 @@
 """Model families, search spaces, holdout search, refit, persistence.
 
-One Spark ML learner stands for each reference model:
   linear_regression -> LinearRegression (least squares via the normal equations)
-  random_forest     -> RandomForestRegressor
-  xgboost / lightgbm / catboost -> GBTRegressor with a family preset
-Accuracy is therefore compared by metrics, not values. Hyper-parameters that
-Spark has no setting for (L1/L2 penalties, min split size, bagging temperature,
-random strength) are recorded but not applied.
+  random_forest     -> bootstrapped trees, inputs drawn at each node
+  xgboost           -> boosting, trees grown level by level
+  lightgbm          -> boosting, trees grown by their best leaf
+  catboost          -> boosting, symmetric trees on weighted rows
+The tree families are those of ``ml.histogram``; every parameter of their search
+spaces changes the fit. The rounds' draws differ from other libraries', so
+accuracy is compared by metrics, not values.
 """
 
 from __future__ import annotations
@@ -17,55 +18,21 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import (
-    GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressionModel,
-    RandomForestRegressor,
-)
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offblock.constants import SEARCH_SPACES
 from offblock.ml.features import VECTOR
+from offblock.ml.histogram import BINS, HistogramModel, TreeParams, fit_many, squared_errors
 
 LINEAR_RIDGE = 1e-8
 MODEL_TYPES = ("linear_regression", "xgboost", "lightgbm", "catboost", "random_forest")
 DEFAULT_TRIALS = {"linear_regression": 2, "random_forest": 15, "xgboost": 30, "lightgbm": 30, "catboost": 30}
 SEED = 42
-
-# Search spaces in Spark parameter names, ranges as the reference's defaults.
-# list -> choice; dict(type, low, high, log) -> sampled range.
-DEFAULT_SPACES: dict[str, dict] = {
-    "linear_regression": {"fitIntercept": [True, False]},
-    "random_forest": {
-        "numTrees": {"type": "int", "low": 100, "high": 500},
-        "maxDepth": {"type": "int", "low": 5, "high": 30},
-        "minInstancesPerNode": {"type": "int", "low": 1, "high": 10},
-        "featureSubsetStrategy": ["sqrt", "log2", "all"],
-    },
-    "xgboost": {
-        "maxIter": {"type": "int", "low": 100, "high": 1000},
-        "maxDepth": {"type": "int", "low": 3, "high": 10},
-        "stepSize": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
-        "subsamplingRate": {"type": "float", "low": 0.6, "high": 1.0},
-        "featureSubsetStrategy": {"type": "float", "low": 0.6, "high": 1.0},
-        "minInstancesPerNode": {"type": "int", "low": 1, "high": 10},
-        "minInfoGain": {"type": "float", "low": 0.0, "high": 5.0},
-    },
-    "lightgbm": {
-        "maxIter": {"type": "int", "low": 100, "high": 1000},
-        "maxDepth": {"type": "int", "low": 3, "high": 12},
-        "numLeaves": {"type": "int", "low": 20, "high": 150},
-        "stepSize": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
-        "subsamplingRate": {"type": "float", "low": 0.6, "high": 1.0},
-        "featureSubsetStrategy": {"type": "float", "low": 0.6, "high": 1.0},
-        "minInstancesPerNode": {"type": "int", "low": 5, "high": 100},
-    },
-    "catboost": {
-        "maxIter": {"type": "int", "low": 100, "high": 1000},
-        "maxDepth": {"type": "int", "low": 4, "high": 10},
-        "stepSize": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
-        "maxBins": {"type": "int", "low": 32, "high": 255},
-    },
-}
+TREE_FAMILIES = ("random_forest", "xgboost", "lightgbm", "catboost")
+#: Depth where none is given and the family sets no other bound.
+MAX_DEPTH = 64
 
 # reference parameter names accepted in user spaces
 ALIASES = {
@@ -86,9 +53,9 @@ def _canonical(model_type: str, name: str) -> str:
 def sample_param_maps(model_type: str, space: dict | None = None, n_trials: int | None = None,
                       seed: int = SEED) -> list[dict]:
     """Candidate parameter maps. All-list spaces within the budget are enumerated."""
-    if model_type not in DEFAULT_SPACES:
-        raise ValueError(f"Unsupported model type: {model_type}")
-    space = {_canonical(model_type, k): v for k, v in (space or DEFAULT_SPACES[model_type]).items()}
+    if model_type not in SEARCH_SPACES:
+        raise ValueError(f"no model family named {model_type!r}")
+    space = {_canonical(model_type, k): v for k, v in (space or SEARCH_SPACES[model_type]).items()}
     n_trials = n_trials or DEFAULT_TRIALS[model_type]
     if all(isinstance(v, list) for v in space.values()):
         grid = [dict(zip(space, combo, strict=True)) for combo in itertools.product(*space.values())]
@@ -114,54 +81,51 @@ def sample_param_maps(model_type: str, space: dict | None = None, n_trials: int
     return maps
 
 
-#: Search names without a Spark setting: kept in the run record, not given to the learner.
-RECORDED_ONLY = {"reg_alpha", "reg_lambda", "l2_leaf_reg", "min_samples_split", "bagging_temperature", "random_strength"}
+def tree_params(model_type: str, params: dict) -> TreeParams:
+    """The learner's settings for a family, by the names of a search space; what is not given has no effect."""
+    p = {_canonical(model_type, k): v for k, v in params.items()}
+    share = p.get("featureSubsetStrategy")
+    depth = int(p.get("maxDepth", -1 if model_type in ("lightgbm", "random_forest") else 6))
+    common = {"depth": depth if depth >= 0 else MAX_DEPTH, "seed": SEED, "bins": min(BINS, int(p.get("maxBins", BINS)))}
+    if model_type == "random_forest":
+        return TreeParams(forest=True, bootstrap=p.get("bootstrap", True), rounds=int(p.get("numTrees", 100)), split_rows=int(p.get("min_samples_split", 2)),
+                          child_rows=int(p.get("minInstancesPerNode", 1)), node_columns=share or "all", **common)
+    common |= {"rounds": int(p.get("maxIter", 100)), "rate": float(p.get("stepSize", 0.1)), "rows": float(p.get("subsamplingRate", 1.0)),
+               "columns": 1.0 if share in (None, "all") else float(share)}
+    if model_type == "catboost":
+        return TreeParams(growth="symmetric", lam=float(p.get("l2_leaf_reg", 0.0)), temperature=float(p.get("bagging_temperature", 0.0)),
+                          strength=float(p.get("random_strength", 0.0)), **common)
+    common |= {"alpha": float(p.get("reg_alpha", 0.0)), "lam": float(p.get("reg_lambda", 0.0)), "gamma": float(p.get("minInfoGain", 0.0))}
+    least = p.get("minInstancesPerNode", 1)
+    if model_type == "lightgbm":
+        return TreeParams(growth="leaf", leaves=int(p.get("numLeaves", 31)), child_rows=int(least), **common)
+    return TreeParams(growth="depth", child_weight=float(least), **common)
+
+
+class TreeEstimator:
+    """A tree family with its parameters; ``fit`` learns from the rows that have a label."""
 
+    def __init__(self, model_type: str, label: str, params: dict):
+        self.label, self.params = label, tree_params(model_type, params)
 
-def _spark_params(model_type: str, params: dict) -> dict:
-    out = {}
-    for k, v in params.items():
-        if k == "numLeaves" or k in RECORDED_ONLY:
-            continue
-        if k == "featureSubsetStrategy" and isinstance(v, float):
-            v = "all" if v >= 1.0 else f"{v:.4f}"
-        if k == "featureSubsetStrategy" and v in (None, 1.0):
-            v = "all"
-        out[k] = v
-    if "numLeaves" in params:
-        cap = max(1, math.ceil(math.log2(params["numLeaves"])))
-        out["maxDepth"] = min(out.get("maxDepth", cap), cap)
-    if "maxDepth" in out:
-        out["maxDepth"] = min(int(out["maxDepth"]), 30)
-    return out
+    def fit(self, df: DataFrame) -> HistogramModel:
+        return fit_many(df, self.label, [self.params])[0]
 
 
 def make_estimator(model_type: str, label: str, params: dict | None = None):
-    """A Spark ML regressor for a model family with the given (reference or Spark) parameters."""
-    p = _spark_params(model_type, params or {})
-    common = {"featuresCol": VECTOR, "labelCol": label, "predictionCol": "prediction"}
+    """A regressor for a model family with the given (space or Spark) parameters."""
     if model_type == "linear_regression":
         # Normal equations in one distributed Gramian pass + Cholesky. One-hot
         # groups make the Gramian singular; a vanishing ridge on standardized
         # inputs (1e-8) keeps Cholesky exact to least squares (predictions
         # within ~1e-6 of numpy lstsq) instead of falling back to L-BFGS;
         # beyond Spark's width limit for them, solver="auto" takes L-BFGS.
-        return LinearRegression(regParam=LINEAR_RIDGE, elasticNetParam=0.0, standardization=True, solver="auto",
-                                **common, **p)
-    if model_type == "random_forest":
-        return RandomForestRegressor(seed=SEED, **common, **p)
-    if model_type in ("xgboost", "lightgbm", "catboost"):
-        return GBTRegressor(seed=SEED, lossType="squared", **common, **p)
-    raise ValueError(f"Unsupported model type: {model_type}")
-
-
-MODEL_CLASSES = {
-    "linear_regression": LinearRegressionModel,
-    "random_forest": RandomForestRegressionModel,
-    "xgboost": GBTRegressionModel,
-    "lightgbm": GBTRegressionModel,
-    "catboost": GBTRegressionModel,
-}
+        named = {_canonical(model_type, k): v for k, v in (params or {}).items()}
+        return LinearRegression(regParam=LINEAR_RIDGE, elasticNetParam=0.0, standardization=True, solver="auto", featuresCol=VECTOR,
+                                labelCol=label, predictionCol="prediction", **named)
+    if model_type in TREE_FAMILIES:
+        return TreeEstimator(model_type, label, params or {})
+    raise ValueError(f"no model family named {model_type!r}")
 
 
 def rmse(model, df: DataFrame, label: str) -> float:
@@ -170,17 +134,21 @@ def rmse(model, df: DataFrame, label: str) -> float:
 
 def search_holdout(model_type: str, label: str, fit_part: DataFrame, val_part: DataFrame,
                    maps: list[dict], parallelism: int = 4) -> tuple[dict, list[tuple[dict, float]]]:
-    """Fit each candidate on the early part, RMSE on the late part, keep the lowest.
+    """Fit each candidate on the early part, RMSE on the late part, keep the lowest; ties keep the earlier one.
 
-    Candidates are submitted as concurrent Spark jobs (``parallelism`` at a
-    time, as ``CrossValidator(parallelism=...)`` does); ties keep the earlier one.
+    Candidates of a tree family grow together: the rows are read once a level for
+    all of them. Linear ones are concurrent Spark jobs, ``parallelism`` at a time.
     """
-    def trial(m: dict) -> tuple[dict, float]:
-        model = make_estimator(model_type, label, m).fit(fit_part)
-        return m, rmse(model, val_part, label)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(maps)))) as pool:
-        results = list(pool.map(trial, maps))
+    if model_type in TREE_FAMILIES:
+        models = fit_many(fit_part, label, [tree_params(model_type, m) for m in maps])
+        results = list(zip(maps, squared_errors(models, val_part, label), strict=True))
+    else:
+        def trial(m: dict) -> tuple[dict, float]:
+            model = make_estimator(model_type, label, m).fit(fit_part)
+            return m, rmse(model, val_part, label)
+
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(maps)))) as pool:
+            results = list(pool.map(trial, maps))
     best = min(results, key=lambda r: (math.isnan(r[1]), r[1]))[0]
     return best, results
 
@@ -193,11 +161,16 @@ def batch_score(model, df: DataFrame) -> DataFrame:
 
 def save_model(model, path: str) -> None:
     """Persist (overwrite)."""
-    model.write().overwrite().save(path)
+    if isinstance(model, HistogramModel):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path: str, model_type: str):
-    """Load by type; unknown type raises."""
-    if model_type not in MODEL_CLASSES:
-        raise ValueError(f"Unknown model type: {model_type}. Supported types: {list(MODEL_CLASSES)}")
-    return MODEL_CLASSES[model_type].load(path)
+    """Load by type; an unknown type raises."""
+    if model_type in TREE_FAMILIES:
+        return HistogramModel.load(SparkSession.active(), path)
+    if model_type == "linear_regression":
+        return LinearRegressionModel.load(path)
+    raise ValueError(f"no model family named {model_type!r}; there are {', '.join(MODEL_TYPES)}")

@@ -61,6 +61,6 @@ def route_dataset(model_type: str, default_df: DataFrame, clean_df: DataFrame, s
     """Gold variant per model; unknown model -> ``default`` (or raise when ``strict``)."""
     if model_type not in MODEL_DATASET:
         if strict:
-            raise ValueError(f"Unknown model type: {model_type}. Supported types: {list(MODEL_DATASET)}")
+            raise ValueError(f"no gold variant is set for {model_type!r}; families: {', '.join(MODEL_DATASET)}")
         return default_df
     return clean_df if MODEL_DATASET[model_type] == "clean" else default_df

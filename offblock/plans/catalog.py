@@ -568,9 +568,11 @@ def r65_fit_boost_symmetric(spark, sf):
 def r66_missing_for_trees(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
-    from offblock.plans.train import prepared_sets
+    from offblock.ml.features import assemble, feature_spec
+    from offblock.plans.train import ROW_KEYS, TARGET
 
-    spec, train, _ = prepared_sets(spark, built_gold(spark, sf), "xgboost")
+    train = spark.read.parquet(built_gold(spark, sf)["train_default"])
+    train = assemble(train, feature_spec(train, TARGET, ROW_KEYS, for_trees=True), keep=[*ROW_KEYS, TARGET])
     return train.select("flight_id", "wx_row_id", vector_to_array("features").alias("inputs"))
 
 

@@ -61,7 +61,7 @@ def _gold(spark: SparkSession, sf: str, inputs: dict) -> dict[str, str]:
 def _space(family: str, depths: list[int], intercepts: list[bool]) -> dict:
     if family == "linear_regression":
         return {"fitIntercept": intercepts}
-    trees = {"numTrees": [3], "bootstrap": [False]} if family == "random_forest" else {"maxIter": [2], "stepSize": [0.5]}
+    trees = {"numTrees": [3], "bootstrap": [False]} if family == "random_forest" else {"maxIter": [2], "stepSize": [1.0]}
     return {**trees, "maxDepth": depths, "featureSubsetStrategy": ["all"]}
 
 
@@ -168,7 +168,7 @@ def r75b_explain_trees(spark, sf):
     gold, out = _gold(spark, sf, {"private": _private()}), None
     for family in TREE_FAMILIES:
         train = spark.read.parquet(gold["train_default"])
-        spec = feature_spec(train, TARGET, ROW_KEYS, for_trees=True)
+        spec = feature_spec(train, TARGET, ROW_KEYS, for_trees=True, native=True)
         params = {k: v[0] for k, v in _space(family, [1], [True]).items()}
         model = make_estimator(family, TARGET, params).fit(assemble(train, spec, keep=ROW_KEYS + [TARGET]))
         test = assemble(spark.read.parquet(gold["test_default"]), spec, keep=[ROW_ID])

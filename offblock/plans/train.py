@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from offblock.constants import MODEL_DATASET, ORDER_TS, ROW_ID, TARGET
 from offblock.ml.features import FeatureSpec, assemble, feature_spec
 from offblock.ml.models import (
-    batch_score, load_model, make_estimator, sample_param_maps, save_model, search_holdout,
+    TREE_FAMILIES, batch_score, load_model, make_estimator, sample_param_maps, save_model, search_holdout,
 )
 from offblock.operators.metrics import metrics_dict
 from offblock.operators.runs import new_run_id, record_run
@@ -24,7 +24,6 @@ from offblock.operators.split import time_ordered_split
 from offblock.session import cut_lineage
 
 ROW_KEYS = [ROW_ID, ORDER_TS, "wx_row_id"]
-TREE_FAMILIES = ("random_forest", "xgboost", "lightgbm", "catboost")
 
 
 @dataclass
@@ -41,7 +40,7 @@ def dataset_paths(gold: dict[str, str], model_type: str, strict: bool = False) -
     """(train, test) paths of the gold variant the model family uses."""
     if model_type not in MODEL_DATASET:
         if strict:
-            raise ValueError(f"Unknown model type: {model_type}. Supported types: {list(MODEL_DATASET)}")
+            raise ValueError(f"no gold variant is set for {model_type!r}; families: {', '.join(MODEL_DATASET)}")
         kind = "default"
     else:
         kind = MODEL_DATASET[model_type]
@@ -52,7 +51,8 @@ def prepared_sets(spark: SparkSession, gold: dict[str, str], model_type: str
                   ) -> tuple[FeatureSpec, DataFrame, DataFrame]:
     train_p, test_p = dataset_paths(gold, model_type)
     train, test = spark.read.parquet(train_p), spark.read.parquet(test_p)
-    spec = feature_spec(train, TARGET, ROW_KEYS, for_trees=model_type in TREE_FAMILIES)
+    trees = model_type in TREE_FAMILIES
+    spec = feature_spec(train, TARGET, ROW_KEYS, for_trees=trees, native=trees)
     keep = ROW_KEYS + [TARGET]
     return spec, assemble(train, spec, keep=keep), assemble(test, spec, keep=keep)
 

@@ -73,3 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}"
+
+
+def drop_scratch(df: DataFrame) -> None:
+    """Delete the written intermediate table that df reads; only tables under the checkpoint folder go."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if base.split(":")[-1].lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

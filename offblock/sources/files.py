@@ -73,7 +73,7 @@ def scan_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None =
         return scan_parquet(spark, path)
     if suffix in (".xlsx", ".xls"):
         raise NotImplementedError("workbooks are not read; export them to CSV or Parquet first")
-    raise ValueError(f"Unsupported file type: {suffix}")
+    raise ValueError(f"no reader for files that end in {suffix!r}")
 
 
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
