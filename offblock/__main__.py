@@ -87,11 +87,11 @@ def run(argv: list[str] | None = None, spark=None) -> dict:
 
         done["gold"], _ = build_gold(spark, p["silver"], a.out)
     if a.stage in ("train", "all"):
-        from offblock.plans.catalog import QUICK_SPACES
+        from offblock.plans.catalog import check_space
         from offblock.plans.train import train_all
 
         models = [m for m in a.models.split(",") if m]
-        spaces = QUICK_SPACES if a.quick else None
+        spaces = {m: check_space(m) for m in models} if a.quick else None
         trials = {m: a.trials for m in models} if a.trials else None
         done["train"] = [(r.model_type, r.run_id, r.metrics) for r in
                          train_all(spark, models, p["gold"], p["runs"], p["models"], spaces, trials)]

@@ -296,35 +296,42 @@ def candidates(g: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray, n
     return run[:, layout.slot] - before[:, layout.col], g[:, (layout.starts + layout.sizes - 1)[layout.col]], total[:, layout.col]
 
 
-def pick(g, h, n, layout: Layout, p: TreeParams, allowed: np.ndarray, noise: np.ndarray | None = None):
-    """The best split shared by the nodes of g, h, n (nodes x bins): (gain, candidate, missing left, left sums (nodes x 3)) or None.
+def pick(g, h, n, layout: Layout, p: TreeParams, allowed: np.ndarray, noise: np.ndarray | None = None) -> list[tuple | None]:
+    """For each node of g, h, n (nodes x bins) its best split (gain, candidate, missing left, left sums) or None.
 
-    For one node it is that node's best split. Of equal gains the first input, the
-    lowest bin and missing to the right win.
+    Symmetric trees have one split for all of them, of the highest sum of gains.
+    allowed: candidates, or nodes x candidates. Of equal gains the first input,
+    the lowest bin and missing to the right win.
     """
     (gl, gm, gt), (hl, hm, ht), (nl, nm, nt) = (candidates(x, layout) for x in (g, h, n))
-    own = score(gt, ht, p)
-    best = None
+    own, shared = score(gt, ht, p), p.growth == "symmetric"
+    if not gl.shape[1]:
+        return [None] * len(g)
+    rows = np.arange(len(g))
+    best = np.full(len(g), -np.inf)
+    out: list[tuple | None] = [None] * len(g)
     for missing_left in (False, True):
         a, b, c = (x + y if missing_left else x for x, y in ((gl, gm), (hl, hm), (nl, nm)))
-        ok = allowed & (nm.sum(0) > 0 if missing_left else True)
-        if p.growth == "symmetric":
-            ok = ok & ((c > 0) & (nt - c > 0)).any(0)
+        gain = 0.5 * (score(a, b, p) + score(gt - a, ht - b, p) - own)
+        if shared:
+            gain = np.broadcast_to(gain.sum(0) - p.gamma, gain.shape)
+            ok = allowed & ((c > 0) & (nt - c > 0)).any(0) & (nm.sum(0) > 0 if missing_left else True)
         else:
-            fits = (np.minimum(c, nt - c) >= max(1, p.child_rows)) & (np.minimum(b, ht - b) >= p.child_weight) & (nt >= p.split_rows)
-            ok = ok & fits.all(0)
-        gain = (0.5 * (score(a, b, p) + score(gt - a, ht - b, p) - own)).sum(0) - p.gamma
-        rank = gain if noise is None else gain + noise
-        rank = np.where(ok & (gain > 1e-10), rank, -np.inf)
-        k = int(np.argmax(rank)) if rank.size else 0
-        if rank.size and rank[k] > -np.inf and (best is None or rank[k] > best[4]):
-            best = (float(gain[k]), k, missing_left, np.stack([a[:, k], b[:, k], c[:, k]], 1), rank[k], bool(nm[:, k].any()))
-    if best is None:
-        return None
-    gain, k, missing_left, left, _, seen = best
-    if not seen:  # no missing value here: to the larger child
-        missing_left = bool(left[:, 1].sum() * 2 >= ht[:, k].sum())
-    return gain, k, missing_left, left
+            gain = gain - p.gamma
+            ok = allowed & (np.minimum(c, nt - c) >= max(1, p.child_rows)) & (np.minimum(b, ht - b) >= p.child_weight) & (nt >= p.split_rows)
+            ok = ok & (nm > 0) if missing_left else ok
+        rank = np.where(ok & (gain > 1e-10), gain if noise is None else gain + noise, -np.inf)
+        k = rank.argmax(1)
+        for v in np.flatnonzero(rank[rows, k] > best):
+            best[v] = rank[v, k[v]]
+            out[v] = (float(gain[v, k[v]]), int(k[v]), missing_left, (a[v, k[v]], b[v, k[v]], c[v, k[v]]))
+    if shared and out[0] is not None and not nm[:, out[0][1]].any():
+        side = sum(x[3][1] for x in out) * 2 >= ht[:, out[0][1]].sum()
+        return [(*x[:2], bool(side), x[3]) for x in out]
+    for v, x in enumerate(out):
+        if x is not None and not shared and not nm[v, x[1]]:  # no missing value here: to the larger child
+            out[v] = (*x[:2], bool(x[3][1] * 2 >= ht[v, x[1]]), x[3])
+    return out
 
 
 SPLITS = "job int, node int, gain double, col int, code int, missing_left boolean, g double, h double, n double, gl double, hl double, nl double"
@@ -344,37 +351,47 @@ class Job:
 
 
 def evaluate(data: Binned, jobs: list[Job]) -> dict[int, dict[int, dict]]:
-    """{job: {node: split}} for all open nodes of the jobs: one Spark job for each HIST_BYTES of sums."""
-    each = data.layout.total * 24
+    """{job: {node: split}} for all open nodes of the jobs: one Spark job for each HIST_BYTES of sums.
+
+    A node's sums hold no more bins than there are, and none for which it has no row.
+    """
+    inputs = len(data.layout.borders)
     out: dict[int, dict[int, dict]] = {}
     chunk: list[tuple[Job, list[int]]] = []
-    room = HIST_BYTES
+    size = 0
     for j in jobs:
-        todo = list(j.open)
-        while todo:
-            k = len(todo) if j.p.growth == "symmetric" else max(1, min(len(todo), room // each))
-            if chunk and k * each > room:
+        for nodes in ([j.open] if j.p.growth == "symmetric" else [[v] for v in j.open]):
+            cost = sum(32 * min(data.layout.total, int((j.tree.cover[v] if v else data.n) + 1) * inputs) for v in nodes)
+            if chunk and size + cost > HIST_BYTES:
                 _pass(data, chunk, out)
-                chunk, room = [], HIST_BYTES
-                continue
-            chunk.append((j, todo[:k]))
-            todo, room = todo[k:], room - k * each
-            if room < each:
-                _pass(data, chunk, out)
-                chunk, room = [], HIST_BYTES
+                chunk, size = [], 0
+            if chunk and chunk[-1][0] is j:
+                chunk[-1][1].extend(nodes)
+            else:
+                chunk.append((j, list(nodes)))
+            size += cost
     if chunk:
         _pass(data, chunk, out)
     return out
 
 
+#: Nodes of one tree whose sums meet in one call.
+NODE_GROUP = 16
+
+
 def _pass(data: Binned, chunk: list[tuple[Job, list[int]]], out: dict) -> None:
     layout, base = data.layout, data.base
     missing, total = layout.sizes - 1, layout.total
     tasks = [(j.job, j.p, j.number, j.margin, j.scale, j.since, j.tree.arrays(), np.array(nodes)) for j, nodes in chunk]
     p_inputs = len(layout.borders)
 
+    def summed(at, g, w, n):
+        """Places with their sums, each place once, in order."""
+        u, inv = np.unique(at, return_inverse=True)
+        return u, np.bincount(inv, g, len(u)), np.bincount(inv, w, len(u)), np.bincount(inv, n, len(u))
+
     def add(batches):
-        sums: dict[int, np.ndarray] = {}
+        pieces: dict[int, list] = {}
         for batch in batches:
             for n, codes, y, key, margin in zip(*(batch.column(c).to_pylist() for c in ("n", "codes", "y", "key", "margin")), strict=True):
                 codes, y, key = np.frombuffer(codes, np.uint8).reshape(-1, n), np.frombuffer(y), np.frombuffer(key, np.int64)
@@ -393,55 +410,65 @@ def _pass(data: Binned, chunk: list[tuple[Job, list[int]]], out: dict) -> None:
                         m = margins[row] if len(margins) else np.full(n, base)
                         for t, rate in since:
                             m = m + rate * t[5][place(t, codes, missing)]
-                    at, w = at[sel], w[sel]
+                    w = w[sel]
                     g = np.rint((m[sel] - y[sel]) * scale) * w
-                    if i not in sums:
-                        sums[i] = np.zeros((3, len(nodes), total))
-                    s = sums[i]
-                    for c in np.flatnonzero(drawn_columns(p.columns, p_inputs, p.seed, number)):
-                        size, start = layout.sizes[c], layout.starts[c]
-                        idx = at * size + codes[c, sel]
-                        s[0, :, start : start + size] += np.bincount(idx, g, len(nodes) * size).reshape(-1, size)
-                        s[1, :, start : start + size] += np.bincount(idx, w, len(nodes) * size).reshape(-1, size)
-                        s[2, :, start : start + size] += np.bincount(idx, minlength=len(nodes) * size).reshape(-1, size)
-        for i, s in sums.items():
+                    cols = np.flatnonzero(drawn_columns(p.columns, p_inputs, p.seed, number))
+                    flat = ((layout.starts[cols][:, None] + codes[np.ix_(cols, sel)]) + (at[sel] * total)[None, :]).ravel()
+                    g, w = np.tile(g, len(cols)), np.tile(w, len(cols))
+                    if len(nodes) * total <= 4 * len(flat):
+                        size = len(nodes) * total
+                        count = np.bincount(flat, minlength=size)
+                        u = np.flatnonzero(count)
+                        piece = u, np.bincount(flat, g, size)[u], np.bincount(flat, w, size)[u], count[u].astype(float)
+                    else:
+                        piece = summed(flat, g, w, np.ones(len(flat)))
+                    held = pieces.setdefault(i, [])
+                    held.append(piece)
+                    if len(held) > 4:
+                        held[:] = [summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+        for i, held in pieces.items():
+            u, g, h, n = summed(*(np.concatenate(x) for x in zip(*held, strict=True))) if len(held) > 1 else held[0]
             job, p, nodes = tasks[i][0], tasks[i][1], tasks[i][7]
-            group = [0 if p.growth == "symmetric" else int(x) for x in nodes]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([job] * len(nodes), pa.int32()), pa.array(group, pa.int32()), pa.array(nodes, pa.int32()),
-                 pa.array([np.ascontiguousarray(s[:, k]).tobytes() for k in range(len(nodes))], pa.binary())], names=["job", "grp", "node", "sums"])
+            cuts = np.searchsorted(u, np.arange(len(nodes) + 1) * total)
+            some = [k for k in range(len(nodes)) if cuts[k] < cuts[k + 1]]
+            data_of = [np.stack([u[a:b] - k * total, g[a:b], h[a:b], n[a:b]]).tobytes() for k in some for a, b in [(cuts[k], cuts[k + 1])]]
+            group = [0 if p.growth == "symmetric" else k // NODE_GROUP for k in some]
+            yield pa.RecordBatch.from_arrays([pa.array([job] * len(some), pa.int32()), pa.array(group, pa.int32()), pa.array(nodes[some], pa.int32()),
+                                              pa.array(data_of, pa.binary())], names=["job", "grp", "node", "sums"])
 
     about = {j.job: (j.p, j.number, j.scale) for j, _ in chunk}
 
     def choose(t: pa.Table) -> pa.Table:
-        sums: dict[int, np.ndarray] = {}
+        parts: dict[int, list] = {}
         for node, b in zip(t.column("node").to_pylist(), t.column("sums").to_pylist(), strict=True):
-            x = np.frombuffer(b).reshape(3, total)
-            sums[node] = sums[node] + x if node in sums else x
+            parts.setdefault(node, []).append(np.frombuffer(b).reshape(4, -1))
         job = t.column("job")[0].as_py()
         p, number, scale = about[job]
-        nodes = sorted(sums)
-        g, h, n = (np.stack([sums[v][k] for v in nodes]) for k in range(3))
-        g, h = g / (scale * p.unit), h / p.unit
+        nodes = sorted(parts)
+        sums = np.zeros((3, len(nodes), total))
+        for k, v in enumerate(nodes):
+            for x in parts[v]:
+                sums[:, k, x[0].astype(np.int64)] += x[1:]
+        g, h, n = sums[0] / (scale * p.unit), sums[1] / p.unit, sums[2]
         inputs = drawn_columns(p.columns, p_inputs, p.seed, number)
         seen = int(np.flatnonzero(inputs)[0])
         own = slice(layout.starts[seen], layout.starts[seen] + layout.sizes[seen])
+        mine = [(g[k, own].sum(), h[k, own].sum(), n[k, own].sum()) for k in range(len(nodes))]
         noise = None
         if p.strength > 0:  # falls as the ensemble grows
             level = np.random.default_rng([p.seed, number, nodes[0], len(nodes)])
-            scale_of = math.sqrt(max(float(score(g[:, own].sum(1), h[:, own].sum(1), p).sum()), 0.0) + 1.0)
-            noise = level.standard_normal(len(layout.col)) * p.strength * scale_of / (1.0 + number)
+            wide = math.sqrt(sum(float(score(x[0], x[1], p)) for x in mine) + 1.0)
+            noise = level.standard_normal(len(layout.col)) * p.strength * wide / (1.0 + number)
+        allowed = layout.allowed(p.bins) & inputs[layout.col]
         if p.node_columns != "all":
-            inputs = inputs & drawn_columns(p.node_columns, p_inputs, p.seed, number, nodes[0])
-        found = pick(g, h, n, layout, p, layout.allowed(p.bins) & inputs[layout.col], noise)
+            allowed = allowed & np.stack([(inputs & drawn_columns(p.node_columns, p_inputs, p.seed, number, v))[layout.col] for v in nodes])
         rows = []
-        for k, node in enumerate(nodes):
-            mine = (g[k, own].sum(), h[k, own].sum(), n[k, own].sum())
+        for k, (node, found) in enumerate(zip(nodes, pick(g, h, n, layout, p, allowed, noise), strict=True)):
             if found is None:
-                rows.append((job, node, 0.0, -1, -1, False, *mine, 0.0, 0.0, 0.0))
+                rows.append((job, node, 0.0, -1, -1, False, *mine[k], 0.0, 0.0, 0.0))
             else:
                 gain, c, missing_left, left = found
-                rows.append((job, node, gain, int(layout.col[c]), int(layout.code[c]), missing_left, *mine, *left[k]))
+                rows.append((job, node, gain, int(layout.col[c]), int(layout.code[c]), missing_left, *mine[k], *left))
         kinds = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
         fields = [(c.split()[0], kinds[c.split()[1]]) for c in SPLITS.split(", ")]
         return pa.table({name: pa.array(col, kind) for (name, kind), col in zip(fields, zip(*rows, strict=True), strict=True)})
