@@ -191,5 +191,71 @@ def r76b_score_and_explain(spark, sf):
     return out
 
 
+# --- the first two levels of a tree of each rule, split by split ---------------------
+
+SPLIT_INPUTS = ["hour", "lag_min", "length"]
+
+
+def _split_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Departures with a taxi time: hour, minutes of lag, and the length of aircraft whose model is known."""
+    fl = dt.flights(spark, sf).where(F.col("taxi").isNotNull())
+    return fl.select(ROW_ID, F.col("taxi").alias("y"), F.hour("aobt").cast("double").alias("hour"), F.floor(F.col("lag_s") / 60).cast("double").alias("lag_min"),
+                     F.when(F.col("model").isNotNull(), F.col("ac_length")).alias("length"))
+
+
+def _first_levels(spark: SparkSession, sf: str, rules: dict) -> DataFrame:
+    """The nodes of the first tree of each rule: path (L, R), split and value."""
+    from offblock.ml.histogram import fit_many
+
+    spec = feature_spec(_split_rows(spark, sf), "y", [ROW_ID], for_trees=True, native=True)
+    data = assemble(_split_rows(spark, sf), spec, keep=[ROW_ID, "y"]).select(ROW_ID, "y", "features")
+    rows = []
+    for name, m in zip(rules, fit_many(data, "y", list(rules.values())), strict=True):
+        t, path = m.trees[0], {0: ""}
+        for v in range(len(t["col"])):
+            for side, child in (("L", int(t["left"][v])), ("R", int(t["right"][v]))):
+                if child >= 0:
+                    path[child] = path[v] + side
+        for v, p in path.items():
+            inner = t["left"][v] >= 0
+            at = float(t["threshold"][v]) if inner else None
+            rows.append((name, p, spec.inputs[t["col"][v]] if inner else None, None if at in (None, float("inf")) else at,
+                         int(t["missing_left"][v]) if inner else None, round(float(t["gain"][v]), 1) if inner else None,
+                         None if inner else round(float(t["value"][v]), 3), int(t["cover"][v])))
+    return spark.createDataFrame(rows, "rule string, path string, input string, threshold double, missing_left int, gain double, value double, n_rows long")
+
+
+def r62c_forest_splits(spark, sf):
+    """Forest trees of two levels on all rows, without and with least sizes."""
+    from offblock.ml.histogram import TreeParams
+
+    return _first_levels(spark, sf, {"plain": TreeParams(forest=True, rounds=1, depth=2),
+                                     "sizes": TreeParams(forest=True, rounds=1, depth=2, split_rows=3000, child_rows=400)})
+
+
+def r63c_depthwise_splits(spark, sf):
+    """Depth-wise trees of two levels, without and with penalties."""
+    from offblock.ml.histogram import TreeParams
+
+    return _first_levels(spark, sf, {"plain": TreeParams(rounds=1, depth=2, rate=1.0),
+                                     "penalties": TreeParams(rounds=1, depth=2, rate=1.0, alpha=5000.0, lam=300.0, gamma=1000.0, child_weight=200)})
+
+
+def r64c_leafwise_splits(spark, sf):
+    """Leaf-wise trees of three leaves: the better child splits."""
+    from offblock.ml.histogram import TreeParams
+
+    return _first_levels(spark, sf, {"plain": TreeParams(growth="leaf", leaves=3, rounds=1, depth=2, rate=1.0),
+                                     "penalties": TreeParams(growth="leaf", leaves=3, rounds=1, depth=2, rate=1.0, alpha=2000.0, lam=100.0, child_rows=300)})
+
+
+def r65c_symmetric_splits(spark, sf):
+    """Symmetric trees of two levels: one split a level."""
+    from offblock.ml.histogram import TreeParams
+
+    return _first_levels(spark, sf, {"plain": TreeParams(growth="symmetric", rounds=1, depth=2, rate=1.0),
+                                     "penalties": TreeParams(growth="symmetric", rounds=1, depth=2, rate=1.0, lam=2000.0)})
+
+
 def queries() -> dict:
     return {n: f for n, f in globals().items() if n[:1] == "r" and n[1:3].isdigit() and callable(f)}

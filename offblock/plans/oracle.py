@@ -436,5 +436,71 @@ SQL["r76b_score_and_explain"] = VALUES + _ONE + ALL_FAMILIES + """SELECT model_t
 FROM families, m, test JOIN g USING (a) WHERE kind = 'tree'"""
 
 
+
+# --- the first two levels of trees (plans/model_values.py): all candidates of a node, by sums of gradients ---
+
+def _penalised(g: str, h: str, alpha: float, lam: float) -> str:
+    t = f"greatest(abs({g}) - {alpha}, 0)"
+    return f"(CASE WHEN {h} + {lam} > 0 THEN {t} * {t} / ({h} + {lam}) ELSE 0 END)"
+
+
+def _candidates(name: str, rows: str, symmetric: bool, alpha=0.0, lam=0.0, gamma=0.0, child=1, split=2) -> str:
+    """{name}: the split of each node of rows (node, g, x0, x1, x2), if any gains; all nodes share it if symmetric."""
+    gain = f"0.5 * ({_penalised('gl', 'hl', alpha, lam)} + {_penalised('t.g - gl', 't.h - hl', alpha, lam)} - {_penalised('t.g', 't.h', alpha, lam)})"
+    fits = "TRUE" if symmetric else f"least(hl, t.h - hl) >= {child} AND t.h >= {split}"
+    best = ("PARTITION BY (SELECT 1)" if symmetric else "PARTITION BY node") + " ORDER BY gain DESC, ml, c, x"
+    pooled = f"""{name}_s AS (SELECT c, x, ml, sum(gain) - {gamma} AS gain, bool_or(hm > 0) AS seen FROM {name}_g
+    GROUP BY c, x, ml HAVING bool_or(hl > 0 AND h > hl) QUALIFY row_number() OVER (ORDER BY sum(gain) DESC, ml, c, x) = 1),
+  {name}_b AS (SELECT g.node, g.c, g.x, g.ml, s.gain, g.gl, g.hl, g.g, g.h, s.seen, sum(g.hl) OVER () * 2 >= sum(g.h) OVER () AS larger
+    FROM {name}_g g JOIN {name}_s s USING (c, x, ml) WHERE s.gain > 1e-10)"""
+    single = f"""{name}_b AS (SELECT node, c, x, ml, gain - {gamma} AS gain, gl, hl, g, h, hm > 0 AS seen, hl * 2 >= h AS larger FROM {name}_g
+    WHERE gain - {gamma} > 1e-10 QUALIFY row_number() OVER ({best}) = 1)"""
+    return f""", {name}_l AS (SELECT node, 0 AS c, x0 AS x, g FROM {rows} UNION ALL SELECT node, 1, x1, g FROM {rows} UNION ALL SELECT node, 2, x2, g FROM {rows}),
+  {name}_p AS (SELECT node, c, x, sum(g) AS g, count(*) AS h FROM {name}_l GROUP BY node, c, x),
+  {name}_t AS (SELECT node, sum(g) AS g, count(*) AS h FROM {rows} GROUP BY node),
+  {name}_v AS (SELECT n.node, v.c, v.x FROM (SELECT DISTINCT c, x FROM {name}_l WHERE x IS NOT NULL) v, {name}_t n),
+  {name}_c AS (SELECT node, c, x, sum(coalesce(g, 0)) OVER w AS gl, sum(coalesce(h, 0)) OVER w AS hl
+    FROM {name}_v LEFT JOIN {name}_p USING (node, c, x) WINDOW w AS (PARTITION BY node, c ORDER BY x)),
+  {name}_m AS (SELECT node, c, g AS gm, h AS hm FROM {name}_p WHERE x IS NULL),
+  {name}_d AS (SELECT node, c, x, 0 AS ml, gl, hl, coalesce(hm, 0) AS hm FROM {name}_c LEFT JOIN {name}_m USING (node, c)
+    UNION ALL SELECT node, c, x, 1, gl + coalesce(gm, 0), hl + coalesce(hm, 0), coalesce(hm, 0) FROM {name}_c {'LEFT ' if symmetric else ''}JOIN {name}_m USING (node, c)
+    WHERE c IN (SELECT c FROM {name}_m)),
+  {name}_g AS (SELECT d.node, c, x, ml, gl, hl, hm, t.g, t.h, {gain} AS gain FROM {name}_d d JOIN {name}_t t USING (node) WHERE {fits}),
+  {pooled if symmetric else single},
+  {name} AS (SELECT node, c, x, CASE WHEN seen THEN ml ELSE CAST(larger AS INTEGER) END AS ml, gain, gl, hl, g, h FROM {name}_b)"""
+
+
+def _two_levels(rule: str, symmetric=False, best_child=False, forest=False, **k) -> str:
+    """The nodes of one tree as SELECTs over its CTEs; names carry the rule."""
+    alpha, lam, r = k.get("alpha", 0.0), k.get("lam", 0.0), rule
+    base = "0" if forest else "(SELECT avg(taxi) FROM flights)"
+    value = f"-sign(sum(g)) * greatest(abs(sum(g)) - {alpha}, 0) / (count(*) + {lam})"
+    goes_left = "CASE WHEN (CASE c WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END) IS NULL THEN ml = 1 ELSE (CASE c WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END) <= x END"
+    step = f"CASE WHEN s.node IS NULL THEN r.node WHEN {goes_left} THEN r.node || 'L' ELSE r.node || 'R' END AS node"
+    child = f"(SELECT * FROM {r}_two QUALIFY row_number() OVER (ORDER BY gain DESC, node) = 1)" if best_child else f"{r}_two"
+    ctes = (f""", {r}_zero AS (SELECT '' AS node, {base} - taxi AS g, CAST(hour(aobt) AS DOUBLE) AS x0, CAST(lag_s // 60 AS DOUBLE) AS x1,
+    CASE WHEN model IS NOT NULL THEN ac_length END AS x2 FROM flights WHERE taxi IS NOT NULL)"""
+            + _candidates(f"{r}_one", f"{r}_zero", symmetric, **k)
+            + f", {r}_first AS (SELECT {step}, g0 AS g, x0, x1, x2 FROM (SELECT node, g AS g0, x0, x1, x2 FROM {r}_zero) r LEFT JOIN {r}_one s ON s.node = r.node)"
+            + _candidates(f"{r}_two", f"{r}_first", symmetric, **k)
+            + f", {r}_kids AS (SELECT * FROM {child})"
+            + f", {r}_leaf AS (SELECT {step}, g0 AS g FROM (SELECT node, g AS g0, x0, x1, x2 FROM {r}_first) r LEFT JOIN {r}_kids s ON s.node = r.node)"
+            + f""", {r} AS (SELECT '{r}' AS rule, node AS path, CASE c WHEN 0 THEN 'hour' WHEN 1 THEN 'lag_min' ELSE 'length' END AS input,
+    CASE WHEN x < (SELECT max(m.x) FROM {r}_one_l m WHERE m.c = b.c) THEN x END AS threshold, CAST(ml AS INTEGER) AS missing_left, round(gain, 1) AS gain,
+    CAST(NULL AS DOUBLE) AS value, CAST(h AS BIGINT) AS n_rows FROM (SELECT * FROM {r}_one UNION ALL SELECT * FROM {r}_kids) b
+  UNION ALL SELECT '{r}', node, NULL, NULL, NULL, NULL, round({value}, 3), count(*) FROM {r}_leaf GROUP BY node)""")
+    return ctes
+
+
+def _split_sql(common: dict, penalties: dict, name: str) -> str:
+    return F_ + _two_levels("plain", **common) + _two_levels(name, **common, **penalties) + f" SELECT * FROM plain UNION ALL SELECT * FROM {name}"
+
+
+SQL["r62c_forest_splits"] = _split_sql({"forest": True}, {"split": 3000, "child": 400}, "sizes")
+SQL["r63c_depthwise_splits"] = _split_sql({}, {"alpha": 5000.0, "lam": 300.0, "gamma": 1000.0, "child": 200}, "penalties")
+SQL["r64c_leafwise_splits"] = _split_sql({"best_child": True}, {"alpha": 2000.0, "lam": 100.0, "child": 300}, "penalties")
+SQL["r65c_symmetric_splits"] = _split_sql({"symmetric": True}, {"lam": 2000.0}, "penalties")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
