@@ -1,6 +1,6 @@
 """Model families, search spaces, holdout search, refit, persistence.
 
-  linear_regression -> LinearRegression (least squares via the normal equations)
+  linear_regression -> least squares of smallest norm by a tree of QR factors
   random_forest     -> bootstrapped trees, inputs drawn at each node
   xgboost           -> boosting, trees grown level by level
   lightgbm          -> boosting, trees grown by their best leaf
@@ -18,15 +18,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offblock.constants import SEARCH_SPACES
 from offblock.ml.features import VECTOR
 from offblock.ml.histogram import BINS, HistogramModel, TreeParams, fit_many, squared_errors
+from offblock.ml.linear import LeastSquares, LeastSquaresModel
 
-LINEAR_RIDGE = 1e-8
 MODEL_TYPES = ("linear_regression", "xgboost", "lightgbm", "catboost", "random_forest")
 DEFAULT_TRIALS = {"linear_regression": 2, "random_forest": 15, "xgboost": 30, "lightgbm": 30, "catboost": 30}
 SEED = 42
@@ -115,14 +114,8 @@ class TreeEstimator:
 def make_estimator(model_type: str, label: str, params: dict | None = None):
     """A regressor for a model family with the given (space or Spark) parameters."""
     if model_type == "linear_regression":
-        # Normal equations in one distributed Gramian pass + Cholesky. One-hot
-        # groups make the Gramian singular; a vanishing ridge on standardized
-        # inputs (1e-8) keeps Cholesky exact to least squares (predictions
-        # within ~1e-6 of numpy lstsq) instead of falling back to L-BFGS;
-        # beyond Spark's width limit for them, solver="auto" takes L-BFGS.
         named = {_canonical(model_type, k): v for k, v in (params or {}).items()}
-        return LinearRegression(regParam=LINEAR_RIDGE, elasticNetParam=0.0, standardization=True, solver="auto", featuresCol=VECTOR,
-                                labelCol=label, predictionCol="prediction", **named)
+        return LeastSquares(label, fit_intercept=named.get("fitIntercept", True))
     if model_type in TREE_FAMILIES:
         return TreeEstimator(model_type, label, params or {})
     raise ValueError(f"no model family named {model_type!r}")
@@ -161,10 +154,7 @@ def batch_score(model, df: DataFrame) -> DataFrame:
 
 def save_model(model, path: str) -> None:
     """Persist (overwrite)."""
-    if isinstance(model, HistogramModel):
-        model.save(SparkSession.active(), path)
-    else:
-        model.write().overwrite().save(path)
+    model.save(SparkSession.active(), path)
 
 
 def load_model(path: str, model_type: str):
@@ -172,5 +162,5 @@ def load_model(path: str, model_type: str):
     if model_type in TREE_FAMILIES:
         return HistogramModel.load(SparkSession.active(), path)
     if model_type == "linear_regression":
-        return LinearRegressionModel.load(path)
+        return LeastSquaresModel.load(SparkSession.active(), path)
     raise ValueError(f"no model family named {model_type!r}; there are {', '.join(MODEL_TYPES)}")
