@@ -55,11 +55,64 @@ def format_mdy_hm(ts: Column | str) -> Column:
                     F.lit(" "), F.hour(t).cast("string"), F.lit(":"), F.lpad(F.minute(t).cast("string"), 2, "0"))
 
 
+#: English month names; their first three letters decide.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_NAME = "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+#: Time of day, if any: H or H:MM, seconds and their fraction, AM or PM, zone or offset (read, not applied).
+_TIME = r"(?:(?:t| +|, +)(\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?)? *([ap]m)?(?: *(?:z|utc|gmt|[+-]\d{2}:?\d{2}))?)?$"
+#: Orders of a date: pattern with its three parts, and which of them are year, month and day.
+_DATES = [
+    (rf"^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}}){_TIME}", "ymd"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}}){_TIME}", "ymd"),
+    (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}}|\d{{2}}){_TIME}", "mdy"),
+    (rf"^(\d{{1,2}})(?:st|nd|rd|th)?[- ]({_NAME})[-, ]+(\d{{4}}|\d{{2}}){_TIME}", "dmy"),
+    (rf"^({_NAME})\.? +(\d{{1,2}})(?:st|nd|rd|th)?,? +(\d{{4}}){_TIME}", "mdy"),
+    (rf"^(\d{{4}})[- ]({_NAME})[- ](\d{{1,2}}){_TIME}", "ymd"),
+]
+_WEEKDAY = r"^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,? +"
+
+
+def parse_lenient(c: Column | str) -> Column:
+    """Text in one of many forms -> TIMESTAMP_NTZ; what fits none, or is no real time, -> NULL.
+
+    Numbers come as year first, or month first; where the first cannot be a
+    month, day first. Two-digit years are 1969 to 2068. Names of months and
+    weekdays are English, in any case. A zone or offset is read over: the time
+    stays what the text says. Without a time of day it is midnight. Patterns and
+    casts only, so it runs inside the scan's stage.
+    """
+    t = F.regexp_replace(F.lower(F.trim(_col(c))), _WEEKDAY, "")
+    for pattern, order in _DATES:  # one order of fields for all: no pattern fits what another has rewritten
+        group = {k: i + 1 for i, k in enumerate(order)}
+        t = F.regexp_replace(t, pattern, f"={order},${group['y']},${group['m']},${group['d']},$4,$5,$6,$7,$8")
+    return _once(t, lambda x: F.when(x.startswith("="), _once(F.split(x, ","), _assembled)))
+
+
+def _once(value: Column, f) -> Column:
+    """f(value) with value computed once a row, however often f uses it, and out of the generated method."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _assembled(fields: Column) -> Column:
+    """The time of [=order, year, month, day, hour, minute, second, fraction, am/pm] as text; NULL if it is none."""
+    order, year, month, day, hour, minute, second, fraction, half = (F.get(fields, F.lit(i)) for i in range(9))
+    number = lambda x: x.try_cast("int")
+    names = F.create_map(*[x for i, m in enumerate(MONTHS) for x in (F.lit(m), F.lit(i + 1))])
+    month_no, day_no = F.coalesce(number(month), F.try_element_at(names, F.substring(month, 1, 3))), number(day)
+    swap = (order == "=mdy") & (month_no > 12)
+    year_no = number(year) + F.when(F.length(year) > 2, 0).when(number(year) < 69, 2000).otherwise(1900)
+    hour_no = (F.when(hour == "", F.lit(0)).when(half == "", number(hour))
+               .when(number(hour).between(1, 12), number(hour) % 12 + F.when(half == "pm", 12).otherwise(0)))
+    text = F.format_string("%04d-%02d-%02d %02d:%s:%s.%s", year_no, F.when(swap, day_no).otherwise(month_no), F.when(swap, month_no).otherwise(day_no), hour_no,
+                           F.lpad(minute, 2, "0"), F.lpad(second, 2, "0"), F.rpad(F.substring(fraction, 1, 6), 6, "0"))
+    known = year_no.isNotNull() & month_no.isNotNull() & day_no.isNotNull() & hour_no.isNotNull()
+    return F.when(known, text.try_cast("timestamp_ntz"))
+
+
 def standardize_datetime_text(c: Column | str) -> Column:
-    """Lenient parse (M/D/YYYY H:MM, else ISO), then ``M/D/YYYY H:MM``; bad -> NULL."""
+    """Lenient parse (M/D/YYYY H:MM, ISO, then ``parse_lenient``), then ``M/D/YYYY H:MM``; bad -> NULL."""
     c = _col(c)
-    ts = F.coalesce(parse_mdy_hm(c), F.trim(c).try_cast("timestamp_ntz"))
-    return format_mdy_hm(ts)
+    return _once(c, lambda x: _once(F.coalesce(parse_mdy_hm(x), F.trim(x).try_cast("timestamp_ntz"), parse_lenient(x)), format_mdy_hm))
 
 
 def truncate_to_second(ts: Column | str) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 RUNS_SCHEMA = (
     "run_id string, model_type string, started_at timestamp_ntz, params map<string,string>, "
-    "rmse double, mape double, mae double, std double, model_path string, features array<string>"
+    "rmse double, mape double, mae double, std double, model_path string, features array<string>, "
+    "feature_types array<string>"
 )
 
 
@@ -19,21 +20,21 @@ def new_run_id() -> str:
 
 
 def record_run(spark: SparkSession, runs_path: str, *, run_id: str, model_type: str, started_at: _dt.datetime,
-               params: dict, metrics: dict, model_path: str, features: list[str]) -> DataFrame:
-    """Append one run row (params, 4 metrics, model path, feature names) to the runs table."""
+               params: dict, metrics: dict, model_path: str, features: list[str], feature_types: list[str] | None = None) -> DataFrame:
+    """Append one run row (params, 4 metrics, model path, signature: feature names and types) to the runs table."""
     row = (run_id, model_type, started_at, {k: str(v) for k, v in params.items()},
            *(None if metrics.get(m) is None else float(metrics[m]) for m in ("rmse", "mape", "mae", "std")),
-           model_path, list(features))
+           model_path, list(features), feature_types)
     df = spark.createDataFrame([row], RUNS_SCHEMA)
     df.write.mode("append").parquet(runs_path)
     return df
 
 
 def best_run(runs: DataFrame, model_type: str | None = None) -> DataFrame:
-    """The run with the smallest MAE (missing skipped), ties to the latest start.
+    """The run with the smallest MAE (missing skipped), ties to the latest start, then the run id.
 
     The reference ignores the model type; pass ``model_type`` to filter.
     """
     if model_type is not None:
         runs = runs.where(F.col("model_type") == F.lit(model_type))
-    return runs.where(F.col("mae").isNotNull()).orderBy(F.col("mae").asc(), F.col("started_at").desc()).limit(1)
+    return runs.where(F.col("mae").isNotNull()).orderBy(F.col("mae").asc(), F.col("started_at").desc(), F.col("run_id").asc()).limit(1)

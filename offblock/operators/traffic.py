@@ -51,5 +51,8 @@ def planes_in_window(df: DataFrame, ts_col: str,
     widths = {n: m * 60 for n, m in zip(names, widths_min, strict=True)}
     counts = band_counts(df, ts_col, widths)
     keyed = df.withColumn(_T, epoch_seconds(q(ts_col)))
-    out = keyed.join(counts, _T, "left").drop(_T)
+    # rows without a time have no counts: they go round the join, where they would be one hot key
+    out = keyed.where(F.col(_T).isNotNull()).join(counts, _T, "left").drop(_T)
+    none = keyed.where(F.col(_T).isNull()).drop(_T).withColumns({n: F.lit(None).cast("long") for n in names})
+    out = out.unionByName(none)
     return out.withColumns({n: F.col(n).cast("double") for n in names})

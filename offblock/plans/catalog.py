@@ -406,6 +406,23 @@ def r47_format_datetime(spark, sf):
     )
 
 
+#: Forms of r47b: Spark patterns; then text that is no time.
+LENIENT_FORMS = [
+    "yyyy-MM-dd HH:mm:ss", "yyyy/M/d H:mm", "yyyy.MM.dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "yyyyMMdd'T'HH:mm",
+    "M/d/yyyy H:mm", "MM-dd-yyyy HH:mm:ss", "M/d/yy h:mm a", "M/d/yyyy hh:mm:ss a", "d MMM yyyy HH:mm", "dd-MMM-yy HH:mm:ss", "MMMM d, yyyy h:mm a",
+    "MMM d yyyy HH:mm", "EEEE, d MMMM yyyy H:mm", "yyyy-MMM-dd HH:mm:ss.SSS", "EEE, MMM d, yyyy HH:mm",
+]
+NO_TIMES = ["13/32/2024 10:00", "2024-02-30 01:00", "2024-01-05 25:00", "5 Foo 2024 10:00", "2024-01-05 at 10", "13:70", "soon", ""]
+
+
+def r47b_lenient_datetimes(spark, sf):
+    """Every departure's off-block minute, written in one of many forms and read back; some texts are no times."""
+    fl = _fl(spark, sf)
+    forms = [F.date_format(F.col("aobt").cast("timestamp"), f) for f in LENIENT_FORMS] + [F.lit(x) for x in NO_TIMES]
+    text = F.get(F.array(*forms), F.pmod(F.col("flight_id"), F.lit(len(forms))).cast("int"))
+    return fl.select("flight_id", standardize_datetime_text(text).alias("off_block"))
+
+
 def r48_delay_seconds(spark, sf):
     fl = _fl(spark, sf)
     sched = F.col("aobt") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("lag_s").cast("decimal(18,6)"))
@@ -678,6 +695,32 @@ def r77_build_silver(spark, sf):
     return spark.read.parquet(built_gold(spark, sf)["silver_airport_train"])
 
 
+def r77b_silver_airport_test(spark, sf):
+    return spark.read.parquet(built_gold(spark, sf)["silver_airport_test"])
+
+
+def r77c_silver_geographies(spark, sf):
+    """Both geographies, ids bumped."""
+    g = built_gold(spark, sf)
+    both = [spark.read.parquet(g[f"silver_{t}"]).withColumn("source_table", F.lit(t)) for t in ("geography", "test_geography")]
+    return both[0].unionByName(both[1]).withColumnsRenamed({c: c.lower() for c in both[0].columns})
+
+
+def r77d_silver_weather(spark, sf):
+    """The training weather without its row id."""
+    return spark.read.parquet(built_gold(spark, sf)["silver_weather"]).drop("wx_row_id")
+
+
+def r77e_silver_plain_tables(spark, sf):
+    """Test weather, aircraft characteristics and glossary, as one table of texts."""
+    g = built_gold(spark, sf)
+    out = None
+    for t, cols in (("test_weather", ["AOBT", "summary"]), ("ac_characteristics", ["Model", "Num_Engines"]), ("glossary", ["Term", "Definition"])):
+        d = spark.read.parquet(g[f"silver_{t}"]).select(F.lit(t).alias("source_table"), F.col(cols[0]).alias("first_text"), F.col(cols[1]).cast("string").alias("second_text"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 def r78_build_gold(spark, sf):
     """Gold training table (default variant); the written row id is left out, floats rounded as the oracle."""
     g = spark.read.parquet(built_gold(spark, sf)["train_default"]).drop("wx_row_id")

@@ -364,6 +364,38 @@ SQL["r77_build_silver"] = F_ + f"""SELECT flight_id,
   ac_length AS "Aircraft Length", engines AS "No. Engines", taxi AS actual_taxi_out_sec
 FROM flights WHERE aobt < TIMESTAMP '2024-01-25 00:00:00'"""
 
+SQL["r77b_silver_airport_test"] = SQL["r77_build_silver"].replace("WHERE aobt < ", "WHERE aobt >= ")
+
+SQL["r77c_silver_geographies"] = _with(GEO) + """, points AS (SELECT runway, stand, Lat_runway AS lat_runway, Lng_runway AS lng_runway, Lat_stand AS lat_stand, Lng_stand AS lng_stand FROM geo)
+SELECT *, 'geography' AS source_table FROM points
+UNION ALL SELECT *, 'test_geography' FROM points WHERE stand IN (SELECT concat('STAND_', CAST(c_nationkey + 1 AS VARCHAR)) FROM customer)"""
+
+
+def _sometimes(expr: str, mod: int) -> str:
+    return f"CASE WHEN flight_id % {mod} = 0 THEN NULL ELSE CAST({expr} AS DOUBLE) END"
+
+
+_WEATHER_TEXT = F_ + f""", texts AS (SELECT *, coalesce(strftime(aobt - to_seconds(lag_s), {MDY}), 'nan') AS fdt, coalesce(strftime(aobt, {MDY}), 'nan') AS aobt_t,
+  coalesce(strftime(aobt + to_microseconds(CAST(round(taxi * 1000000) AS BIGINT)), {MDY}), 'nan') AS atot_t,
+  CASE WHEN flight_id % 11 = 0 THEN 'nan' WHEN flight_id % 2 = 0 THEN 'Clear' ELSE 'Rain' END AS summary FROM flights),
+observed AS (SELECT texts.* FROM texts JOIN (SELECT 0 AS copy_no UNION ALL SELECT 1) c ON c.copy_no = 0 OR flight_id % 50 = 0 WHERE flight_id % 10 <> 3)"""
+
+SQL["r77d_silver_weather"] = _WEATHER_TEXT + f""" SELECT fdt AS "Flight Datetime", coalesce(model, 'nan') AS "Aircraft Model", aobt_t AS "AOBT", atot_t AS "ATOT", summary,
+  CASE flight_id % 3 WHEN 0 THEN 'clear-day' WHEN 1 THEN 'rain' ELSE 'cloudy' END AS icon,
+  CASE flight_id % 4 WHEN 0 THEN 'rain' WHEN 1 THEN 'snow' ELSE 'nan' END AS "precipType",
+  {_sometimes("(flight_id * 17 % 41) / 2.0 - 5", 7)} AS temperature, {_sometimes("(flight_id % 100) / 100.0", 17)} AS humidity,
+  {_sometimes("flight_id * 7 % 23", 19)} AS "windSpeed", {_sometimes("flight_id % 10", 23)} AS visibility, {_sometimes("1000 + flight_id % 30", 2)} AS pressure,
+  {_sometimes("(flight_id % 9) / 10.0", 3)} AS "cloudCover", {_sometimes("flight_id % 5", 29)} AS "dewPoint", flight_id % 24 AS "Hour", flight_id % 13 AS "N_dep_dep"
+FROM observed"""
+
+SQL["r77e_silver_plain_tables"] = _WEATHER_TEXT + """ SELECT 'test_weather' AS source_table, aobt_t AS first_text, summary AS second_text FROM observed
+  WHERE aobt_t IN (SELECT aobt_t FROM texts WHERE aobt >= TIMESTAMP '2024-01-25 00:00:00')
+UNION ALL SELECT 'ac_characteristics', coalesce(model, 'nan'), CAST(engines AS VARCHAR) FROM (SELECT DISTINCT model, engines, ac_length FROM flights)
+UNION ALL SELECT 'glossary', coalesce(term, 'nan'), coalesce(definition, 'nan')
+  FROM (SELECT DISTINCT p_name AS term, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS definition FROM part)"""
+
+SQL["r47b_lenient_datetimes"] = F_ + f"SELECT flight_id, CASE WHEN flight_id % 25 < 17 THEN strftime(aobt, {MDY}) END AS off_block FROM flights"
+
 # --- model queries (plans/model_values.py): group means and closed forms of least squares ---
 
 FAMILIES = ("random_forest", "xgboost", "lightgbm", "catboost")

@@ -1,9 +1,10 @@
 """R77 build_silver: bronze tables -> typed, standardised silver Parquet.
 
 airport:   (test only: R47 datetime text) -> R07 text 'nan' -> R08 header case
-geography: R07 -> R50 id bump
+geography, test_geography: R07 -> R50 id bump
 weather:   R07, plus a row id (``wx_row_id``, a hash of the row and its number
            among equal rows) that makes fan-out rows distinguishable downstream
+test_weather, ac_characteristics, glossary: R07
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from offblock.operators.schema import q, rename_ci, stringify_text
 from offblock.sources import driver_tables as dt
 from offblock.sources.files import sink_parquet
 
-SILVER_TABLES = ("airport_train", "airport_test", "geography", "weather")
+SILVER_TABLES = ("airport_train", "airport_test", "geography", "test_geography", "weather", "test_weather", "ac_characteristics", "glossary")
 
 
 def standardize_datetime_columns(df: DataFrame, cols: tuple[str, ...] = (FLIGHT_DATETIME, AOBT, ATOT)) -> DataFrame:
@@ -50,21 +51,32 @@ def bronze_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         "airport_test": dt.airport_test(spark, sf_dir),
         "geography": dt.geography(spark, sf_dir),
         "weather": dt.weather_bronze(spark, sf_dir),
+        "test_geography": dt.test_geography(spark, sf_dir),
+        "test_weather": dt.test_weather(spark, sf_dir),
+        "ac_characteristics": dt.ac_characteristics(spark, sf_dir),
+        "glossary": dt.glossary(spark, sf_dir),
     }
 
 
 def build_silver(bronze: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write every silver table; return name -> path."""
+    """Write every silver table given, of SILVER_TABLES; return name -> path."""
     steps = {
         "airport_train": lambda d: silver_airport(d, normalise_datetimes=False),
         "airport_test": lambda d: silver_airport(d, normalise_datetimes=True),
         "geography": silver_geography,
+        "test_geography": silver_geography,
         "weather": silver_weather,
+        "test_weather": stringify_text,
+        "ac_characteristics": stringify_text,
+        "glossary": stringify_text,
     }
+    unknown = sorted(set(bronze) - set(steps))
+    if unknown:
+        raise ValueError(f"no silver step for {', '.join(unknown)}; tables: {', '.join(SILVER_TABLES)}")
     paths = {name: f"{out_dir.rstrip('/')}/silver/{name}" for name in bronze}
     # the tables are independent: submit their writes as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=max(1, len(bronze))) as pool:
-        futures = [pool.submit(sink_parquet, steps.get(name, stringify_text)(df), paths[name])
+        futures = [pool.submit(sink_parquet, steps[name](df), paths[name])
                    for name, df in bronze.items()]
         for f in futures:
             f.result()

@@ -57,6 +57,12 @@ def prepared_sets(spark: SparkSession, gold: dict[str, str], model_type: str
     return spec, assemble(train, spec, keep=keep), assemble(test, spec, keep=keep)
 
 
+def feature_types(spark: SparkSession, gold: dict[str, str], model_type: str, spec: FeatureSpec) -> list[str]:
+    """The types of the training table's feature columns, as recorded with a run."""
+    types = dict(spark.read.parquet(dataset_paths(gold, model_type)[0]).dtypes)
+    return [types[c] for c in spec.features]
+
+
 def save_spec(spark: SparkSession, spec: FeatureSpec, path: str) -> None:
     spark.createDataFrame([(spec.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
@@ -83,7 +89,7 @@ def train_model(spark: SparkSession, model_type: str, gold: dict[str, str], runs
     save_model(model, f"{model_path}/model")
     save_spec(spark, spec, f"{model_path}/spec")
     record_run(spark, runs_path, run_id=run_id, model_type=model_type, started_at=started, params=best,
-               metrics=metrics, model_path=model_path, features=spec.features)
+               metrics=metrics, model_path=model_path, features=spec.features, feature_types=feature_types(spark, gold, model_type, spec))
     return TrainResult(run_id, model_type, best, metrics, model_path, trials)
 
 

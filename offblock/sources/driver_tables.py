@@ -103,6 +103,32 @@ def _airport_columns(fl: DataFrame, iso_text: bool) -> DataFrame:
     )
 
 
+def test_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze geography of the test season: the same points, stands named by customers' nations."""
+    geo = geography(spark, sf_dir)
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("Stand_"), F.col("c_nationkey").cast("string")).alias("stand")).distinct()
+    return geo.join(c, "stand", "left_semi").select(*geo.columns)
+
+
+def test_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze weather of the test departures."""
+    late = airport_test(spark, sf_dir).select(format_mdy_hm(F.col("AOBT").try_cast("timestamp_ntz")).alias("AOBT")).distinct()
+    wx = weather_bronze(spark, sf_dir)
+    return wx.join(late, "AOBT", "left_semi").select("Flight Datetime", "Aircraft Model", "AOBT", "summary", "temperature")
+
+
+def ac_characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze aircraft characteristics: the distinct models (one missing), engines and lengths."""
+    fl = flights(spark, sf_dir)
+    return fl.select(F.col("model").alias("Model"), F.col("engines").alias("Num_Engines"), F.col("ac_length").alias("Length_m")).distinct()
+
+
+def glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze glossary: terms and their explanations (missing for some)."""
+    p = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return p.select(F.col("p_name").alias("Term"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_type")).alias("Definition")).distinct()
+
+
 def airport_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze training departures (datetimes already ``M/D/YYYY H:MM`` text)."""
     fl = flights(spark, sf_dir).where(F.col("aobt") < F.lit(TRAIN_CUTOFF).cast("timestamp_ntz"))

@@ -25,9 +25,21 @@ def _null_tokens(c: str):
     return F.when(col.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(col).alias(c)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Headered CSV; NA tokens -> NULL; types inferred (or taken from ``schema``)."""
-    raw = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True).csv(path)
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line of the files ends inside quotes: it holds an odd number of them."""
+    line = spark.read.text(path).select((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("n"))
+    return not line.where(F.col("n") % 2 == 1).isEmpty()
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool | None = None) -> DataFrame:
+    """Headered CSV; NA tokens -> NULL; types inferred (or taken from ``schema``).
+
+    multi_line: whether values hold line breaks, which makes each file one task;
+    None: a split pass over the lines finds out. Without, files are read in splits.
+    """
+    if multi_line is None:
+        multi_line = has_quoted_breaks(spark, path)
+    raw = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line).csv(path)
     cleaned = raw.select(*[_null_tokens(c) for c in raw.columns])
     if schema is not None:
         return cleaned.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
