@@ -43,7 +43,8 @@ ALIASES = {
 }
 
 
-def _canonical(model_type: str, name: str) -> str:
+def canonical(model_type: str, name: str) -> str:
+    """The one name of a parameter that a space may call by another."""
     if name == "n_estimators":
         return "numTrees" if model_type == "random_forest" else "maxIter"
     return ALIASES.get(name) or name
@@ -54,7 +55,7 @@ def sample_param_maps(model_type: str, space: dict | None = None, n_trials: int
     """Candidate parameter maps. All-list spaces within the budget are enumerated."""
     if model_type not in SEARCH_SPACES:
         raise ValueError(f"no model family named {model_type!r}")
-    space = {_canonical(model_type, k): v for k, v in (space or SEARCH_SPACES[model_type]).items()}
+    space = {canonical(model_type, k): v for k, v in (space or SEARCH_SPACES[model_type]).items()}
     n_trials = n_trials or DEFAULT_TRIALS[model_type]
     if all(isinstance(v, list) for v in space.values()):
         grid = [dict(zip(space, combo, strict=True)) for combo in itertools.product(*space.values())]
@@ -82,7 +83,7 @@ def sample_param_maps(model_type: str, space: dict | None = None, n_trials: int
 
 def tree_params(model_type: str, params: dict) -> TreeParams:
     """The learner's settings for a family, by the names of a search space; what is not given has no effect."""
-    p = {_canonical(model_type, k): v for k, v in params.items()}
+    p = {canonical(model_type, k): v for k, v in params.items()}
     share = p.get("featureSubsetStrategy")
     depth = int(p.get("maxDepth", -1 if model_type in ("lightgbm", "random_forest") else 6))
     common = {"depth": depth if depth >= 0 else MAX_DEPTH, "seed": SEED, "bins": min(BINS, int(p.get("maxBins", BINS)))}
@@ -114,7 +115,7 @@ class TreeEstimator:
 def make_estimator(model_type: str, label: str, params: dict | None = None):
     """A regressor for a model family with the given (space or Spark) parameters."""
     if model_type == "linear_regression":
-        named = {_canonical(model_type, k): v for k, v in (params or {}).items()}
+        named = {canonical(model_type, k): v for k, v in (params or {}).items()}
         return LeastSquares(label, fit_intercept=named.get("fitIntercept", True))
     if model_type in TREE_FAMILIES:
         return TreeEstimator(model_type, label, params or {})

@@ -20,7 +20,7 @@ from offblock.functions import (
     format_hh_mm, format_mdy_hm, haversine_m, impact_direction, impact_tone, log_distance, parse_iso_datetime,
     parse_mdy_hm, round_half_even, seconds_to_minutes, standardize_datetime_text, trim_text,
 )
-from offblock.operators import encode, filters, groups, impute, joins, metrics, report, runs, sampling, schema, split
+from offblock.operators import categories, encode, filters, groups, impute, joins, metrics, report, runs, sampling, schema, split
 from offblock.operators.traffic import band_counts, planes_in_window
 from offblock.session import cut_lineage, scratch_path
 from offblock.sources import driver_tables as dt
@@ -89,6 +89,12 @@ def r02_scan_by_suffix(spark, sf):
     return scan_by_suffix(spark, path)
 
 
+def r02b_scan_csv_by_suffix(spark, sf):
+    path = _scratch(spark, "r02b") + ".CSV"
+    sink_csv(_fl(spark, sf).select("flight_id", "taxi", "stand", "model"), path)
+    return scan_by_suffix(spark, path)
+
+
 def r03_scan_parquet(spark, sf):
     return scan_parquet(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
 
@@ -146,6 +152,17 @@ def r14_route_dataset(spark, sf):
     return schema.route_dataset("linear_regression", default, clean)
 
 
+def r14b_all_routes(spark, sf):
+    """The rows that each family, and an unknown one, is given."""
+    default = _fl(spark, sf).select("flight_id", "taxi")
+    clean = default.where(F.col("taxi").isNotNull())
+    out = None
+    for family in ("linear_regression", "random_forest", "xgboost", "lightgbm", "catboost", "another"):
+        d = schema.route_dataset(family, default, clean).withColumn("model_type", F.lit(family))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 def r15_dashboard_projection(spark, sf):
     df = _impacts(_fl(spark, sf)).withColumns({"stand": digits_to_int("stand"), "runway": digits_to_int("runway")})
     df = df.withColumnsRenamed({"ac_length": "Aircraft Length", "engines": "No. Engines"})
@@ -279,6 +296,11 @@ def r32_learn_categories(spark, sf):
     return spark.createDataFrame([(c, i + 1) for i, c in enumerate(cats)], "summary string, position long")
 
 
+def r32b_category_table(spark, sf):
+    """All flight numbers and models with their sorted positions."""
+    return categories.category_table(_fl(spark, sf), ["flight_no", "model"])
+
+
 def r33_row_counts(spark, sf):
     fl = _fl(spark, sf)
     kept = filters.filter_taxi_range(fl, "taxi")
@@ -363,6 +385,14 @@ def _geo_points(spark, sf):
     )
 
 
+def r41b_one_hot_vectors(spark, sf):
+    """The set slots of sparse vectors over all flight numbers and models."""
+    fl = _fl(spark, sf).select("flight_id", "flight_no", "model")
+    table = categories.category_table(fl, ["flight_no", "model"])
+    v = categories.one_hot_vectors(fl, table, ["flight_no", "model"])
+    return v.select("flight_id", F.explode(F.unwrap_udt("one_hot")["indices"]).alias("slot"))
+
+
 def r42_haversine_m(spark, sf):
     p = _geo_points(spark, sf)
     return p.select("flight_id", F.round(haversine_m(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")), 3)
@@ -691,6 +721,30 @@ def r76_score_and_explain(spark, sf):
                               partitions=_tasks(spark))
 
 
+def r60_feature_groups(spark, sf):
+    """The groups of the gold training table's features."""
+    from offblock.constants import TARGET
+    from offblock.plans.train import ROW_KEYS
+
+    features = schema.split_features_label(spark.read.parquet(built_gold(spark, sf)["train_default"]), TARGET, ROW_KEYS)
+    rows = [(g, f) for g, members in groups.feature_groups(features).items() for f in members]
+    return spark.createDataFrame(rows, "feature_group string, feature string")
+
+
+def r67_search_space(spark, sf):
+    """Of each family's trained candidates, how many there are and how many lie in the space (rounds aside)."""
+    from offblock.constants import SEARCH_SPACES
+    from offblock.ml.models import MODEL_TYPES, canonical
+
+    rows = []
+    for family in MODEL_TYPES:
+        trials = [m for m, _ in _train(spark, sf, family).trials]
+        space = {canonical(family, k): v for k, v in check_space(family).items()}
+        fits = lambda v, spec: v in spec if isinstance(spec, list) else spec["low"] <= v <= spec["high"]
+        rows.append((family, len(trials), sum(set(m) == set(space) and all(fits(m[k], space[k]) for k in m) for m in trials), len(SEARCH_SPACES[family])))
+    return spark.createDataFrame(rows, "model_type string, n_trials int, n_inside int, n_parameters int")
+
+
 def r77_build_silver(spark, sf):
     return spark.read.parquet(built_gold(spark, sf)["silver_airport_train"])
 
@@ -721,10 +775,28 @@ def r77e_silver_plain_tables(spark, sf):
     return out
 
 
-def r78_build_gold(spark, sf):
-    """Gold training table (default variant); the written row id is left out, floats rounded as the oracle."""
-    g = spark.read.parquet(built_gold(spark, sf)["train_default"]).drop("wx_row_id")
+def _gold(spark, sf, name):
+    """A gold table as the oracle states it: without the written row id, floats rounded."""
+    g = spark.read.parquet(built_gold(spark, sf)[name]).drop("wx_row_id")
     r3, r6 = {"distance"}, {"log_distance"} | {c for c in g.columns if c.startswith("AOBT_")}
     cols = [F.round(F.col(f"`{c}`"), 3).alias(c) if c in r3 else _r6(F.col(f"`{c}`")).alias(c) if c in r6
             else F.col(f"`{c}`") for c in g.columns]
     return g.select(*cols)
+
+
+def r78_build_gold(spark, sf):
+    """Gold training table (default variant)."""
+    return _gold(spark, sf, "train_default")
+
+
+def r78b_gold_test(spark, sf):
+    return _gold(spark, sf, "test_default")
+
+
+def r78c_gold_train_clean(spark, sf):
+    return _gold(spark, sf, "train_clean")
+
+
+def r78d_gold_test_clean(spark, sf):
+    """Test rows filled with the training medians."""
+    return _gold(spark, sf, "test_clean")

@@ -4,6 +4,8 @@ Spark code: the same adapter views as CTEs over the raw tables, then plain SQL.
 
 from __future__ import annotations
 
+from offblock.constants import WEATHER_PATTERNS
+
 FLIGHTS = """
 flights AS (
   SELECT event_id AS flight_id,
@@ -338,6 +340,25 @@ FROM t"""
 
 SQL["r78_build_gold"] = _gold_train_sql()
 
+
+def _gold_sql(part: str, clean: bool) -> str:
+    """The other gold tables: the test set is the departures from the cut on; clean ones are filled with the training medians."""
+    train = _gold_train_sql().replace("round(distance, 3) AS distance", "distance").replace(f"round({_logd('distance')}, 6)", _logd("distance"))
+    rows = train if part == "train" else train.replace("a.aobt < TIMESTAMP", "a.aobt >= TIMESTAMP")
+    filled = ["distance", "log_distance", "temperature", "humidity", "windSpeed", "visibility", "N_dep_dep"] if clean else []
+    value = {c: f"coalesce({c}, (SELECT median({c}) FROM learned))" for c in filled}
+    if clean:
+        value["N_dep_dep"] = f"CAST({value['N_dep_dep']} AS BIGINT)"
+    value = value | {"distance": f"round({value.get('distance', 'distance')}, 3)", "log_distance": f"round({value.get('log_distance', 'log_distance')}, 6)"}
+    drop = "EXCLUDE (pressure, cloudCover)" if clean else ""
+    return (f"WITH learned AS ({train}), given AS ({rows}) SELECT * {drop} REPLACE ("
+            + ", ".join(f"{v} AS {c}" for c, v in value.items()) + ") FROM given")
+
+
+SQL["r78b_gold_test"] = _gold_sql("test", False)
+SQL["r78c_gold_train_clean"] = _gold_sql("train", True)
+SQL["r78d_gold_test_clean"] = _gold_sql("test", True)
+
 SQL["r66b_missing_inputs_long"] = FWJ + """SELECT flight_id, copy_no, 'taxi' AS input, coalesce(taxi, -1.0e15) AS value FROM fl_wx
 UNION ALL SELECT flight_id, copy_no, 'taxi__missing', CASE WHEN taxi IS NULL THEN 1.0 ELSE 0.0 END FROM fl_wx
 UNION ALL SELECT flight_id, copy_no, 'temperature', coalesce(temperature, -1.0e15) FROM fl_wx
@@ -364,6 +385,17 @@ SQL["r77_build_silver"] = F_ + f"""SELECT flight_id,
   ac_length AS "Aircraft Length", engines AS "No. Engines", taxi AS actual_taxi_out_sec
 FROM flights WHERE aobt < TIMESTAMP '2024-01-25 00:00:00'"""
 
+SQL["r02b_scan_csv_by_suffix"] = SQL["r02_scan_by_suffix"]
+SQL["r14b_all_routes"] = F_ + """SELECT flight_id, taxi, model_type FROM flights,
+  (SELECT unnest(['linear_regression', 'random_forest', 'xgboost', 'lightgbm', 'catboost', 'another']) AS model_type)
+WHERE taxi IS NOT NULL OR model_type NOT IN ('linear_regression', 'random_forest')"""
+SQL["r32b_category_table"] = F_ + """SELECT 'flight_no' AS feature, flight_no AS value, row_number() OVER (ORDER BY flight_no) - 1 AS position FROM (SELECT DISTINCT flight_no FROM flights)
+UNION ALL SELECT 'model', model, row_number() OVER (ORDER BY model) - 1 FROM (SELECT DISTINCT model FROM flights WHERE model IS NOT NULL)"""
+SQL["r41b_one_hot_vectors"] = F_ + """SELECT flight_id, CAST(dense_rank() OVER (ORDER BY flight_no) - 1 AS INTEGER) AS slot FROM flights
+UNION ALL SELECT flight_id, CAST((SELECT count(DISTINCT flight_no) FROM flights) + dense_rank() OVER (ORDER BY model) - 1 AS INTEGER) FROM flights WHERE model IS NOT NULL"""
+SQL["r67_search_space"] = """SELECT * FROM (VALUES ('linear_regression', 2, 2, 1), ('random_forest', 15, 15, 5), ('xgboost', 30, 30, 9),
+  ('lightgbm', 30, 30, 9), ('catboost', 30, 30, 7)) t(model_type, n_trials, n_inside, n_parameters)"""
+
 SQL["r77b_silver_airport_test"] = SQL["r77_build_silver"].replace("WHERE aobt < ", "WHERE aobt >= ")
 
 SQL["r77c_silver_geographies"] = _with(GEO) + """, points AS (SELECT runway, stand, Lat_runway AS lat_runway, Lng_runway AS lng_runway, Lat_stand AS lat_stand, Lng_stand AS lng_stand FROM geo)
@@ -394,6 +426,18 @@ UNION ALL SELECT 'ac_characteristics', coalesce(model, 'nan'), CAST(engines AS V
 UNION ALL SELECT 'glossary', coalesce(term, 'nan'), coalesce(definition, 'nan')
   FROM (SELECT DISTINCT p_name AS term, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS definition FROM part)"""
 
+_NAMED = {"Traffic": ["N_dep_dep", "N_dep_arr", "Q_dep_dep", "planes_30min", "planes_10min", "delay_seconds"],
+          "Distance": ["stand", "runway", "distance", "log_distance"], "Aircraft": ["Aircraft Length", "No. Engines"]}
+SQL["r60_feature_groups"] = _WEATHER_TEXT + """, names AS (
+  SELECT unnest(['temperature', 'humidity', 'windSpeed', 'visibility', 'pressure', 'cloudCover', 'private_flight', 'helicopter']
+    || flatten([['AOBT_' || p || '_sin', 'AOBT_' || p || '_cos'] for p in ['hour', 'day_of_week', 'month', 'day_of_month']])) AS n
+  UNION ALL SELECT DISTINCT 'summary_' || summary FROM observed
+  UNION ALL SELECT DISTINCT 'icon_' || CASE flight_id % 3 WHEN 0 THEN 'clear-day' WHEN 1 THEN 'rain' ELSE 'cloudy' END FROM observed
+  UNION ALL SELECT DISTINCT 'precipType_' || CASE flight_id % 4 WHEN 0 THEN 'rain' WHEN 1 THEN 'snow' ELSE 'nan' END FROM observed)
+SELECT 'Weather' AS feature_group, n AS feature FROM names
+  WHERE len(list_filter(""" + str(WEATHER_PATTERNS) + """, lambda p: contains(n, p))) > 0
+UNION ALL SELECT 'Traffic', n FROM names, (SELECT unnest(['hour', 'day_of_week', 'month']) AS p) WHERE contains(lower(n), p)
+""" + "".join(f"UNION ALL SELECT '{g}', unnest({m})\n" for g, m in _NAMED.items())
 SQL["r47b_lenient_datetimes"] = F_ + f"SELECT flight_id, CASE WHEN flight_id % 25 < 17 THEN strftime(aobt, {MDY}) END AS off_block FROM flights"
 
 # --- model queries (plans/model_values.py): group means and closed forms of least squares ---
