@@ -23,6 +23,7 @@ counts; weights depend on the terms' document frequencies, summed over shards.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -114,20 +115,14 @@ def build_treap(rows: np.ndarray, cols: np.ndarray, impact: np.ndarray, bits: in
 
 def build_index(docs: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
     """The shards of INDEX over all rows of docs (doc_id, text). Rows without a term have no cells."""
-    def shard(ids, lengths, counts):
+    def shard(ids, lengths, each, vocabulary, rows, tf):
         # columns by id, rows without one last
         known = np.array([i is not None for i in ids])
         number = np.array([LAST if i is None else i for i in ids], np.int64)
         order = np.lexsort((~known, number))
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
-        vocabulary: dict[bytes, int] = {}
-        rows, tf = [], []
-        for c in counts:
-            rows += [vocabulary.setdefault(t, len(vocabulary)) for t in c]
-            tf += c.values()
-        rows, tf = np.array(rows, np.int64), np.array(tf, np.int64)
-        each = np.array([len(c) for c in counts])
+        rows, tf = np.frombuffer(rows, np.int32).astype(np.int64), np.frombuffer(tf, np.int64)
         cols, n = np.repeat(place, each), np.repeat(np.array(lengths, np.int64), each)
         impact = 1_000_000_000 * tf // (1000 * tf + 8 * (100 - 90 + 90 * n * n_docs // n_terms))
         dfs = np.bincount(rows, minlength=len(vocabulary))
@@ -144,22 +139,25 @@ def build_index(docs: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
     names = [c.split()[0] for c in INDEX.split(", ")]
 
     def run(batches):
-        ids, lengths, counts, cells = [], [], [], 0
+        # documents, their terms and cells so far; words are kept once, cells as numbers
+        held = [], [], [], {}, array("i"), array("q")
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 terms = terms_of(t)
                 if not terms:
                     continue
+                ids, lengths, each, vocabulary, rows, tf = held
                 c = Counter(terms)
                 ids.append(i)
                 lengths.append(len(terms))
-                counts.append(c)
-                cells += len(c)
-                if cells >= SHARD_CELLS:
-                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(shard(ids, lengths, counts), kinds, strict=True)], names=names)
-                    ids, lengths, counts, cells = [], [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(shard(ids, lengths, counts), kinds, strict=True)], names=names)
+                each.append(len(c))
+                rows.extend([vocabulary.setdefault(t, len(vocabulary)) for t in c])
+                tf.extend(c.values())
+                if len(rows) >= SHARD_CELLS:
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(shard(*held), kinds, strict=True)], names=names)
+                    held = [], [], [], {}, array("i"), array("q")
+        if held[0]:
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(shard(*held), kinds, strict=True)], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, INDEX)
 
