@@ -11,7 +11,9 @@ words. Documents with equal sets are one node.
   n - ceil(t n) + 1 shingles; only these are shuffled, once.
 - Length filter: t na <= nb. Positional filter: at the first common prefix
   shingle, what follows must still hold the required overlap.
-- Suffix filter: the sets' counts by hash range bound their overlap from above.
+- Suffix filter: each half of the hash space, each half of that and so on, down to
+  RANGES ranges, bounds the overlap from above by the sets' counts in it; the
+  finest ranges give the tightest bound of the recursion and are compared at once.
 - Each pair left is verified once, on the full sets.
 """
 
@@ -24,15 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offblock.llm.common import partitions, semi, small_batches, written
-from offblock.llm.linking import link
+from offblock.llm.linking import link, shared_entries
+from offblock.session import drop_scratch
 
 WORDS = 5
 #: Similarity in hundredths.
 PERCENT = 75
 COUNTER_BITS = 20
 COUNTERS_PER_ROW = 4096
-#: Hash ranges of the suffix filter.
-RANGES = 16
+#: Hash ranges of the suffix filter: eight halvings.
+RANGES = 256
 #: Word hashes that a task keeps.
 CACHE_WORDS = 150_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
@@ -79,7 +82,7 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-SETS = "doc_id long, n int, node long, ranges array<int>, part int, counts binary"
+SETS = "doc_id long, n int, node long, part int, counts binary"
 
 
 class Counters:
@@ -106,11 +109,39 @@ def counter_of(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64((1 << COUNTER_BITS) - 1)).astype(np.int64)
 
 
+def range_counts(s: np.ndarray) -> bytes:
+    """How many shingles lie in each of RANGES hash ranges, a byte each, at most 255.
+
+    Counts cut off at 255 differ by no more than the counts, so the bound on the overlap still holds.
+    """
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes()
+
+
+def overlap_filter(batches):
+    """Pairs (a, b, na, nb, ra, rb) whose overlap the hash ranges do not bound below the need."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16) for c in ("ra", "rb"))
+        n = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
+        most = (n - np.abs(x - y).sum(1, dtype=np.int64)) // 2
+        ok = pa.array(100 * most >= PERCENT * (n - most), pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b", "na", "nb")], names=["a", "b", "na", "nb"])
+
+
+def true_links(batches):
+    """Pairs (a, b, na, nb, sa, sb) of enough Jaccard similarity; sa and sb are the sets, as bytes of sorted hashes."""
+    for batch in batches:
+        ok = []
+        for na, nb, sa, sb in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")), strict=True):
+            both = len(np.intersect1d(np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64), assume_unique=True))
+            ok.append(100 * both >= PERCENT * (na + nb - both))
+        mask = pa.array(ok, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+
 def set_rows(batches):
-    """A row (doc_id, n, node, ranges) for each document, then the task's shingle counts by ranges of counters."""
+    """A row (doc_id, n, node, counts by hash range) for each document, then the task's shingle counts by ranges of counters."""
     hashes, counters = WordHashes(), Counters()
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("ranges", pa.list_(pa.int32())),
-                        ("part", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
     for batch in batches:
         n, node, ranges = [], [], []
         for text in texts(batch, "text"):
@@ -118,17 +149,16 @@ def set_rows(batches):
             counters.add(s)
             n.append(len(s))
             node.append(node_of(s))
-            ranges.append(np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES).tolist())
+            ranges.append(range_counts(s))
         k = len(n)
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(ranges, pa.list_(pa.int32())),
-            pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.nulls(k, pa.int32()),
+                                          pa.array(ranges, pa.binary())], schema=schema)
     counters.flush()
     rows = counters.counts.reshape(-1, COUNTERS_PER_ROW)
     parts = [i for i in range(len(rows)) if rows[i].any()]
     k = len(parts)
     yield pa.RecordBatch.from_arrays([
-        pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int32())),
+        pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()),
         pa.array(parts, pa.int32()), pa.array([rows[i].astype(np.int32).tobytes() for i in parts], pa.binary())], schema=schema)
 
 
@@ -186,10 +216,10 @@ def full_sets(docs: DataFrame) -> DataFrame:
             for part in range(0, batch.num_rows, 256):
                 sets = [shingle_set(t, hashes) for t in texts(batch.slice(part, 256), "text")]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["node", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
+    return docs.select("text").mapInArrow(run, "node long, shingles binary")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,10 +233,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     small_batches(docs.sparkSession)
     both = written(d.mapInArrow(set_rows, SETS), "sets")
-    rows = both.where("part is null").select("doc_id", "n", "node", "ranges")
+    rows = both.where("part is null").select("doc_id", "n", "node")
     counts = summed(both)
-    nodes = written(rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("ranges").alias("ranges")), "nodes")
+    ranges = both.where("part is null and node is not null")
+    nodes = written(ranges.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("counts").alias("ranges")), "nodes")
 
     need = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100.0 + PERCENT) - 1e-9)
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
@@ -215,17 +245,19 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     def verify(pairs: DataFrame) -> DataFrame:
         info = nodes.select("node", "ranges")
         p = pairs.join(info.toDF("a", "ra"), "a").join(info.toDF("b", "rb"), "b")
-        apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-        p = written(p.where((F.col("na") + F.col("nb") - apart) / 2 >= need).select("a", "b", "na", "nb"), "suffix")
-        ids = p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        of = written(nodes.join(ids, "node").select("node", "doc_id"), "asked")
+        p = written(p.mapInArrow(overlap_filter, "a long, b long, na int, nb int"), "suffix")
+        ids = p.select("a").unionByName(p.select(F.col("b").alias("a"))).toDF("node").distinct()
+        of = written(nodes.select("node", "doc_id").join(ids, "node"), "asked")
         sets = full_sets(semi(d, of.select("doc_id"), "doc_id")).join(of.select("node"), "node", "left_semi").dropDuplicates(["node"])
         sets = written(sets, "shingles")
         q = p.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        return q.where(100 * both >= PERCENT * (F.col("na") + F.col("nb") - both)).select("a", "b")
+        links = written(q.mapInArrow(true_links, "a long, b long"), "links")
+        for t in (p, of, sets):
+            drop_scratch(t)
+        return links
 
-    labels = link(prefix_entries(d, counts), verify, length & (rest >= need), length)
+    entries = written(shared_entries(prefix_entries(d, counts)), "entries")
+    labels = link(entries, verify, length & (rest >= need), length)
     ids = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("c"))
     low = ids.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     of = ids.join(low, "c").select("node", "component_id")

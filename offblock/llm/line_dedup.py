@@ -14,11 +14,18 @@ probes, for each shorter length l within the edits that l allows, the substrings
 that such a segment could be (the multi-match-aware window). Lines that meet under
 a key (length, segment number, substring) are verified with a banded bit-parallel
 edit distance, which stops as soon as the band holds no distance within e.
+
+Lines that share a segment with very many others are filed anew, under halves: two
+lines within e edits have an equal half, and the other half within e edits, or (for
+e = 2) each half within one edit. Halves of what is left open are compared in turn,
+until few lines meet under a key. So many lines with one passage in common, or many
+near copies of one line that are not alike, do not meet in pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -26,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offblock.llm.common import BLANKS, semi, small_batches, written
-from offblock.llm.linking import link
+from offblock.llm.linking import link, shared_entries
+from offblock.session import drop_scratch
 
 EDITS = 2
 #: Code points of a line for each edit that it allows.
@@ -137,16 +145,18 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
 
 
 def occurrences(batches):
-    """(doc_id, line_no, node) of every compared line."""
+    """(doc_id, of_text, line_no, node) of every compared line."""
     for batch in batches:
-        ids, no, node = [], [], []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        ids, of, no, node = [], [], [], []
+        for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "of_text", "text")), strict=True):
             for i, line in enumerate((text or "").split("\n")):
                 if compared(line):
                     ids.append(doc)
+                    of.append(key)
                     no.append(i)
                     node.append(line_node(line))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(no, pa.int32()), pa.array(node, pa.int64())], names=["doc_id", "line_no", "node"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(of, pa.int64()), pa.array(no, pa.int32()), pa.array(node, pa.int64())],
+                                         names=["doc_id", "of_text", "line_no", "node"])
 
 
 def segment_entries(batches):
@@ -196,24 +206,101 @@ def true_pairs(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
 
+def halvings(lx: int, ly: int, edits: int) -> list[tuple[list, list]]:
+    """Ways to cut strings x and y, of lx and ly characters and within `edits` of each other, at half.
+
+    A way is ([(start in x, start in y, size) of parts that are equal],
+    [(start in x, start in y, size in x, size in y, edits) of parts that are open]);
+    at least one of them holds.
+    """
+    least = min(lx, ly)
+    if least <= 1:
+        return [([], [(0, 0, lx, ly, edits)])]
+    h, g = least // 2, least - least // 2
+    out = [([(0, 0, h)], [(h, h, lx - h, ly - h, edits)]), ([(lx - g, ly - g, g)], [(0, 0, lx - g, ly - g, edits)])]
+    if edits == 2:  # one in each half; the cut in y is off by that of the first
+        for d in (-1, 0, 1):
+            if 0 <= h + d <= ly and abs(ly - lx - d) <= 1:
+                for c1, o1 in halvings(h, h + d, 1):
+                    for c2, o2 in halvings(lx - h, ly - h - d, 1):
+                        out.append((c1 + [(x + h, y + h + d, z) for x, y, z in c2], o1 + [(x + h, y + h + d, *z) for x, y, *z in o2]))
+    return out
+
+
+@lru_cache(maxsize=4096)
+def ways(opens: tuple[tuple[int, int, int], ...]) -> list[tuple[list, list]]:
+    """halvings of several open parts (size in x, size in y, edits) at once; parts are numbered in the places."""
+    out = [([], [])]
+    for k, part in enumerate(opens):
+        out = [(c + [(k, *x) for x in c2], o + [(k, *x) for x in o2]) for c, o in out for c2, o2 in halvings(*part)]
+    return out
+
+
+def refined(line: str, key: int, states: list[list[int]], found: dict) -> None:
+    """The keys and states that follow from states of a line under a key are added to found.
+
+    A state holds the part that the line plays (0: x, 1: y), then for each open part
+    its start in the line, both sizes and the edits.
+    """
+    for role, *flat in states:
+        parts = [flat[i : i + 4] for i in range(0, len(flat), 4)]
+        for i, (closed, opened) in enumerate(ways(tuple((lx, ly, e) for _, lx, ly, e in parts))):
+            new = xxhash.xxh3_64_intdigest(i.to_bytes(4, "little"), key)
+            for k, x, y, size in closed:
+                start = parts[k][0] + (y if role else x)
+                new = xxhash.xxh3_64_intdigest(line[start : start + size].encode("utf-8", "surrogatepass"), new)
+            state = [role]
+            for k, x, y, lx, ly, e in opened:
+                state += [parts[k][0] + (y if role else x), lx, ly, e]
+            at = found.setdefault(new, [])
+            if state not in at:
+                at.append(state)
+
+
+def first_states(n: int) -> list[tuple[int, list[int]]]:
+    """(key, state) of a line of n characters, as the shorter and as the longer one of a pair."""
+    out = []
+    for lx in range(max(1, n - EDITS), n + 1):
+        e = edits_of(lx)
+        if e >= n - lx and e:
+            out.append((lx * (EDITS + 1) + n - lx, [1, 0, lx, n, e]))
+    e = edits_of(n)
+    return out + [(n * (EDITS + 1) + d, [0, 0, n, n + d, e]) for d in range(e + 1) if e]
+
+
+#: Halvings at a time.
+HALVINGS = 2
+
+
 def refined_entries(batches):
-    """Entries (key, node, n, pos, line) under finer keys.
+    """Entries (key, node, n, pos, open) under finer keys; pos is -1 if nothing is left to halve.
 
-    Two lines that meet at a segment, left of it within some edits and right of it
-    within the rest of those allowed, are within these also without the segment. So
-    what is left of each line is cut and probed as a line is, under the key it has.
+    Rows: node, line, and key and open (the states under the key), both null the first time.
     """
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("open", pa.list_(pa.list_(pa.int32())))])
     for batch in batches:
-        keys, nodes, sizes = [], [], []
-        for key, node, n, pos, line in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "pos", "line")), strict=True):
-            shorter, _, start, size = line_probes(n)[pos]
-            left = line[:start] + line[start + size :]
-            plan = probes(len(left), edits_of(shorter))
-            keys += [xxhash.xxh3_64_intdigest(f"{key} {l} {i} {left[s : s + z]}".encode("utf-8", "surrogatepass")) - (1 << 63) for l, i, s, z in plan]
-            nodes += [node] * len(plan)
-            sizes += [n] * len(plan)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(len(keys), pa.int32())], schema=schema)
+        for start in range(0, batch.num_rows, 64):
+            keys, nodes, sizes, places, states = [], [], [], [], []
+            for x in batch.slice(start, 64).to_pylist():
+                line = x["line"]
+                if x["open"] is None:
+                    found = {}
+                    for key, state in first_states(len(line)):
+                        found.setdefault(key, []).append(state)
+                else:
+                    found = {x["key"] + (1 << 63): x["open"]}
+                for _ in range(HALVINGS):
+                    before, found = found, {}
+                    for key, at in before.items():
+                        refined(line, key, at, found)
+                keys += [k - (1 << 63) for k in found]
+                nodes += [x["node"]] * len(found)
+                sizes += [len(line)] * len(found)
+                # all states of a key have open parts of the same sizes
+                places += [-1 if all(min(at[0][i], at[0][i + 1]) <= 1 for i in range(2, len(at[0]), 4)) else 0 for at in found.values()]
+                states += found.values()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(places, pa.int32()),
+                                              pa.array(states, schema.field("open").type)], schema=schema)
 
 
 def line_classes(docs: DataFrame, where: DataFrame) -> DataFrame:
@@ -221,31 +308,40 @@ def line_classes(docs: DataFrame, where: DataFrame) -> DataFrame:
 
     docs: doc_id, text; where: (node, doc_id), a document of each line.
     """
-    def lines_of(nodes: DataFrame) -> DataFrame:
-        of = written(where.join(nodes.distinct(), "node"), "asked")
-        lines = semi(docs, of.select("doc_id"), "doc_id").select("text").mapInArrow(candidate_lines, "node long, line string")
-        return written(lines.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]), "lines")
+    entries = docs.select("text").mapInArrow(segment_entries, "key long, node long, n int, pos int")
+    entries = written(shared_entries(entries), "entries")
+    # the lines with a key in common with another are written once
+    of = written(where.join(entries.select("node").distinct(), "node"), "asked")
+    lines = semi(docs, of.select("doc_id"), "doc_id").select("text").mapInArrow(candidate_lines, "node long, line string")
+    lines = written(lines.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]), "lines")
+    drop_scratch(of)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        lines = lines_of(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).toDF("node"))
         both = pairs.select("a", "b").join(lines.toDF("a", "la"), "a").join(lines.toDF("b", "lb"), "b")
-        return both.mapInArrow(true_pairs, "a long, b long")
+        return written(both.mapInArrow(true_pairs, "a long, b long"), "links")
 
     def refine(entries: DataFrame) -> DataFrame:
-        return entries.join(lines_of(entries.select("node")), "node").mapInArrow(refined_entries, "key long, node long, n int, pos int")
+        if "open" not in entries.columns:
+            entries = entries.select("node").distinct().select(F.lit(None).cast("long").alias("key"), "node", F.lit(None).cast("array<array<int>>").alias("open"))
+        return entries.join(lines, "node").select("node", "key", "open", "line").mapInArrow(refined_entries, "key long, node long, n int, pos int, open array<array<int>>")
 
-    entries = docs.select("text").mapInArrow(segment_entries, "key long, node long, n int, pos int")
     near = F.abs(F.col("na") - F.col("nb")) <= EDITS
-    return link(entries, verify, near, near, refine)
+    labels = link(entries, verify, near, near, refine)
+    drop_scratch(lines)
+    return labels
 
 
 LAST_ID = 2**63 - 1
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, lines): the (line_no, node) of each document that are not the first of their class."""
+    """(doc_id, of_text, lines): the (line_no, node) of each document that are not the first of their class.
+
+    of_text: a hash of the text, so that rows that share an id, or have none, are not one group.
+    """
     small_batches(docs.sparkSession)
-    at = written(docs.mapInArrow(occurrences, "doc_id long, line_no int, node long"), "line-places")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("of_text"), "text")
+    at = written(rows.mapInArrow(occurrences, "doc_id long, of_text long, line_no int, node long"), "line-places")
     place = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("d"), "line_no")
     nodes = written(at.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last")), "line-nodes")
     labels = line_classes(docs, nodes.select("node", F.expr(f"nullif(first.d, {LAST_ID})").alias("doc_id")))
@@ -255,14 +351,18 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     # only lines that occur elsewhere than at the first place of their class
     again = n.where("first <> low or last <> low").select("node", "low")
     gone = at.join(again, "node").where(place != F.col("low"))
-    return gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "node")).alias("lines"))
+    gone = written(gone.groupBy("doc_id", "of_text").agg(F.collect_set(F.struct("line_no", "node")).alias("lines")), "line-drops")
+    for t in (at, nodes, labels):
+        drop_scratch(t)
+    return gone
 
 
 def with_dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with _drops: the dropped lines of the row's document, or null. All columns and rows are kept."""
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    drops = dropped_lines(d).toDF("_drop_id", "_drops")
-    return docs.join(drops, docs[doc_id].cast("long").eqNullSafe(drops["_drop_id"]), "left").drop("_drop_id")
+    drops = dropped_lines(d).toDF("_drop_id", "_drop_text", "_drops")
+    same = docs[doc_id].cast("long").eqNullSafe(drops["_drop_id"]) & (F.xxhash64(docs[text].cast("string")) == drops["_drop_text"])
+    return docs.join(drops, same, "left").drop("_drop_id", "_drop_text")
 
 
 def left_lines(text: str | None, drops) -> list[str]:

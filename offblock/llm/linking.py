@@ -6,49 +6,83 @@ of true links, exactly, and verifies each pair at most once:
 
 1. each node meets the first node and the node before it under each key; keys
    with very many nodes are salted into groups of at most HOT_NODES;
-2. in up to PROBE_ROUNDS rounds, under a share of the keys, one node of each
-   component found so far (another one for each key and round) meets one of the
-   largest component;
-3. the pairs that are left, those under one key and in different components,
-   are all verified. A group of copies is mostly one component by then, so what
-   is left does not grow with the square of its size. Keys that hold many nodes
-   of different components can be refined first (`refine`), by further keys that
-   every true pair under the key shares.
+2. in rounds, one node of each component found so far under a key (another one
+   for each key and round) meets one of the largest component there. A round is
+   linear in the entries; rounds go on while they shrink what is left;
+3. keys that still hold many nodes of different components are refined again and
+   again (`refine`), by further keys that every true pair under the key shares,
+   until few nodes meet under a key or nothing is left to tell them apart;
+4. the pairs that are left, those under one key and in different components, are
+   all verified.
 
 Pairs in one component need no check, since the components are the result.
+Tables written on the way are deleted as soon as no later step reads them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offblock.llm.common import partitions, written
+from offblock.session import drop_scratch
 
 #: Nodes under one key that are paired in one group; more are salted.
 HOT_NODES = 20_000
-#: Rounds of step 2, and the share of the keys (one in so many) that each looks at.
-PROBE_ROUNDS, PROBE_SHARE = 3, 4
+#: Step 2 goes on while a round leaves at most this share of the entries.
+PROBE_SHRINK = 0.9
 #: Keys with more nodes are refined in step 3.
 REFINED_NODES = 16
+#: So many edges are joined to components in one task (16 bytes each), more in distributed rounds first.
+FEW_EDGES = 200_000
 
 Verify = Callable[[DataFrame], DataFrame]
 
 
+def forest(batches):
+    """(node, component) of all nodes of the edges (u, v), by union-find."""
+    root = {}
+
+    def find(x):
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = root[y]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            u, v = find(u), find(v)
+            if u != v:
+                root[max(u, v)] = min(u, v)
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(find, nodes), pa.int64())], names=["node", "component"])
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node each node of edges (a, b) can reach.
+    """(node, component): the smallest node each node of edges (a, b) can reach; a written table.
 
-    Large-star and small-star steps in turn until nothing changes. Minima are
-    aggregated before they are joined, so a node with very many links is never
-    gathered in one task; each round is written, so lineage stays short.
+    Large-star and small-star steps in turn until nothing changes, or until at most
+    FEW_EDGES edges are left, which one task joins. Minima are aggregated before they
+    are joined, so a node with very many links is never gathered in one task; each
+    round is written, so lineage stays short.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = written(e, "edges")
     last = None
     while True:
+        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now[0] <= FEW_EDGES:
+            out = e.coalesce(1).mapInArrow(forest, "node long, component long")
+            break
+        if now == last:
+            roots = e.select(F.col("v").alias("node")).distinct()
+            out = e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
+            break
+        last = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large-star: higher neighbours move to the lowest
@@ -56,13 +90,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # small-star: the lower neighbours and the node itself move to the lowest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            break
-        last = now
-    roots = e.select(F.col("v").alias("node")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
+        before, e = e, written(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        drop_scratch(before)
+    out = written(out, "labels")
+    drop_scratch(e)
+    return out
 
 
 def shared_entries(entries: DataFrame) -> DataFrame:
@@ -107,18 +139,21 @@ def _pairs(df: DataFrame, x: str, y: str, keep: Column) -> DataFrame:
     return d.where(keep).select("a", "b", "na", "nb").distinct()
 
 
-def link(entries: DataFrame, verify: Verify, keep: Column | None = None, length: Column | None = None, refine: Verify | None = None) -> DataFrame:
+def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Column | None = None, refine: Verify | None = None) -> DataFrame:
     """(node, component) of the nodes with a true link.
 
-    entries: key, node (long), n and pos (int; size of the node, place of the key
-    in it). keep: a filter on na, pa, nb, pb that every true pair passes under one
-    of its keys at least; length: one on na and nb that it always passes. verify:
-    (a, b, na, nb) -> (a, b) of true links. refine: entries -> entries, so that
-    every true pair under a key shares one of the new keys.
+    e: a written table of shared_entries: key, node (long), n and pos (int; size of
+    the node, place of the key in it). keep: a filter on na, pa, nb, pb that every
+    true pair passes under one of its keys at least; length: one on na and nb that it
+    always passes. verify: (a, b, na, nb) -> a written table (a, b) of true links,
+    which is deleted here, as e is. refine: entries -> entries, so that every true pair
+    under a key shares one of the new keys; it may add columns, which it gets again
+    with the entries that need another refinement, and gives keys that it cannot
+    refine further a negative pos.
     """
     true = F.lit(True)
     keep, length = true if keep is None else keep, true if length is None else length
-    e = written(shared_entries(entries), "entries")
+    columns = ["key", "node", "n", "pos"]
     hot = e.groupBy("key").count().where(F.col("count") > HOT_NODES)
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("count", F.lit(1)) / HOT_NODES))
     me = F.struct("node", "n", "pos")
@@ -126,8 +161,10 @@ def link(entries: DataFrame, verify: Verify, keep: Column | None = None, length:
     met = e.join(hot, "key", "left").select("key", salt.alias("salt"), "node", me.alias("x"))
     met = met.select("x", F.array(F.first("x").over(w), F.lag("x").over(w)).alias("ys"))
     met = met.select("x", F.explode("ys").alias("y")).where("y is not null")
-    done = written(_pairs(met, "x", "y", keep), "pairs")
-    labels = written(connected_components(written(verify(done), "links")), "labels")
+    tables = [written(_pairs(met, "x", "y", keep), "pairs")]
+    found = verify(tables[0])
+    labels = connected_components(found)
+    drop_scratch(found)
 
     def mixed(e: DataFrame) -> DataFrame:
         """Entries with their component c, under keys with several."""
@@ -137,31 +174,53 @@ def link(entries: DataFrame, verify: Verify, keep: Column | None = None, length:
 
     def joined(pairs: DataFrame) -> bool:
         """Verify the pairs that are new; whether a link was among them."""
-        nonlocal done, labels
-        pairs = written(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(pairs)
-        found = written(verify(pairs), "links")
-        if found.isEmpty():
-            return False
-        stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = written(connected_components(found.select("a", "b").unionByName(stars)), "labels")
-        return True
-
-    c = mixed(e)
-    for k in range(PROBE_ROUNDS):
-        if c.isEmpty():
-            return labels
-        share = c.where(F.pmod(F.xxhash64("key", F.lit(k)), F.lit(PROBE_SHARE)) == 0)
-        one = share.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"), F.min_by(me, F.xxhash64("node", "key", F.lit(k))).alias("x"))
-        w = Window.partitionBy("key").orderBy(F.desc("size"), "c")
-        if not joined(_pairs(one.select("x", F.first("x").over(w).alias("y")), "x", "y", length)):
+        nonlocal labels
+        done = reduce(DataFrame.unionByName, [t.select("a", "b") for t in tables])
+        tables.append(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"))
+        found = verify(tables[-1])
+        if some := not found.isEmpty():
+            stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            before, labels = labels, connected_components(found.select("a", "b").unionByName(stars))
+            drop_scratch(before)
+        drop_scratch(found)
+        return some
+
+    def probed(c: DataFrame) -> DataFrame:
+        """What is left of the entries c after the rounds of step 2."""
+        k, size = 0, c.count()
+        while size:
+            one = c.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"), F.min_by(me, F.xxhash64("node", "key", F.lit(k))).alias("x"))
+            largest = one.groupBy("key").agg(F.max_by("x", F.struct("size", "c")).alias("y"))
+            if not joined(_pairs(one.join(largest, "key"), "x", "y", length)):
+                break
+            before, c = c, mixed(c.drop("c"))
+            drop_scratch(before)
+            last, size, k = size, c.count(), k + 1
+            if size > PROBE_SHRINK * last:
+                break
+        return c
+
+    c = probed(mixed(e))
+    drop_scratch(e)
+    rest = []
+    while refine is not None:
+        many = written(c.where("pos >= 0").groupBy("key").count().where(F.col("count") > REFINED_NODES).select("key"), "many")
+        if many.isEmpty():
+            drop_scratch(many)
             break
-        c = mixed(c.select(*e.columns))
-    if refine is not None and not c.isEmpty():
-        many = c.groupBy("key").count().where(F.col("count") > REFINED_NODES).select("key")
-        many = written(many, "many")
-        finer = shared_entries(refine(c.join(many, "key").select(*e.columns)))
-        c = mixed(c.join(many, "key", "left_anti").select(*e.columns).unionByName(finer))
+        finer = written(shared_entries(refine(c.join(many, "key").drop("c"))), "entries")
+        rest.append(written(c.join(many, "key", "left_anti").select(*columns), "rest"))
+        drop_scratch(many)
+        drop_scratch(c)
+        c = probed(mixed(finer))
+        drop_scratch(finer)
+    if rest:
+        rest.append(c)
+        c = mixed(reduce(DataFrame.unionByName, [r.select(*columns) for r in rest]))
+        for r in rest:
+            drop_scratch(r)
     l, r = c.select("key", F.col("c").alias("cl"), me.alias("x")), c.select("key", F.col("c").alias("cr"), me.alias("y"))
     joined(_pairs(l.join(r, "key").where("x.node < y.node and cl <> cr"), "x", "y", keep))
+    for t in [c, *tables]:
+        drop_scratch(t)
     return labels
