@@ -19,6 +19,8 @@ words. Documents with equal sets are one node.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -269,9 +271,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def keep_one_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of docs whose id is the smallest of its component; one of rows that repeat an id and text.
 
-    Rows without an id are kept. All columns of docs are kept.
+    Rows without an id come after all others, in the order of a hash of their text; of
+    those with equal texts one is left. All columns of docs are kept.
     """
-    gone = jaccard_components(docs, doc_id, text).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
-    first = left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id, text])
-    return first.unionByName(left.where(F.col(doc_id).isNull()))
+    own = f"own_{uuid.uuid4().hex}"
+    far = 1 << 62  # beyond the ids of documents
+    d = docs.withColumn(own, F.coalesce(F.col(doc_id).cast("long"), F.lit(far) + F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(far))))
+    gone = jaccard_components(d, own, text).where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    return d.join(gone, own, "left_anti").dropDuplicates([own, text]).select(*docs.columns)

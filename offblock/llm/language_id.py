@@ -304,6 +304,11 @@ def op3_language_id(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """Rows of docs in which one learned language holds at least the share `least`; others, and `und`, go."""
+    """Rows of docs in which one learned language holds at least the share `least`; others, and `und`, go.
+
+    All columns of docs are kept as they are, those named lang_pred or score included.
+    """
     field = train(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
-    return predict(docs, field).where((F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= least)).select(*docs.columns)
+    own = [f"own_{i}" for i in range(len(docs.columns))]
+    found = predict(docs.toDF(*own), field, own[docs.columns.index("text")])
+    return found.where((F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= least)).select(*own).toDF(*docs.columns)

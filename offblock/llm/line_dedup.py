@@ -268,7 +268,7 @@ def first_states(n: int) -> list[tuple[int, list[int]]]:
     return out + [(n * (EDITS + 1) + d, [0, 0, n, n + d, e]) for d in range(e + 1) if e]
 
 
-#: Halvings at a time.
+#: Halvings at a time, after the first.
 HALVINGS = 2
 
 
@@ -289,7 +289,7 @@ def refined_entries(batches):
                         found.setdefault(key, []).append(state)
                 else:
                     found = {x["key"] + (1 << 63): x["open"]}
-                for _ in range(HALVINGS):
+                for _ in range(1 if x["open"] is None else HALVINGS):
                     before, found = found, {}
                     for key, at in before.items():
                         refined(line, key, at, found)

@@ -11,7 +11,8 @@ of true links, exactly, and verifies each pair at most once:
    linear in the entries; rounds go on while they shrink what is left;
 3. keys that still hold many nodes of different components are refined again and
    again (`refine`), by further keys that every true pair under the key shares,
-   until few nodes meet under a key or nothing is left to tell them apart;
+   until few nodes meet under a key or nothing is left to tell them apart; step 2
+   is repeated on the latter;
 4. the pairs that are left, those under one key and in different components, are
    all verified.
 
@@ -36,7 +37,7 @@ HOT_NODES = 20_000
 #: Step 2 goes on while a round leaves at most this share of the entries.
 PROBE_SHRINK = 0.9
 #: Keys with more nodes are refined in step 3.
-REFINED_NODES = 16
+REFINED_NODES = 32
 #: So many edges are joined to components in one task (16 bytes each), more in distributed rounds first.
 FEW_EDGES = 200_000
 
@@ -170,7 +171,7 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
         """Entries with their component c, under keys with several."""
         c = e.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
         several = c.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-        return written(c.join(several, "key"), "mixed")
+        return written(c.join(several, "key", "left_semi"), "mixed")
 
     def joined(pairs: DataFrame) -> bool:
         """Verify the pairs that are new; whether a link was among them."""
@@ -208,14 +209,14 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
         if many.isEmpty():
             drop_scratch(many)
             break
-        finer = written(shared_entries(refine(c.join(many, "key").drop("c"))), "entries")
+        finer = written(shared_entries(refine(c.join(many, "key", "left_semi").drop("c"))), "entries")
         rest.append(written(c.join(many, "key", "left_anti").select(*columns), "rest"))
         drop_scratch(many)
         drop_scratch(c)
-        c = probed(mixed(finer))
+        c = mixed(finer)
         drop_scratch(finer)
     if rest:
-        rest.append(c)
+        rest.append(probed(c))
         c = mixed(reduce(DataFrame.unionByName, [r.select(*columns) for r in rest]))
         for r in rest:
             drop_scratch(r)

@@ -41,41 +41,66 @@ def _no_constant(name):
 
 
 def parse(text: str | None):
-    """A JSON value; ValueError for anything that is not strict JSON, repeated keys included."""
+    """A JSON value; ValueError for anything that is not strict JSON in UTF-8.
+
+    That is also so for repeated keys, numbers beyond doubles, lone surrogates and
+    values nested too deeply to be written again.
+    """
     if text is None:
         raise ValueError("no arguments")
     try:
-        return json.loads(text, object_pairs_hook=_unique, parse_constant=_no_constant)
+        value = json.loads(text, object_pairs_hook=_unique, parse_constant=_no_constant)
+        canonical([[value]]).encode("utf-8")  # as deep as it lies in a record
     except RecursionError:
         raise ValueError("nested too deeply") from None
+    except UnicodeEncodeError:
+        raise ValueError("lone surrogate") from None
+    return value
+
+
+def _is(value, kind: str) -> bool:
+    return kind in TYPES and isinstance(value, TYPES[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
+
+
+def _equal(x, y) -> bool:
+    """JSON equality: numbers by value, and true is not 1."""
+    if _is(x, "number") and _is(y, "number"):
+        return x == y
+    return canonical(x) == canonical(y)
 
 
 def faults(value, schema: dict, at: str = "$") -> list[str]:
-    """Breaches of a JSON schema: type, enum, bounds, lengths, required, properties, items."""
-    out = []
-    kind = schema.get("type")
-    if kind:
-        kinds = kind if isinstance(kind, list) else [kind]
-        if not any(isinstance(value, TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number")) for k in kinds):
-            return [f"{at}: not {'/'.join(kinds)}"]
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{at}: not in enum")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        if value < schema.get("minimum", -math.inf) or value > schema.get("maximum", math.inf):
+    """Breaches of a JSON schema: type (an unknown one fits nothing), enum, bounds, lengths, required, properties, items."""
+    out, todo = [], [(value, schema, at)]
+    while todo:
+        at_hand = todo.pop()
+        if isinstance(at_hand, str):
+            out.append(at_hand)
+            continue
+        value, schema, at = at_hand
+        kinds = schema.get("type") or []
+        kinds = kinds if isinstance(kinds, list) else [kinds]
+        if kinds and not any(_is(value, k) for k in kinds):
+            out.append(f"{at}: not {'/'.join(kinds)}")
+            continue
+        if "enum" in schema and not any(_equal(value, x) for x in schema["enum"]):
+            out.append(f"{at}: not in enum")
+        if _is(value, "number") and not schema.get("minimum", -math.inf) <= value <= schema.get("maximum", math.inf):
             out.append(f"{at}: out of bounds")
-    if isinstance(value, str) and not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", math.inf):
-        out.append(f"{at}: length")
-    if isinstance(value, list):
-        for i, x in enumerate(value):
-            out += faults(x, schema.get("items", {}), f"{at}[{i}]")
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        out += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
-        for k in sorted(value):
-            if k in known:
-                out += faults(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties", True) is False:
-                out.append(f"{at}.{k}: unknown")
+        if isinstance(value, str) and not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", math.inf):
+            out.append(f"{at}: length")
+        parts = []
+        if isinstance(value, list) and "items" in schema:
+            parts = [(x, schema["items"], f"{at}[{i}]") for i, x in enumerate(value)]
+        if isinstance(value, dict):
+            known = schema.get("properties", {})
+            out += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
+            for k in sorted(value):
+                if k in known:
+                    parts.append((value[k], known[k], f"{at}.{k}"))
+                elif schema.get("additionalProperties", True) is False:
+                    parts.append(f"{at}.{k}: unknown")
+        todo += reversed(parts)
     return out
 
 
