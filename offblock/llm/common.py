@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,19 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+def larger(batches, rows: int = 16_384):
+    """The rows of batches in batches of about so many, for rows that are short, as documents are not."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Batches of at most so many rows for the Python jobs that are run inside; the caller's setting comes back."""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offblock.llm.common import partitions, semi, small_batches, written
-from offblock.llm.linking import link, shared_entries
+from offblock.llm.linking import in_tasks, link, shared_entries
 from offblock.session import drop_scratch
 
 WORDS = 5
@@ -244,10 +244,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     length = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame, size: int) -> DataFrame:
         info = nodes.select("node", "ranges")
         p = pairs.join(info.toDF("a", "ra"), "a").join(info.toDF("b", "rb"), "b")
-        p = written(p.mapInArrow(overlap_filter, "a long, b long, na int, nb int"), "suffix")
+        p = written(in_tasks(p, size).mapInArrow(overlap_filter, "a long, b long, na int, nb int"), "suffix")
         ids = p.select("a").unionByName(p.select(F.col("b").alias("a"))).toDF("node").distinct()
         of = written(nodes.select("node", "doc_id").join(ids, "node"), "asked")
         sets = full_sets(semi(d, of.select("doc_id"), "doc_id")).join(of.select("node"), "node", "left_semi").dropDuplicates(["node"])

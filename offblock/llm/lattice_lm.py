@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import held_out, partitions, row_ids, small_batches, written
+from offblock.llm.common import held_out, larger, partitions, row_ids, small_batches, written
 
 FOLDS = 7
 #: Words that are broadcast.
@@ -71,19 +71,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def larger(batches, rows: int = 16_384):
-    """The rows of batches in batches of about so many; words are short, documents are not."""
-    held, n = [], 0
-    for b in batches:
-        held.append(b)
-        n += b.num_rows
-        if n >= rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, n = [], 0
-    if n:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 class Lattice:
     """Probabilities of pieces that begin a word and of others, of bytes in either place, and of a word's end."""
 

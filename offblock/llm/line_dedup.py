@@ -27,13 +27,14 @@ from __future__ import annotations
 import hashlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offblock.llm.common import BLANKS, semi, small_batches, written
-from offblock.llm.linking import link, shared_entries
+from offblock.llm.linking import in_tasks, link, shared_entries
 from offblock.session import drop_scratch
 
 EDITS = 2
@@ -166,7 +167,7 @@ def segment_entries(batches):
     digest = xxhash.xxh3_64_intdigest
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
-            keys, nodes, sizes, places = [], [], [], []
+            keys, nodes, sizes, counts, places = [], [], [], [], []
             for text in batch.slice(start, 512).column("text").to_pylist():
                 for line in (text or "").split("\n"):
                     if not (edits_of(len(line)) and compared(line)):
@@ -183,12 +184,20 @@ def segment_entries(batches):
                         if len(plans) > 20_000:
                             plans.clear()
                         plan = plans[n] = [(l * (EDITS + 1) + i, s, s + size) for l, i, s, size in line_probes(n)]
-                    keys += [digest(line[s:t].encode("utf-8", "surrogatepass"), p) - (1 << 63) for p, s, t in plan]
-                    nodes += [node] * len(plan)
-                    sizes += [n] * len(plan)
-                    places += range(len(plan))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
-                                              pa.array(places, pa.int32())], schema=schema)
+                    if line.isascii():  # a code point is a byte
+                        raw = line.encode()
+                        keys += [digest(raw[s:t], p) for p, s, t in plan]
+                    else:
+                        keys += [digest(line[s:t].encode("utf-8", "surrogatepass"), p) for p, s, t in plan]
+                    nodes.append(node)
+                    sizes.append(n)
+                    counts.append(len(plan))
+                    places.append(np.arange(len(plan), dtype=np.int32))
+            # the digests less 2**63, as signed numbers
+            signed = (np.array(keys, np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(signed), pa.array(np.repeat(np.array(nodes, np.int64), counts)), pa.array(np.repeat(np.array(sizes, np.int32), counts)),
+                pa.array(np.concatenate(places) if places else np.empty(0, np.int32))], schema=schema)
 
 
 def candidate_lines(batches):
@@ -316,9 +325,9 @@ def line_classes(docs: DataFrame, where: DataFrame) -> DataFrame:
     lines = written(lines.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]), "lines")
     drop_scratch(of)
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame, rows: int) -> DataFrame:
         both = pairs.select("a", "b").join(lines.toDF("a", "la"), "a").join(lines.toDF("b", "lb"), "b")
-        return written(both.mapInArrow(true_pairs, "a long, b long"), "links")
+        return written(in_tasks(both, rows).mapInArrow(true_pairs, "a long, b long"), "links")
 
     def refine(entries: DataFrame) -> DataFrame:
         if "open" not in entries.columns:

@@ -17,7 +17,10 @@ of true links, exactly, and verifies each pair at most once:
    all verified.
 
 Pairs in one component need no check, since the components are the result.
-Tables written on the way are deleted as soon as no later step reads them.
+Tables written on the way are deleted as soon as no later step reads them. The
+steps after the first work on what is left, often little: they are written, and
+handed to Python, in tasks of about TASK_ROWS rows, so that a round over few rows
+does not pay for as many tasks and files as the shuffle has partitions.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offblock.llm.common import partitions, written
+from offblock.llm.common import larger, partitions, written
 from offblock.session import drop_scratch
 
 #: Nodes under one key that are paired in one group; more are salted.
@@ -38,10 +41,20 @@ HOT_NODES = 20_000
 PROBE_SHRINK = 0.9
 #: Keys with more nodes are refined in step 3.
 REFINED_NODES = 32
+#: New keys of an entry that is refined, about; it sizes tasks only.
+REFINED_KEYS = 8
 #: So many edges are joined to components in one task (16 bytes each), more in distributed rounds first.
 FEW_EDGES = 200_000
+#: Rows of a task that writes a step's table, and the fewest tasks; steps of more rows than that have more tasks.
+TASK_ROWS = 10_000
+FEWEST_TASKS = 24
 
-Verify = Callable[[DataFrame], DataFrame]
+Verify = Callable[[DataFrame, int], DataFrame]
+
+
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """df, of about `rows` rows, in tasks of about TASK_ROWS; never in more than it has."""
+    return df.coalesce(max(FEWEST_TASKS, -(-rows // TASK_ROWS)))
 
 
 def forest(batches):
@@ -67,12 +80,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node each node of edges (a, b) can reach; a written table.
 
     Large-star and small-star steps in turn until nothing changes, or until at most
-    FEW_EDGES edges are left, which one task joins. Minima are aggregated before they
+    FEW_EDGES edges are left, which one task joins (at once, if there are no more). Minima are aggregated before they
     are joined, so a node with very many links is never gathered in one task; each
     round is written, so lineage stays short.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    e = written(e, "edges")
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    if edges.count() <= FEW_EDGES:
+        return written(e.coalesce(1).mapInArrow(forest, "node long, component long"), "labels")
+    e = written(e.distinct(), "edges")
     last = None
     while True:
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -98,18 +113,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return out
 
 
-def shared_entries(entries: DataFrame) -> DataFrame:
+def shared_entries(entries: DataFrame, rows: int | None = None) -> DataFrame:
     """The entries (key, node, ...) whose key has several nodes, each (key, node) once.
 
-    The rows of a key are streamed in order of node; only the last row is held.
+    The rows of a key are streamed in order of node; only the last row is held. rows:
+    about how many entries there are, if they may be few.
     """
     import numpy as np
 
     def run(batches):
         held, paired = None, False  # the last row so far, and whether it has its key in common with the row before
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in larger(batches):
             t = pa.Table.from_batches([batch] if held is None else [held, batch])
             key, node = (t.column(c).to_numpy() for c in ("key", "node"))
             fresh = np.ones(len(key), bool)
@@ -127,7 +141,8 @@ def shared_entries(entries: DataFrame) -> DataFrame:
             yield held
 
     dealt = entries.repartition(partitions(entries.sparkSession), "key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(run, entries.schema)
+    # partitions that share a task follow each other whole, so a key's rows stay together
+    return (dealt if rows is None else in_tasks(dealt, rows)).mapInArrow(run, entries.schema)
 
 
 def _pairs(df: DataFrame, x: str, y: str, keep: Column) -> DataFrame:
@@ -146,8 +161,8 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
     e: a written table of shared_entries: key, node (long), n and pos (int; size of
     the node, place of the key in it). keep: a filter on na, pa, nb, pb that every
     true pair passes under one of its keys at least; length: one on na and nb that it
-    always passes. verify: (a, b, na, nb) -> a written table (a, b) of true links,
-    which is deleted here, as e is. refine: entries -> entries, so that every true pair
+    always passes. verify: (a, b, na, nb) and the number of rows -> a written table
+    (a, b) of true links, which is deleted here, as e is. refine: entries -> entries, so that every true pair
     under a key shares one of the new keys; it may add columns, which it gets again
     with the entries that need another refinement, and gives keys that it cannot
     refine further a negative pos.
@@ -155,6 +170,7 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
     true = F.lit(True)
     keep, length = true if keep is None else keep, true if length is None else length
     columns = ["key", "node", "n", "pos"]
+    rows = e.count()
     hot = e.groupBy("key").count().where(F.col("count") > HOT_NODES)
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("count", F.lit(1)) / HOT_NODES))
     me = F.struct("node", "n", "pos")
@@ -162,23 +178,27 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
     met = e.join(hot, "key", "left").select("key", salt.alias("salt"), "node", me.alias("x"))
     met = met.select("x", F.array(F.first("x").over(w), F.lag("x").over(w)).alias("ys"))
     met = met.select("x", F.explode("ys").alias("y")).where("y is not null")
-    tables = [written(_pairs(met, "x", "y", keep), "pairs")]
-    found = verify(tables[0])
+    tables = [written(in_tasks(_pairs(met, "x", "y", keep), 2 * rows), "pairs")]
+    found = verify(tables[0], tables[0].count())
     labels = connected_components(found)
     drop_scratch(found)
 
-    def mixed(e: DataFrame) -> DataFrame:
-        """Entries with their component c, under keys with several."""
+    def mixed(e: DataFrame, rows: int) -> DataFrame:
+        """Entries (at most `rows`) with their component c, under keys with several."""
         c = e.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
         several = c.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-        return written(c.join(several, "key", "left_semi"), "mixed")
+        return written(in_tasks(c.join(several, "key", "left_semi"), rows), "mixed")
 
-    def joined(pairs: DataFrame) -> bool:
-        """Verify the pairs that are new; whether a link was among them."""
+    def joined(pairs: DataFrame, rows: int | None = None) -> bool:
+        """Verify the pairs (at most `rows`, if that is known) that are new; whether a link was among them."""
         nonlocal labels
         done = reduce(DataFrame.unionByName, [t.select("a", "b") for t in tables])
-        tables.append(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"))
-        found = verify(tables[-1])
+        new = pairs.join(done, ["a", "b"], "left_anti")
+        tables.append(written(new if rows is None else in_tasks(new, rows), "pairs"))
+        if not (size := tables[-1].count()):
+            drop_scratch(tables.pop())
+            return False
+        found = verify(tables[-1], size)
         if some := not found.isEmpty():
             stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
             before, labels = labels, connected_components(found.select("a", "b").unionByName(stars))
@@ -192,32 +212,34 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
         while size:
             one = c.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"), F.min_by(me, F.xxhash64("node", "key", F.lit(k))).alias("x"))
             largest = one.groupBy("key").agg(F.max_by("x", F.struct("size", "c")).alias("y"))
-            if not joined(_pairs(one.join(largest, "key"), "x", "y", length)):
+            if not joined(_pairs(one.join(largest, "key"), "x", "y", length), size):
                 break
-            before, c = c, mixed(c.drop("c"))
+            before, c = c, mixed(c.drop("c"), size)
             drop_scratch(before)
             last, size, k = size, c.count(), k + 1
             if size > PROBE_SHRINK * last:
                 break
         return c
 
-    c = probed(mixed(e))
+    c = probed(mixed(e, rows))
     drop_scratch(e)
     rest = []
     while refine is not None:
-        many = written(c.where("pos >= 0").groupBy("key").count().where(F.col("count") > REFINED_NODES).select("key"), "many")
+        rows = c.count()
+        many = written(in_tasks(c.where("pos >= 0").groupBy("key").count().where(F.col("count") > REFINED_NODES).select("key"), rows), "many")
         if many.isEmpty():
             drop_scratch(many)
             break
-        finer = written(shared_entries(refine(c.join(many, "key", "left_semi").drop("c"))), "entries")
-        rest.append(written(c.join(many, "key", "left_anti").select(*columns), "rest"))
+        finer = written(shared_entries(refine(in_tasks(c.join(many, "key", "left_semi").drop("c"), rows)), REFINED_KEYS * rows), "entries")
+        rest.append(written(in_tasks(c.join(many, "key", "left_anti").select(*columns), rows), "rest"))
         drop_scratch(many)
         drop_scratch(c)
-        c = mixed(finer)
+        c = mixed(finer, finer.count())
         drop_scratch(finer)
     if rest:
         rest.append(probed(c))
-        c = mixed(reduce(DataFrame.unionByName, [r.select(*columns) for r in rest]))
+        c = reduce(DataFrame.unionByName, [r.select(*columns) for r in rest])
+        c = mixed(c, c.count())
         for r in rest:
             drop_scratch(r)
     l, r = c.select("key", F.col("c").alias("cl"), me.alias("x")), c.select("key", F.col("c").alias("cr"), me.alias("y"))
