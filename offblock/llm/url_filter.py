@@ -1,8 +1,9 @@
 """Operator 2, URL filters: host-suffix and path-prefix expressions, hash-prefix join.
 
-Each url is expanded into every suffix of its host (at label bounds) joined with
-every prefix of its path that ends in a slash, and the empty prefix. Rules are
-filed under the same kind of expression: host + path up to its last slash. The
+Each url is expanded into the suffixes of its host (at label bounds) joined with the
+prefixes of its path that end in a slash, and the empty prefix, as far as a rule has
+so many labels and slashes. Rules are filed under the same kind of expression: host
++ path up to its last slash. The
 equi-join is on a short prefix of the expression's SHA-256; the full digests,
 then the whole rule path, confirm a match. The longest rule (host and path
 characters) wins; among equally long ones block wins, then the greater text.
@@ -30,29 +31,38 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return F.when(has, host).otherwise(""), F.when(has, path).otherwise("")
 
 
+def _count(c: Column, mark: str) -> Column:
+    return F.char_length(c) - F.char_length(F.replace(c, F.lit(mark), F.lit("")))
+
+
 def _digest(expr: Column) -> Column:
     return F.sha2(expr.cast("binary"), 256)
 
 
-def expressions(host: Column, path: Column) -> Column:
-    """All host suffixes with all path prefixes up to a slash, and with the empty prefix."""
-    labels = F.split(host, "\\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    bits = F.split(path, "/")
-    # piece i of n is a prefix with a slash behind it, but for the last
-    paths = F.when(F.size(bits) > 1, F.transform(F.sequence(F.lit(1), F.size(bits) - 1), lambda i: F.concat(
-        F.array_join(F.slice(bits, F.lit(1), i), "/"), F.lit("/")))).otherwise(F.array().cast("array<string>"))
-    paths = F.concat(F.array(F.lit("")), paths)
-    return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, F.lit(" "), p))))
+def shapes_of(rules: DataFrame) -> list[tuple[int, int]]:
+    """The distinct (labels of the host, slashes of the path) of a rule table; as many as its longest rules allow."""
+    return sorted((r["labels"], r["slashes"]) for r in rules.select("labels", "slashes").distinct().collect())
+
+
+def expressions(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
+    """The host suffixes of so many labels with the path prefixes of so many slashes (none: the empty one), for each shape the url has.
+
+    Other suffixes and prefixes could not meet a rule, and a url's work is linear in its length for each shape.
+    """
+    one = [F.struct(F.lit(k).alias("labels"), F.lit(d).alias("slashes")) for k, d in shapes]
+    fit = F.filter(F.array(*one).cast("array<struct<labels:int,slashes:int>>"),
+                   lambda x: (x["labels"] <= _count(host, ".") + 1) & (x["slashes"] <= _count(path, "/")))
+    prefix = lambda d: F.when(d > 0, F.concat(F.call_function("substring_index", path, F.lit("/"), d), F.lit("/"))).otherwise("")
+    return F.transform(fit, lambda x: F.concat(F.call_function("substring_index", host, F.lit("."), -x["labels"]), F.lit(" "), prefix(x["slashes"])))
 
 
 def rule_table(rules: DataFrame) -> DataFrame:
-    """Rules (verdict, host, path) with the digest of the expression they are filed under."""
+    """Rules (verdict, host, path) with their shape and the digest of the expression they are filed under."""
     r = rules.select(F.col("verdict").alias("r_verdict"), lower_ascii(F.col("host")).alias("r_host"), F.coalesce("path", F.lit("")).alias("r_path"))
     r = r.where("r_host is not null")
-    filed = F.concat("r_host", F.lit(" "), F.regexp_extract("r_path", r"^(.*/)?", 0))
+    filed = F.concat("r_host", F.lit(" "), F.regexp_extract("r_path", r"(?s)^(.*/)?", 0))
     d = _digest(filed)
-    return r.select("*", d.alias("r_digest"), F.substring(d, 1, 2 * PREFIX_BYTES).alias("r_short"))
+    return r.select("*", (_count(F.col("r_host"), ".") + 1).alias("labels"), _count(F.col("r_path"), "/").alias("slashes"), d.alias("r_digest"), F.substring(d, 1, 2 * PREFIX_BYTES).alias("r_short"))
 
 
 def match_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -62,9 +72,10 @@ def match_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     broadcast by Spark; a larger list is joined by shuffle, with AQE's skew join
     for hot expressions such as a common top-level domain.
     """
-    e = urls.select("host", "path", F.explode(expressions(F.col("host"), F.col("path"))).alias("e"))
+    rules = rule_table(rules)
+    e = urls.select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), shapes_of(rules))).alias("e"))
     e = e.select("host", "path", _digest(F.col("e")).alias("digest"))
-    hit = e.join(rule_table(rules), F.substring("digest", 1, 2 * PREFIX_BYTES) == F.col("r_short"))
+    hit = e.join(rules.drop("labels", "slashes"), F.substring("digest", 1, 2 * PREFIX_BYTES) == F.col("r_short"))
     hit = hit.where((F.col("digest") == F.col("r_digest")) & F.col("path").startswith(F.col("r_path")))
     rule = F.concat("r_host", "r_path")
     rank = F.struct(F.char_length(rule).alias("n"), (F.col("r_verdict") == "block").cast("int").alias("b"),
@@ -77,12 +88,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", ur
     """page_id, host, path, rule, verdict of every row; without a rule: null and the default verdict.
 
     Repeated urls are judged once. Null, empty and malformed urls have an empty
-    host and path, which no rule fits.
+    host and path, which no rule fits; they go round the join. A url may be of any
+    length. Repeated rows and ids are judged row by row; rules that tie go as said
+    above. An empty table gives no rows, without rules every url has the default.
+    Other columns, whatever their names, are not read.
     """
     h, p = host_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), h.alias("host"), p.alias("path"))
-    m = match_urls(rows.where("host <> ''").select("host", "path").distinct(), rules)
-    out = rows.join(m, ["host", "path"], "left")
+    named = rows.where("host <> ''")
+    out = named.join(match_urls(named.select("host", "path").distinct(), rules), ["host", "path"], "left")
+    none = F.lit(None).cast("string")
+    out = out.unionByName(rows.where("host = ''").withColumns({"rule": none, "verdict": none}))
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
