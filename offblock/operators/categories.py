@@ -7,13 +7,17 @@ positions, however many there are, and rows get sparse vectors.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offblock.operators.schema import q
 from offblock.session import cut_lineage
 
+#: Values of a column that are broadcast to the rows; more are joined by a shuffle.
+BROADCAST_VALUES = 10_000
+
 
 def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, value, position): the distinct non-missing values of each column, numbered from 0 in binary order.
@@ -45,20 +49,24 @@ def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
 def one_hot_vectors(df: DataFrame, table: DataFrame, columns: list[str], out: str = "one_hot") -> DataFrame:
     """df with one sparse vector: a slot for each value of each column in turn; missing and unknown values set none.
 
-    Each column is a join with its part of the table; vectors are made by Spark ML
-    in the JVM. Slots of a column follow those of the columns before it.
+    Each column is a join with its part of the table, broadcast up to BROADCAST_VALUES
+    values. Vectors are made from their four fields inside the row: Spark ML's encoder
+    and assembler would list every slot in the column's metadata, on the driver. Slots
+    of a column follow those of the columns before it.
     """
     sizes = {r["feature"]: r["n"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     known = [c for c in columns if sizes.get(c)]
-    d = df
+    if not known:
+        raise ValueError("no column has a value")
+    d, slots, start = df, [], 0
     for i, c in enumerate(known):
         side = table.where(F.col("feature") == c).select(F.col("value").alias(f"__v{i}"), F.col("position").alias(f"__p{i}"))
+        side = F.broadcast(side) if sizes[c] <= BROADCAST_VALUES else side.hint("merge")
         d = d.join(side, q(c).cast("string") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
-        d = d.withColumn(f"__p{i}", F.coalesce(F.col(f"__p{i}"), F.lit(sizes[c])).cast("double"))
-    if not known:
-        raise ValueError("no column has a value")
-    ins, vecs = [f"__p{i}" for i in range(len(known))], [f"__o{i}" for i in range(len(known))]
-    # the encoder's sizes come from one row of greatest positions; the slot after the last value means none
-    top = df.sparkSession.createDataFrame([tuple(float(sizes[c] - 1) for c in known)], ", ".join(f"{c} double" for c in ins))
-    model = OneHotEncoder(inputCols=ins, outputCols=vecs, handleInvalid="keep", dropLast=True).fit(top)
-    return VectorAssembler(inputCols=vecs, outputCol=out).transform(model.transform(d)).drop(*ins, *vecs)
+        slots.append((F.col(f"__p{i}") + F.lit(start)).cast("int"))
+        start += sizes[c]
+    on = F.array_compact(F.array(*slots))
+    fields = F.struct(F.lit(0).alias("type"), F.lit(start).alias("size"), on.alias("indices"), F.transform(on, lambda _: F.lit(1.0)).alias("values"))
+    # a struct cannot be cast to a vector, but read as one
+    vector = F.from_json(F.to_json(F.struct(fields.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))["v"]
+    return d.withColumn(out, vector).drop(*[f"__p{i}" for i in range(len(known))])

@@ -35,3 +35,12 @@ def test_empty(spark):
     assert category_table(empty, ["v"]).count() == 0
     with pytest.raises(ValueError):
         one_hot_vectors(empty, category_table(empty, ["v"]), ["v"])
+
+
+def test_vectors_list_no_slots_in_metadata(spark):
+    df = spark.range(30_000).select("id", F.format_string("%07d", F.col("id")).alias("v"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("w"))
+    out = one_hot_vectors(df, category_table(df, ["v", "w"]), ["v", "w"])
+    assert len(out.schema.json()) < 2_000
+    got = {r.id: r.one_hot for r in out.where("id in (0, 1, 29999)").collect()}
+    assert {i: (v.size, list(v.indices), list(v.values)) for i, v in got.items()} == {
+        0: (30_001, [0], [1.0]), 1: (30_001, [1, 30_000], [1.0, 1.0]), 29_999: (30_001, [29_999, 30_000], [1.0, 1.0])}
