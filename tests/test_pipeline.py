@@ -181,3 +181,13 @@ def test_gold_traffic_counts_are_per_set_brute_force(spark, stages):
         for col, w in (("planes_30min", 1800), ("planes_10min", 600)):
             want = np.array([np.sum(np.abs(t - x) <= w) - 1 for x in t], dtype=float)
             assert np.array_equal(pdf[col].to_numpy(), want), (part, col)
+
+
+def test_silver_queries_do_not_build_gold(spark, sf, monkeypatch):
+    from offblock.plans import catalog, gold
+
+    monkeypatch.setattr(catalog, "_SILVER", {})
+    monkeypatch.setattr(catalog, "_BUILT", {})
+    monkeypatch.setattr(gold, "build_gold", lambda *_: pytest.fail("gold built"))
+    for name in ("r77_build_silver", "r77b_silver_airport_test", "r77c_silver_geographies", "r77d_silver_weather", "r77e_silver_plain_tables"):
+        assert not catalog.queries()[name](spark, sf).isEmpty()
