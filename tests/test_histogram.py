@@ -188,6 +188,33 @@ def test_models_do_not_depend_on_the_partitioning(spark, data, monkeypatch):
             assert all(np.array_equal(s[k], t[k], equal_nan=True) for k in s)
 
 
+def test_small_nodes_take_one_pass_a_level(spark, data, monkeypatch):
+    x, y = data
+    df = frame(spark, x, y)
+    params = [P(forest=True, bootstrap=True, rounds=3, depth=7, node_columns="sqrt"), P(growth="leaf", rounds=2, leaves=9, rows=0.7)]
+    passes, run = [], H._pass
+    monkeypatch.setattr(H, "_pass", lambda *a: (passes.append(1), run(*a)))
+    monkeypatch.setattr(H, "HIST_BYTES", 4_000)  # one node of sums
+    few = H.fit_many(df, "y", params)
+    assert len(passes) <= 7 + 2 * 7 + 4
+    monkeypatch.setattr(H, "SMALL_ROWS", 0)
+    sums = H.fit_many(df, "y", params)
+    for a, b in zip(few, sums, strict=True):
+        for s, t in zip(a.trees, b.trees, strict=True):
+            assert all(np.array_equal(s[c], t[c], equal_nan=True) for c in s)
+
+
+def test_rows_of_symmetric_trees_end_where_the_links_lead():
+    t = H.Tree()
+    t.add(0, 0.0, 1.0)
+    for v, (col, code, left) in enumerate([(0, 1, True), (1, 0, False), (1, 0, False)]):
+        t.col[v], t.code[v], t.missing_left[v] = col, code, left
+        t.left[v], t.right[v] = t.add(t.depth[v] + 1, 0.0, 1.0), t.add(t.depth[v] + 1, 0.0, 1.0)
+    codes = np.array([[0, 1, 2, 3] * 3, [0] * 4 + [1] * 4 + [2] * 4], np.uint8)
+    missing = np.array([3, 2])
+    assert np.array_equal(H.place(t.arrays(), codes, missing, True), H.place(t.arrays(), codes, missing))
+
+
 def test_missing_values_learn_a_side(spark, data):
     x, y = data
     m = H.fit_many(frame(spark, x, y), "y", [P(rounds=20, depth=4, rate=0.3)])[0]
