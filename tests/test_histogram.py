@@ -301,3 +301,36 @@ def test_odd_tables(spark):
         H.fit_many(same.where("y is null"), "y", [P()])
     some = same.selectExpr("id", "features", "CASE WHEN id > 3 THEN NULL ELSE y END AS y")
     assert H.fit_many(some, "y", [P(rounds=1)])[0].base == pytest.approx(1.5)
+
+
+@pytest.mark.parametrize("alpha,lam,least", [(0.0, 0.0, 1), (0.7, 2.0, 3)])
+def test_small_nodes_from_their_rows_alone(alpha, lam, least):
+    """pick_by_rows finds what pick finds from the sums of all bins, ties, missing values and drawn inputs included."""
+    rng = np.random.default_rng(5)
+    layout = H.Layout([np.arange(b, dtype=float) for b in (0, 1, 6, 40)])
+    missing, total = layout.sizes - 1, layout.total
+    for drawn in ("all", "sqrt"):
+        p = H.TreeParams(node_columns=drawn, alpha=alpha, lam=lam, child_rows=least, gamma=0.1 * least, split_rows=2 * least)
+        size = rng.integers(1, 14, 300)
+        of = np.repeat(np.arange(300), size)
+        codes = np.stack([rng.integers(0, s, len(of)) for s in layout.sizes]).astype(np.uint8)
+        codes[2, of % 3 == 0] = np.maximum(codes[2, of % 3 == 0], 1)
+        codes[:, of % 7 == 0] = missing[:, None]
+        g, h = rng.integers(-3, 4, len(of)).astype(float), rng.integers(1, 3, len(of)).astype(float)
+        sums, allowed = np.zeros((3, 300, total)), np.ones((300, len(layout.col)), bool)
+        for c in range(4):
+            for x, s in zip((g, h, np.ones(len(of))), sums, strict=True):
+                np.add.at(s, (of, layout.starts[c] + codes[c]), x)
+        cols = H.node_inputs(p, 4, 0, range(300))
+        if cols is None:
+            cols = np.tile(np.arange(4), (300, 1))
+        for v in range(300):
+            allowed[v] = np.isin(layout.col, cols[v])
+        got = H.pick_by_rows(of, g, h, codes[cols[of].T, np.arange(len(of))], cols, layout, p)
+        split = 0
+        for v, x in enumerate(H.pick(*sums, layout, p, allowed)):
+            row = tuple(got[k][v] for k in ("gain", "col", "code", "missing_left", "gl", "hl", "nl"))
+            want = (0.0, -1, -1, False, 0.0, 0.0, 0.0) if x is None else (x[0], layout.col[x[1]], layout.code[x[1]], x[2], *x[3])
+            assert row == want, (drawn, v)
+            split += x is not None
+        assert split > 50
