@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -334,3 +335,19 @@ def test_small_nodes_from_their_rows_alone(alpha, lam, least):
             assert row == want, (drawn, v)
             split += x is not None
         assert split > 50
+
+
+def test_blocks_are_read_one_at_a_time():
+    import pyarrow as pa
+
+    size, blocks = 1 << 20, 32
+    batch = pa.RecordBatch.from_arrays([pa.array([size] * blocks, pa.int32()), pa.array([bytes([k]) * size for k in range(blocks)], pa.binary())],
+                                       names=["n", "codes"])
+    before, most = pa.total_allocated_bytes(), 0
+    tracemalloc.start()
+    for k, (n, codes) in enumerate(H.blocks_of(batch, "codes")):
+        assert n == size and np.frombuffer(codes, np.uint8)[-1] == k
+        most = max(most, tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before)
+        del codes
+    tracemalloc.stop()
+    assert most < 4 * size
