@@ -77,6 +77,18 @@ class Lattice:
     def __init__(self, vocab: list[str], first: np.ndarray, rest: np.ndarray, first_bytes: np.ndarray, rest_bytes: np.ndarray, end: float):
         self.vocab, self.id = vocab, {p: i for i, p in enumerate(vocab)}
         self.longest = max(map(len, vocab), default=1)
+        # every beginning of a piece is a state, 0 is the empty one; a state and the place of a character lead to the next
+        self.chars = np.array(sorted({ord(c) for p in vocab for c in p}), np.uint32)
+        place, state = {chr(c): i + 1 for i, c in enumerate(self.chars.tolist())}, {"": 0}
+        steps = {}
+        for piece in vocab:
+            for k in range(1, len(piece) + 1):
+                if piece[:k] not in state:
+                    state[piece[:k]] = len(state)
+                    steps[state[piece[: k - 1]] * (len(place) + 1) + place[piece[k - 1]]] = state[piece[:k]]
+        self.steps = np.array(sorted(steps), np.int64)
+        self.leads = np.array([steps[k] for k in self.steps.tolist()], np.int64)
+        self.piece_of = np.array([self.id.get(p, -1) for p in state], np.int64)
         one, more = first.sum() + first_bytes.sum(), rest.sum() + rest_bytes.sum() + end
         # index -1 is "no piece"
         self.first, self.rest = np.append(first / one, 0), np.append(rest / more, 0)
@@ -143,61 +155,85 @@ class Lattice:
                     out[at] = x
         return out
 
+    def forward(self, words: list[str]):
+        """For words of one length: what their characters are, the pieces found, the bytes' probabilities and the sums over all beginnings.
+
+        Returns the distinct characters and which of them stands where (characters x
+        words); for each start, (end, words, piece numbers, probabilities) of the pieces
+        found there; the probability of spelling each character; and alpha, of
+        (characters + 1) x words.
+        """
+        n, m = len(words[0]), len(words)
+        codes = np.array(words, f"U{n}").view(np.uint32).reshape(m, n).T if n else np.empty((0, m), np.uint32)
+        chars, which = np.unique(codes, return_inverse=True)
+        which = which.reshape(n, m)
+        raw = [chr(c).encode("utf-8", "surrogatepass") for c in chars.tolist()]
+        tail = np.array([float(np.prod(self.rest_bytes[list(c[1:])])) for c in raw])
+        lead = np.array([c[0] for c in raw], np.int64)
+        spelt = (self.rest_bytes[lead] * tail)[which]
+        spelt[:1] = (self.first_bytes[lead] * tail)[which[:1]]
+        # the characters' places in self.chars, from 1; 0 for those of no piece
+        place = np.searchsorted(self.chars, chars)
+        known = np.append(self.chars, np.uint32(0))[place] == chars
+        known[place == len(self.chars)] = False
+        char = np.where(known, place + 1, 0)[which].ravel()
+        at, state, found = np.arange(n * m), np.zeros(n * m, np.int64), [[] for _ in range(n)]
+        for k in range(min(n, self.longest) if len(self.steps) else 0):  # pieces of k + 1 characters, at all starts together
+            left = np.searchsorted(at, (n - k) * m)
+            at, state = at[:left], state[:left]
+            key = state * (len(self.chars) + 1) + char[at + k * m]
+            step = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            ok = self.steps[step] == key
+            at, state = at[ok], self.leads[step[ok]]
+            piece = self.piece_of[state]
+            whole = piece >= 0
+            places, piece = at[whole], piece[whole]
+            cuts = np.searchsorted(places, np.arange(n + 1) * m)
+            for i in range(n):
+                if cuts[i] < cuts[i + 1]:
+                    ids = piece[cuts[i] : cuts[i + 1]]
+                    found[i].append((i + k + 1, places[cuts[i] : cuts[i + 1]] - i * m, ids, (self.rest if i else self.first)[ids]))
+        alpha = np.zeros((n + 1, m))
+        alpha[0] = 1
+        for i in range(n):
+            alpha[i + 1] += alpha[i] * spelt[i]
+            for j, at, _, p in found[i]:
+                alpha[j, at] += alpha[i, at] * p
+        return (raw, which), found, spelt, alpha
+
     def _log_block(self, words: list[str]) -> np.ndarray:
         """log_word of words of one length."""
-        n, m, get = len(words[0]), min(len(words[0]), self.longest), self.id.get
-        first, rest = self.log_first_at, self.log_rest_at
-        first_bytes, rest_bytes = self.log_first_bytes, self.log_rest_bytes
-        raw = {c: c.encode("utf-8", "surrogatepass") for c in set().union(*words)}
-        tail = {c: sum([rest_bytes[b] for b in raw[c][1:]]) for c in raw}
-        alpha = np.full((n + 1, len(words)), -np.inf)
-        alpha[0] = 0
-        for i in range(n):
-            score, by_byte = (rest, rest_bytes) if i else (first, first_bytes)
-            spelt = {c: by_byte[raw[c][0]] + tail[c] for c in raw}
-            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + np.array([spelt[w[i]] for w in words]))
-            for j in range(i + 1, min(n, i + m) + 1):
-                ids = np.array([get(w[i:j], -1) for w in words])
-                if (ids >= 0).any():
-                    alpha[j] = np.logaddexp(alpha[j], alpha[i] + score[ids])
-        return alpha[n] + self.log_end
+        total = self.forward(words)[3][-1] * self.end
+        small = ~(total > 1e-290)  # less is beyond doubles
+        out = np.log(np.where(small, 1, total))
+        for k in np.flatnonzero(small):
+            out[k] = self.log_word(words[k])
+        return out
 
     def expected(self, words: list[str], counts: Counts) -> None:
         """Add to counts the expected uses of pieces in words of one length, over all their segmentations."""
-        n, m = len(words[0]), min(len(words[0]), self.longest)
-        get = self.id.get
-        spans = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + m) + 1)]
-        ids = np.fromiter((get(w[i:j], -1) for w in words for i, j in spans), np.int64, len(words) * len(spans)).reshape(len(words), -1)
-        raw = [[c.encode("utf-8", "surrogatepass") for c in w] for w in words]
-        tail = {c: float(np.prod(self.rest_bytes[list(c[1:])])) for c in {c for w in raw for c in w}}
-        spelt = np.array([[tail[c] * (self.rest_bytes if i else self.first_bytes)[c[0]] for i, c in enumerate(w)] for w in raw])
-        p = np.where(np.array([i == 0 for i, _ in spans]), self.first[ids], self.rest[ids])
-        alpha, beta = np.zeros((n + 1, len(words))), np.zeros((n + 1, len(words)))
-        alpha[0], beta[n] = 1, self.end
-        for k, (i, j) in enumerate(spans):  # ordered by their start
-            alpha[j] += alpha[i] * p[:, k]
-            if j == i + 1:
-                alpha[j] += alpha[i] * spelt[:, i]
-        for k in range(len(spans) - 1, -1, -1):
-            i, j = spans[k]
-            beta[i] += p[:, k] * beta[j]
-            if j == i + 1:
-                beta[i] += spelt[:, i] * beta[j]
+        n, m = len(words[0]), len(words)
+        (raw, which), found, spelt, alpha = self.forward(words)
         total = alpha[n] * self.end
         ok = total > 1e-290  # less is beyond doubles
         for k in np.flatnonzero(~ok):
             self.expected_long(words[k], counts)
         inverse = np.where(ok, 1 / np.where(ok, total, 1), 0)
-        used = np.stack([alpha[i] * beta[j] for i, j in spans], 1) * p * inverse[:, None]
-        begins = sum(i == 0 for i, _ in spans)
-        for kind, at in ((counts.first, slice(0, begins)), (counts.rest, slice(begins, None))):
-            kind += np.bincount(ids[:, at].ravel() + 1, used[:, at].ravel(), len(kind))[np.r_[1 : len(kind), 0]]
-        by = (alpha[:n] * spelt.T * beta[1:] * inverse).T
-        chars, which = np.unique(np.array([list(w) for w in words]), return_inverse=True)
-        which = which.reshape(by.shape)
+        beta, used = np.zeros((n + 1, m)), ([], [])
+        beta[n] = self.end
+        for i in range(n - 1, -1, -1):
+            beta[i] = spelt[i] * beta[i + 1]
+            for j, at, ids, p in found[i]:
+                rest = p * beta[j, at]
+                beta[i, at] += rest
+                used[i > 0].append((ids, alpha[i, at] * rest * inverse[at]))
+        for kind, pieces in zip((counts.first, counts.rest), used, strict=True):
+            if pieces:
+                ids, x = (np.concatenate(v) for v in zip(*pieces, strict=True))
+                kind += np.bincount(ids, x, len(kind))
+        by = alpha[:n] * spelt * beta[1:] * inverse
         for kind, at in ((counts.first_bytes, slice(0, 1)), (counts.rest_bytes, slice(1, None))):
-            for c, x in zip(chars.tolist(), np.bincount(which[:, at].ravel(), by[:, at].ravel(), len(chars)).tolist(), strict=True):
-                c = c.encode("utf-8", "surrogatepass")
+            for c, x in zip(raw, np.bincount(which[at].ravel(), by[at].ravel(), len(raw)).tolist(), strict=True):
                 kind[c[0]] += x
                 for b in c[1:]:
                     counts.rest_bytes[b] += x

@@ -36,3 +36,21 @@ def test_long_and_improbable_words_are_fitted_on(spark):
     words = ["there" * 30, "onother" * 900]
     fit = start.refitted(spark.createDataFrame([(w,) for w in words], "word string"))
     assert all(math.isfinite(x) for x in fit.log_words(words)) and sum(fit.log_words(words)) > sum(start.log_words(words)) + 1000
+
+
+def test_words_of_one_length_are_not_looked_up_text_by_text():
+    lattice = lattice_lm.Lattice.existing(P.path("piece_bpe_32k.model"))
+    words = ["there", "other", "thand", "é🙂x ñ", "\x00abc\x00", "~~~~�"]
+    want, alone = [lattice.log_word(w) for w in words], lattice_lm.Counts(len(lattice.vocab))
+    for w in words:
+        lattice.expected_long(w, alone)
+
+    class NoLookups(dict):
+        def get(self, *_):
+            raise AssertionError("one lookup a text")
+
+    lattice.id, counts = NoLookups(lattice.id), lattice_lm.Counts(len(lattice.vocab))
+    assert np.allclose(lattice.log_words(words), want, rtol=1e-12)
+    lattice.expected(words, counts)
+    assert np.allclose(counts.flat(), alone.flat(), rtol=1e-9, atol=1e-12)
+    assert lattice.log_words(["", ""]) == [lattice.log_end] * 2
