@@ -14,7 +14,10 @@ of true links, exactly, and verifies each pair at most once:
    until few nodes meet under a key or nothing is left to tell them apart; step 2
    is repeated on the latter;
 4. the pairs that are left, those under one key and in different components, are
-   all verified.
+   all verified, each taken from the first key that its nodes share.
+
+Keys with the same nodes stand for the same pairs: one of them is kept, before each
+round and each refinement, if pairs pass whatever the place of the key.
 
 Pairs in one component need no check, since the components are the result.
 Tables written on the way are deleted as soon as no later step reads them. The
@@ -41,6 +44,8 @@ HOT_NODES = 20_000
 PROBE_SHRINK = 0.9
 #: Keys with more nodes are refined in step 3.
 REFINED_NODES = 32
+#: Keys of a node before the one at hand that step 4 looks at to see whether a pair has met.
+BEFORE = 64
 #: New keys of an entry that is refined, about; it sizes tasks only.
 REFINED_KEYS = 8
 #: So many edges are joined to components in one task (16 bytes each), more in distributed rounds first.
@@ -170,6 +175,7 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
     true = F.lit(True)
     keep, length = true if keep is None else keep, true if length is None else length
     columns = ["key", "node", "n", "pos"]
+    placeless = keep is length
     rows = e.count()
     hot = e.groupBy("key").count().where(F.col("count") > HOT_NODES)
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("count", F.lit(1)) / HOT_NODES))
@@ -186,7 +192,10 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
     def mixed(e: DataFrame, rows: int) -> DataFrame:
         """Entries (at most `rows`) with their component c, under keys with several."""
         c = e.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        several = c.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+        of = [F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s0"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s1"), F.max("pos").alias("pos")]
+        several = c.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), *(of if placeless else [])).where("c0 <> c1").drop("c0", "c1")
+        if placeless:  # of keys with the same nodes, one that can be refined if there is any
+            several = several.groupBy("s0", "s1").agg(F.min(F.struct(F.col("pos") < 0, "key")).alias("k")).select("k.key")
         return written(in_tasks(c.join(several, "key", "left_semi"), rows), "mixed")
 
     def joined(pairs: DataFrame, rows: int | None = None) -> bool:
@@ -242,8 +251,10 @@ def link(e: DataFrame, verify: Verify, keep: Column | None = None, length: Colum
         c = mixed(c, c.count())
         for r in rest:
             drop_scratch(r)
-    l, r = c.select("key", F.col("c").alias("cl"), me.alias("x")), c.select("key", F.col("c").alias("cr"), me.alias("y"))
-    joined(_pairs(l.join(r, "key").where("x.node < y.node and cl <> cr"), "x", "y", keep))
+    before = F.collect_list("key").over(Window.partitionBy("node").orderBy("key").rowsBetween(-BEFORE, -1)) if placeless else F.lit(None).cast("array<long>")
+    met = c.select("key", "c", me.alias("x"), before.alias("before"))
+    both = met.toDF("key", "cl", "x", "bl").join(met.toDF("key", "cr", "y", "br"), "key").where("x.node < y.node and cl <> cr")
+    joined(_pairs(both.where("not arrays_overlap(bl, br)") if placeless else both, "x", "y", keep))
     for t in [c, *tables]:
         drop_scratch(t)
     return labels
