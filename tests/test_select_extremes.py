@@ -48,3 +48,11 @@ def test_search_names_without_a_setting_are_not_passed_on():
 def test_extreme_medians_reach_the_driver_in_bounded_rounds(spark):
     df = spark.range(30_000).select(F.when(F.col("id") == 0, F.lit(float("-inf"))).otherwise(F.col("id") % 100).cast("double").alias("x"))
     assert select.exact_median(df, ["x"])["x"] == 49.0 or select.exact_median(df, ["x"])["x"] == 49.5
+
+
+def test_ranks_of_one_column_share_its_buckets(spark, monkeypatch):
+    asked, bucket = [], select._bucket
+    monkeypatch.setattr(select, "_bucket", lambda t: asked.append(t.tid) or bucket(t))
+    df = spark.createDataFrame([(float(i), float(-i) if i % 3 else None) for i in range(100)], "x double, y double")
+    assert select.exact_median(df, ["x", "y"]) == {"x": 49.5, "y": -49.5}
+    assert len(asked) == 2
