@@ -39,6 +39,17 @@ def _paths(root: str) -> dict[str, str]:
             "predictions": f"{root}/predictions"}
 
 
+#: Boosting rounds and forest trees of --quick.
+QUICK_ROUNDS = 4
+
+
+def _quick_space(model_type: str) -> dict:
+    """The library's search space of a family with QUICK_ROUNDS rounds."""
+    from offblock.constants import SEARCH_SPACES
+
+    return {k: [QUICK_ROUNDS] if k in ("n_estimators", "iterations") else v for k, v in SEARCH_SPACES[model_type].items()}
+
+
 def run(argv: list[str] | None = None, spark=None) -> dict:
     ap = argparse.ArgumentParser(prog="python -m offblock")
     ap.add_argument("stage", choices=["silver", "gold", "train", "predict", "all"])
@@ -87,11 +98,10 @@ def run(argv: list[str] | None = None, spark=None) -> dict:
 
         done["gold"], _ = build_gold(spark, p["silver"], a.out)
     if a.stage in ("train", "all"):
-        from offblock.plans.catalog import check_space
         from offblock.plans.train import train_all
 
         models = [m for m in a.models.split(",") if m]
-        spaces = {m: check_space(m) for m in models} if a.quick else None
+        spaces = {m: _quick_space(m) for m in models} if a.quick else None
         trials = {m: a.trials for m in models} if a.trials else None
         done["train"] = [(r.model_type, r.run_id, r.metrics) for r in
                          train_all(spark, models, p["gold"], p["runs"], p["models"], spaces, trials)]
