@@ -4,7 +4,8 @@ Two unit vectors with cosine >= c are at most eps = sqrt(2 - 2c) apart. Vectors
 are sorted by the cells (of width eps) of their leading principal coordinates and
 cut into intervals of that sequence. Pairs of intervals are joined recursively,
 from a few long intervals down to leaves: a pair whose bounding boxes are more
-than eps apart is skipped. Leaf pairs are cut further inside a task, and what is
+than eps apart is skipped. Leaf pairs are compared in rounds, one side of which is
+broadcast, so that the disk does not hold a leaf once a pair. They are cut further inside a task, and what is
 left is compared by cosine in double precision.
 
 Equal vectors are one node. A task gives out the numbers of links and a spanning
@@ -18,6 +19,7 @@ decide how much is skipped, not what is found.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offblock.llm.common import partitions, small_batches, written
+from offblock.llm.common import arrow_batches, partitions, small_batches, written
 from offblock.llm.linking import connected_components
+from offblock.session import scratch_path
 
 COSINE = 0.9
 SAMPLE = 4096
@@ -35,6 +38,8 @@ SAMPLE = 4096
 AXES, ORDER_AXES = 16, 4
 LEAF_BYTES = 1 << 20
 TILE = 256
+#: Leaves that are broadcast at a time.
+ROUND_BYTES = 4 << 20
 #: Children of an interval, and the most intervals of the top level.
 FAN = 8
 
@@ -134,6 +139,7 @@ def leaves(nodes: DataFrame, axes: dict, eps: float) -> DataFrame:
     return dealt.mapInArrow(cut, "part int, i int, dim int, ids binary, counts binary, data binary, lo array<double>, hi array<double>")
 
 
+FOUND = "node long, links long, peer long"
 LEAF_NAMES = ["part", "i", "dim", "ids", "counts", "data", "lo", "hi"]
 
 
@@ -253,6 +259,41 @@ def join_leaves(cosine: float, eps: float):
     return run
 
 
+def paired(pairs: DataFrame, cut: DataFrame, before: dict[int, int], total: int, compare) -> DataFrame:
+    """What compare gives for each pair (a, b) of leaves, written.
+
+    A round takes the pairs of the next ROUND_BYTES of leaves, which are broadcast, and
+    reads the other leaves where they lie: no leaf is shuffled, however many pairs it is
+    in. Of a pair, either leaf may be the one that is broadcast, so that each round's
+    pairs are spread over all leaves.
+    """
+    spark, path = cut.sparkSession, scratch_path(cut.sparkSession, f"found-{uuid.uuid4().hex}")
+    each = max(1, ROUND_BYTES // LEAF_BYTES)
+    odd = (F.col("a") + F.col("b")) % 2 == 1
+    pairs = pairs.select(F.when(odd, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(odd, F.col("a")).otherwise(F.col("b")).alias("b"))
+    pairs = written(pairs.withColumn("round", F.floor(F.col("a") / each)), "rounds")
+    side = cut.select("leaf", "dim", "ids", "counts", "data")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from compare(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
+
+    spark.createDataFrame([], FOUND).write.parquet(path)
+    for r in sorted(x["round"] for x in pairs.select("round").distinct().collect()):
+        here = F.lit(False)  # by columns of the files, so that others are not read
+        for part, first in before.items():
+            last = min([x for x in before.values() if x > first], default=total)
+            if first < (r + 1) * each and last > r * each:
+                here = here | (F.col("part") == part) & (F.col("i") >= r * each - first) & (F.col("i") < (r + 1) * each - first)
+        left = cut.where(here).select("leaf", "ids", "counts", "data").toDF("a", "ids_a", "counts_a", "data_a")
+        mine = pairs.where(F.col("round") == r).select("a", "b")
+        both = side.toDF("b", "dim", "ids_b", "counts_b", "data_b").join(F.broadcast(mine), "b").join(F.broadcast(left), "a")
+        with arrow_batches(spark, 1):  # one pair at a time reaches Python
+            both.mapInArrow(run, FOUND).write.mode("append").parquet(path)
+    return spark.read.schema(FOUND).parquet(path)
+
+
 def cosine_components(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
@@ -276,10 +317,7 @@ def cosine_components(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
     number = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("part")) + F.col("i") if before else F.lit(0)
     cut = cut.withColumn("leaf", number.cast("long"))
     pairs = close_pairs(cut.select("leaf", "dim", "lo", "hi"), max(at, 1), eps)
-    side = cut.select("leaf", "dim", "ids", "counts", "data")
-    both = pairs.join(side.toDF("a", "dim", "ids_a", "counts_a", "data_a"), "a").join(side.drop("dim").toDF("b", "ids_b", "counts_b", "data_b"), "b")
-    # one pair at a time reaches Python
-    found = written(both.groupBy("a", "b").applyInArrow(join_leaves(cosine, eps), "node long, links long, peer long"), "found")
+    found = paired(pairs, cut, before, max(at, 1), join_leaves(cosine, eps))
     links = found.where("peer is null").groupBy("node").agg(F.sum("links").alias("links"))
     labels = connected_components(found.where("peer is not null").select(F.col("node").alias("a"), F.col("peer").alias("b")))
     info = nodes.select("node", "n", "vec_id").join(links, "node", "left").join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
