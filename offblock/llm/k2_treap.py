@@ -41,6 +41,10 @@ SHARD_CELLS = 1 << 20
 BLOCK_CHARS = 4 << 20
 #: Nodes that are expanded in one step.
 STEP_NODES = 4096
+#: A shard is a row group of its own, without dictionaries and least and greatest values. A writer holds
+#: a row group, whose size it first looks at after 100 rows, and the extremes of all row groups of its file,
+#: so it would hold all shards of its task; a reader would decode all of them at a time.
+ONE_ROW = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false", "parquet.column.statistics.enabled": "false"}
 LAST = np.iinfo(np.int64).max
 
 #: Other bytes than those of terms end a term; A-Z are lower-cased.
@@ -285,7 +289,7 @@ def ranked_search(documents: DataFrame, items: DataFrame, k: int = TOP) -> DataF
     if not n_docs or not blocks:
         return empty
     with arrow_batches(spark, 1000):
-        index = written(build_index(d, n_docs, n_terms), "index")
+        index = written(build_index(d, n_docs, n_terms), "index", ONE_ROW)
     out = empty
     for block in range(blocks):
         mine = i.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == block).collect()

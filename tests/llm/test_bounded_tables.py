@@ -50,3 +50,5 @@ def test_a_shard_is_a_row_group(spark, monkeypatch):
     groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
     assert sum(m.num_rows for m in groups) >= 30
     assert all(m.row_group(k).num_rows == 1 for m in groups for k in range(m.num_row_groups))
+    # the least and greatest values of all row groups would stay with the writer
+    assert all(m.row_group(k).column(c).statistics is None for m in groups for k in range(m.num_row_groups) for c in range(m.num_columns))

@@ -8,7 +8,7 @@ from offblock.ml import explain as E
 from offblock.ml import histogram as H
 from offblock.ml.features import FeatureSpec
 
-PARAMS = [RULES["penalties"], P(rounds=6, depth=3, rows=0.7, columns=0.6, bins=5), P(growth="symmetric", rounds=6, depth=3, temperature=0.7, strength=1.0),
+PARAMS = [RULES["penalties"], P(rounds=3, depth=3, rows=0.7, columns=0.6, bins=5), P(growth="symmetric", rounds=3, depth=3, temperature=0.7, strength=1.0),
           P(growth="leaf", rounds=2, depth=9, leaves=9), P(forest=True, bootstrap=True, rounds=12, depth=5, node_columns="sqrt"),
           P(forest=True, rounds=2, depth=3, columns=0.5, node_columns="log2")]
 
@@ -22,6 +22,7 @@ def test_same_trees_and_errors_as_by_levels(spark, data, monkeypatch):  # noqa:
     assert not passes  # no job a level, so hundreds of rounds are no hundreds of jobs
     monkeypatch.setattr(H, "LOCAL_BYTES", 0)
     monkeypatch.setattr(H, "FOREST_ROWS", 4000)  # several goes
+    monkeypatch.setattr(H, "MARGIN_ROUNDS", 2)
     together = H.fit_many(df, "y", PARAMS)
     assert passes
     for a, b in zip(here, together, strict=True):
